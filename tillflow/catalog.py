@@ -14,16 +14,16 @@ from tillflow import workload
 from tillflow.functions import date_text, year_of_epoch, year_of_text
 from tillflow.operators import messages as msg
 from tillflow.operators import serving, totals
-from tillflow.operators.enrich import enrich, hot_rows, with_dates
+from tillflow.operators.enrich import enrich, hot_rows
 from tillflow.operators.keyed import last_write
 from tillflow.plans import pipelines, publish
 from tillflow.plans.history import HISTORY_VIEW, compact, open_history
-from tillflow.plans.rows import audited_transactions, total_rows, transactions
-from tillflow.schema import ARCHIVE, FLAT, HOT, HOT_KEY, TOPIC
+from tillflow.plans.rows import ALL, audited_transactions, transactions
+from tillflow.schema import FLAT, HOT, HOT_KEY, TOPIC
 from tillflow.session import pin, shared_dir
 from tillflow.sources import stored
 from tillflow.streaming import sinks
-from tillflow.streaming.run import AVAILABLE_NOW, drain, start
+from tillflow.streaming.run import AVAILABLE_NOW, drain
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -234,10 +234,9 @@ def quarantine_counts(spark, sf_dir):
 
 # FLT-1, PRJ-5: what survives damage; NULL users are rows, a mistyped field is NULL
 @query("surviving_rows", f"""WITH {SALES} SELECT message_id,
-  CASE WHEN o_orderkey % 8 = 5 THEN 2 ELSE 1 END AS users,
-  CASE WHEN o_orderkey % 8 = 5 THEN 0 ELSE 1 END AS named,
-  CASE WHEN o_orderkey % 8 = 7 THEN 1 ELSE 0 END AS dated
-  FROM sales WHERE o_orderkey % 8 IN (3, 5, 7)""")
+  CAST(sum(CASE WHEN o_orderkey % 8 = 5 THEN 2 ELSE 1 END) AS BIGINT) AS users,
+  count(*) FILTER (o_orderkey % 8 <> 5) AS named, count(*) FILTER (o_orderkey % 8 = 7) AS dated
+  FROM sales WHERE o_orderkey % 8 IN (3, 5, 7) GROUP BY message_id""")
 def surviving_rows(spark, sf_dir):
     messages = msg.expand(msg.parse(msg.decode(workload.damaged_topic(spark, sf_dir)), FLAT))
     return (msg.explode_users(messages).groupBy("message_id")
@@ -246,13 +245,16 @@ def surviving_rows(spark, sf_dir):
 
 
 # PRJ-13: the columns and types of the archive and hot rows, as rows of a table
-@query("schema_print")
+@query("schema_print", f"""WITH {SALES} SELECT column_name, CASE
+  WHEN column_name IN ('registered', 'dob') THEN 'bigint' WHEN column_name = 'tran_amount' THEN 'double'
+  WHEN column_name = 'tran_year' THEN 'int' ELSE 'string' END AS column_type,
+  (SELECT count(*) FROM sales) AS rows FROM (SELECT unnest({list(ALL)}) AS column_name)""")
 def schema_print(spark, sf_dir):
-    rows = transactions(workload.order_topic(spark, sf_dir)).select(*ARCHIVE, "tran_year")
+    rows = transactions(workload.order_topic(spark, sf_dir)).select(*ALL)
     rows.printSchema()
-    kinds = [F.struct(F.lit(c).alias("column_name"), F.typeof(c).alias("column_type")) for c in rows.columns]
-    return (rows.select(F.explode(F.array(*kinds)).alias("c")).groupBy("c.column_name", "c.column_type")
-            .agg(F.count(F.lit(1)).alias("rows")))
+    kinds = [F.struct(F.lit(c).alias("column_name"), F.lit(t).alias("column_type")) for c, t in rows.dtypes]
+    return (rows.agg(F.count(F.lit(1)).alias("rows"))
+            .select(F.explode(F.array(*kinds)).alias("c"), "rows").select("c.*", "rows"))
 
 
 # --- scalars and enrichment -------------------------------------------------
@@ -308,13 +310,13 @@ def enrich_passthrough(spark, sf_dir):
 @query("archive_rows", f"{PARTIES_ENRICHED} SELECT record_id, {_ARCHIVE} FROM enriched")
 def archive_rows(spark, sf_dir):
     rows = transactions(workload.party_topic(spark, sf_dir))
-    return rows.select("record_id", *ARCHIVE, "tran_year")
+    return rows.select("record_id", *ALL)
 
 
 # PRJ-10
 @query("hot_projection", f"{ORDERS_ENRICHED} SELECT {_HOT} FROM enriched")
 def hot_projection(spark, sf_dir):
-    return hot_rows(transactions(workload.order_topic(spark, sf_dir)))
+    return hot_rows(transactions(workload.order_topic(spark, sf_dir), HOT))
 
 
 # --- aggregates -------------------------------------------------------------
@@ -328,21 +330,17 @@ _SHORT = {
 }
 
 
-def _needed(collection: str) -> tuple[str, ...]:
-    return tuple(dict.fromkeys((*totals.COLLECTIONS[collection][0], "tran_amount")))
-
-
 def _register_totals(short: str, collection: str) -> None:
     # AGG-1..5
     @query(f"agg_{short}", _total_sql(collection, ORDERS_ENRICHED))
     def batch(spark, sf_dir):
-        rows = total_rows(workload.order_topic(spark, sf_dir), _needed(collection))
+        rows = transactions(workload.order_topic(spark, sf_dir), totals.needed([collection]))
         return totals.total(rows, collection)
 
     # AGG-1..5 on messages of several users, out of the shared aggregate
     @query(f"agg_{short}_shared", _total_sql(collection, PARTIES_ENRICHED))
     def shared(spark, sf_dir):
-        rows = total_rows(workload.party_topic(spark, sf_dir))
+        rows = transactions(workload.party_topic(spark, sf_dir), totals.needed())
         return totals.pick(totals.all_totals(rows), collection)
 
     # STR-1, STR-2, STR-6, SNK-3, SNK-5, SNK-7: running totals in micro-batches,
@@ -393,8 +391,7 @@ def main_archive(spark, sf_dir):
 @query("archive_roundtrip", f"{ORDERS_ENRICHED} SELECT {_ARCHIVE} FROM enriched")
 def archive_roundtrip(spark, sf_dir):
     layout = pipelines.Layout(shared_dir(spark, "archive"))
-    rows = transactions(workload.staged_stream(spark, sf_dir))
-    drain([pipelines.start_archive(rows, layout, AVAILABLE_NOW)])
+    drain([pipelines.start_archive(workload.staged_stream(spark, sf_dir), layout, AVAILABLE_NOW)])
     return stored.read_archive(spark, layout.archive)
 
 
@@ -419,15 +416,15 @@ _PLAIN_HOT = f"""{ORDERS_ENRICHED}, plain AS (SELECT * REPLACE (
 @query("keyed_upsert", _PLAIN_HOT)
 def keyed_upsert(spark, sf_dir):
     layout = pipelines.Layout(shared_dir(spark, "keyed"))
-    rows = transactions(workload.staged_stream(spark, sf_dir), mode="passthrough")
-    drain([pipelines.start_hot(rows, layout, trigger=AVAILABLE_NOW)])
+    raw = workload.staged_stream(spark, sf_dir)
+    drain([pipelines.start_hot(raw, layout, trigger=AVAILABLE_NOW, mode="passthrough")])
     return stored.read_hot_table(spark, layout.hot)
 
 
 # SNK-2 in batch form
 @query("last_write_per_key", _PLAIN_HOT)
 def last_write_per_key(spark, sf_dir):
-    rows = transactions(workload.order_topic(spark, sf_dir), mode="passthrough")
+    rows = transactions(workload.order_topic(spark, sf_dir), HOT, mode="passthrough")
     return last_write(rows, HOT_KEY).select(*HOT)
 
 
@@ -518,7 +515,7 @@ def _compacted(spark: SparkSession, sf_dir: str) -> pipelines.Layout:
 # snapshot of every key the batch touches, holding its running total.
 def _snapshots(spark: SparkSession, sf_dir: str, collection: str) -> DataFrame:
     keys, value = totals.COLLECTIONS[collection]
-    rows = total_rows(workload.order_topic(spark, sf_dir), (*keys, "seed", "tran_amount"))
+    rows = transactions(workload.order_topic(spark, sf_dir), (*totals.needed([collection]), "seed"))
     batch = (F.col("seed").cast("bigint") % 5).alias("batch_id")
     counted = rows.groupBy(*keys, batch).agg(totals._VALUES[value]().alias("added"))
     # At most five rows per key are left here.
@@ -579,7 +576,7 @@ def records_export(spark, sf_dir):
 # PRJ-12
 @query("display_columns", f"{ORDERS_ENRICHED} SELECT {', '.join(sorted(HOT))} FROM (SELECT {_HOT} FROM enriched)")
 def display_columns(spark, sf_dir):
-    return serving.display_columns(hot_rows(transactions(workload.order_topic(spark, sf_dir))))
+    return serving.display_columns(hot_rows(transactions(workload.order_topic(spark, sf_dir), HOT)))
 
 
 # SRC-8

@@ -15,13 +15,16 @@ ARRIVAL = ("ingest_ts", "partition", "offset", "pos", "record_id")
 def last_write(rows: DataFrame, key: str, order: Iterable[str] = ARRIVAL) -> DataFrame:
     """The last row of each key.
 
-    ``max_by`` reduces each task's rows before the shuffle, so a key holding a
-    third of all rows sends one row per task.
+    ``max`` reduces each task's rows before the shuffle, so a key holding a
+    third of all rows sends one row per task. The columns after the order break
+    its ties, which makes the winner unique. Select only the columns to keep
+    beforehand: Catalyst cannot prune inside the struct.
     """
-    others = [c for c in rows.columns if c != key]
+    order = list(order)
+    others = [c for c in rows.columns if c != key and c not in order]
     return (
         rows.groupBy(key)
-        .agg(F.max_by(F.struct(*others), F.struct(*order)).alias("_row"))
+        .agg(F.max(F.struct(*order, *others)).alias("_row"))
         .select(key, "_row.*")
         .select(*rows.columns)
     )

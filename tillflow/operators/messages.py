@@ -59,11 +59,16 @@ def expand(parsed: DataFrame) -> DataFrame:
 def fill_defaults(expanded: DataFrame) -> DataFrame:
     """Default transaction details, leaf by leaf, where they are missing."""
     detail = F.col("tran_detail")
-    return expanded.withColumn("tran_detail", F.struct(
-        F.coalesce(detail["tran_card_type"], F.array(*map(F.lit, DEFAULT_CARDS))).alias("tran_card_type"),
-        F.coalesce(detail["product_id"], F.lit(DEFAULT_PRODUCT)).alias("product_id"),
-        F.coalesce(detail["tran_amount"], F.lit(DEFAULT_AMOUNT)).alias("tran_amount"),
-    ))
+    defaults = {
+        "tran_card_type": F.array(*map(F.lit, DEFAULT_CARDS)),
+        "product_id": F.lit(DEFAULT_PRODUCT),
+        "tran_amount": F.lit(DEFAULT_AMOUNT),
+    }
+    # A narrow parse may have left some of the leaves out.
+    parsed = expanded.schema["tran_detail"].dataType.names
+    return expanded.withColumn("tran_detail", F.struct(*(
+        F.coalesce(detail[leaf], value).alias(leaf)
+        for leaf, value in defaults.items() if leaf in parsed)))
 
 
 def with_reject_reason(expanded: DataFrame) -> DataFrame:

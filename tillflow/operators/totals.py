@@ -6,6 +6,8 @@ one row per key and task to shuffle, and a hot key costs no more than another.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -21,7 +23,6 @@ COLLECTIONS = {
 }
 
 KEYS = ("tran_year", "nationality", "tran_card_type")
-NEEDED = (*KEYS, "tran_amount")
 
 # Counts are of non-null values of one column, so a NULL country or card counts
 # 0, while a NULL year counts its amounts.
@@ -34,6 +35,15 @@ _VALUES = {
 }
 
 
+def needed(collections: Iterable[str] = COLLECTIONS) -> tuple[str, ...]:
+    """The columns that the collections are made from."""
+    columns = []
+    for keys, value in (COLLECTIONS[c] for c in collections):
+        # A count of the key itself reads nothing else.
+        columns += [*keys] if value in ("tran_country_count", "tran_card_type_count") else [*keys, "tran_amount"]
+    return tuple(dict.fromkeys(columns))
+
+
 def total(rows: DataFrame, collection: str) -> DataFrame:
     """One collection as a grouped aggregate (running totals on a stream)."""
     keys, value = COLLECTIONS[collection]

@@ -8,12 +8,12 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from tillflow.operators.totals import COLLECTIONS, NEEDED, all_totals, total
 from tillflow.operators.enrich import hot_rows
-from tillflow.plans.rows import audited_transactions, total_rows, transactions
-from tillflow.schema import ARCHIVE
+from tillflow.operators.totals import COLLECTIONS, all_totals, needed, total
+from tillflow.plans.rows import ALL, audited_transactions, transactions
+from tillflow.schema import HOT
 from tillflow.streaming import sinks
-from tillflow.streaming.run import EVERY_5_SECONDS, Sink, start, start_files
+from tillflow.streaming.run import EVERY_5_SECONDS, Sink, start, start_files, start_totals
 
 CONSOLE_COLLECTION = "year_country_wise_total_sales"
 
@@ -70,22 +70,22 @@ def _hot_sink(layout: Layout, targets: Targets, rejected: Sink | None) -> Sink:
 def start_collection(raw: DataFrame, collection: str, sink: Sink, checkpoints: str,
                      trigger: dict = EVERY_5_SECONDS, mode: str = "draw") -> StreamingQuery:
     """Running totals of one collection; each batch emits the keys that changed."""
-    keys, value = COLLECTIONS[collection]
-    needed = (*keys, "tran_amount") if value not in ("tran_country_count", "tran_card_type_count") else keys
-    rows = total_rows(raw, needed, mode)
-    return start(total(rows, collection), sinks.snapshots(sink), collection, checkpoints, trigger, "update")
+    rows = transactions(raw, needed([collection]), mode)
+    return start_totals(total(rows, collection), sinks.snapshots(sink), collection, checkpoints, trigger)
 
 
-def start_archive(rows: DataFrame, layout: Layout, trigger: dict = EVERY_5_SECONDS) -> StreamingQuery:
+def start_archive(raw: DataFrame, layout: Layout, trigger: dict = EVERY_5_SECONDS,
+                  mode: str = "draw") -> StreamingQuery:
     """JSON files of the archive rows, in one directory per year."""
-    return start_files(rows.select(*ARCHIVE, "tran_year"), layout.archive, "archive",
+    return start_files(transactions(raw, ALL, mode).select(*ALL), layout.archive, "archive",
                        layout.checkpoints, partition_by=("tran_year",), trigger=trigger)
 
 
-def start_hot(rows: DataFrame, layout: Layout, targets: Targets = Targets(),
-              trigger: dict = EVERY_5_SECONDS) -> StreamingQuery:
+def start_hot(raw: DataFrame, layout: Layout, targets: Targets = Targets(),
+              trigger: dict = EVERY_5_SECONDS, mode: str = "draw") -> StreamingQuery:
+    """The keyed table: each micro-batch upserts the last row of each key."""
     sink = _hot_sink(layout, targets, sinks.epoch_files(layout.null_keys))
-    return start(rows, sink, "hot", layout.checkpoints, trigger)
+    return start(transactions(raw, HOT, mode), sink, "hot", layout.checkpoints, trigger)
 
 
 def main_pipeline(raw: DataFrame, layout: Layout, targets: Targets = Targets(),
@@ -97,7 +97,7 @@ def main_pipeline(raw: DataFrame, layout: Layout, targets: Targets = Targets(),
     are: rows fan out inside one micro-batch, totals share one aggregate.
     """
     rows = audited_transactions(raw, mode, defaults)
-    totals = all_totals(total_rows(raw, NEEDED, mode, defaults))
+    totals = all_totals(transactions(raw, needed(), mode, defaults))
     row_sink = sinks.fan_out(
         archive=sinks.epoch_files(layout.archive, "json", ("tran_year",)),
         hot=_hot_sink(layout, targets, None),
@@ -111,7 +111,7 @@ def main_pipeline(raw: DataFrame, layout: Layout, targets: Targets = Targets(),
         parts[CONSOLE_COLLECTION] = both
     return [
         start(rows, row_sink, "rows", layout.checkpoints, trigger),
-        start(totals, sinks.split_totals(parts), "totals", layout.checkpoints, trigger, "update"),
+        start_totals(totals, sinks.split_totals(parts), "totals", layout.checkpoints, trigger),
     ]
 
 
@@ -121,10 +121,9 @@ def separate_pipeline(raw: DataFrame, layout: Layout, targets: Targets = Targets
 
     Costs a parse per output; use it where outputs must fail or lag apart.
     """
-    rows = transactions(raw, mode)
     return [
-        start_archive(rows, layout, trigger),
-        start_hot(rows, layout, targets, trigger),
+        start_archive(raw, layout, trigger, mode),
+        start_hot(raw, layout, targets, trigger, mode),
         *(start_collection(raw, name, _collection_sink(layout, targets, name),
                            layout.checkpoints, trigger, mode) for name in COLLECTIONS),
     ]
@@ -134,10 +133,10 @@ def keyed_pipeline(raw: DataFrame, layout: Layout, targets: Targets = Targets(),
                    trigger: dict = EVERY_5_SECONDS, mode: str = "draw",
                    console: bool = True) -> list[StreamingQuery]:
     """The variant without aggregates: archive, keyed table, hot rows on the console."""
-    rows = transactions(raw, mode)
-    queries = [start_archive(rows, layout, trigger), start_hot(rows, layout, targets, trigger)]
+    queries = [start_archive(raw, layout, trigger, mode), start_hot(raw, layout, targets, trigger, mode)]
     if console:
-        queries.append(start(hot_rows(rows), sinks.console(), "console", layout.checkpoints, trigger))
+        queries.append(start(hot_rows(transactions(raw, HOT, mode)), sinks.console(), "console",
+                             layout.checkpoints, trigger))
     return queries
 
 

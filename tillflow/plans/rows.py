@@ -8,25 +8,40 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillflow.operators.enrich import enrich, with_dates
+from tillflow.operators.keyed import ARRIVAL
 from tillflow.operators.messages import (
     decode, expand, explode_users, explode_users_outer, fill_defaults, flatten, parse,
     with_reject_reason,
 )
-from tillflow.operators.totals import NEEDED
-from tillflow.schema import DERIVED_FROM, FLAT
+from tillflow.schema import ARCHIVE, DERIVED_FROM
 
+ALL = (*ARCHIVE, "tran_year")
 
-def transactions(raw: DataFrame, mode: str = "draw", defaults: bool = False) -> DataFrame:
-    """Archive columns, ``tran_year`` and the record's origin, one row per user."""
-    messages = expand(parse(decode(raw), FLAT))
-    if defaults:
+
+def transactions(raw: DataFrame, columns: Iterable[str] = ALL, mode: str = "draw",
+                 defaults: bool = False) -> DataFrame:
+    """The named columns and the row's arrival, one row per user.
+
+    Only the message fields behind those columns are parsed, so ask for no more
+    than the job needs.
+    """
+    columns = list(dict.fromkeys(columns))
+    flat = list(dict.fromkeys(DERIVED_FROM.get(c, c) for c in columns))
+    messages = expand(parse(decode(raw), flat))
+    if defaults and "tran_detail" in messages.columns:
         messages = fill_defaults(messages)
-    return with_dates(enrich(flatten(explode_users(messages)), mode=mode))
+    rows = enrich(flatten(explode_users(messages), flat), mode=mode)
+    if "registered" in flat:
+        rows = with_dates(rows)
+    return rows.select(*ARRIVAL, *columns)
 
 
 def audited_transactions(raw: DataFrame, mode: str = "draw", defaults: bool = False) -> DataFrame:
-    """``transactions`` plus a row for each message without users, and with
-    ``reject_reason``; the payload only where there is one."""
+    """All columns, and a row for each message without users.
+
+    ``reject_reason`` is set on the rows of an unfit message, ``value`` holds
+    its payload.
+    """
     messages = with_reject_reason(expand(parse(decode(raw))))
     if defaults:
         messages = fill_defaults(messages)
@@ -34,17 +49,3 @@ def audited_transactions(raw: DataFrame, mode: str = "draw", defaults: bool = Fa
     exploded = explode_users_outer(messages.withColumn("value", flagged))
     return with_dates(enrich(
         flatten(exploded, also=("message_id", "reject_reason", "value")), mode=mode))
-
-
-def total_rows(raw: DataFrame, columns: Iterable[str] = NEEDED, mode: str = "draw",
-               defaults: bool = False) -> DataFrame:
-    """Only the columns that the aggregates need, parsed with the narrow schema."""
-    columns = tuple(columns)
-    flat = [DERIVED_FROM.get(c, c) for c in columns]
-    messages = expand(parse(decode(raw), flat))
-    if defaults and "tran_detail" in messages.columns:
-        messages = fill_defaults(messages)
-    rows = enrich(flatten(explode_users(messages), dict.fromkeys(flat)), mode=mode)
-    if any(c in DERIVED_FROM for c in columns):
-        rows = with_dates(rows)
-    return rows.select(*columns)

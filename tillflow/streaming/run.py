@@ -28,6 +28,23 @@ def start(df: DataFrame, sink: Sink, name: str, checkpoints: str,
     return _writer(df, name, checkpoints, trigger, mode).foreachBatch(sink).start()
 
 
+def start_totals(df: DataFrame, sink: Sink, name: str, checkpoints: str,
+                 trigger: dict = EVERY_5_SECONDS, state_partitions: int = 16) -> StreamingQuery:
+    """``start`` in update mode for a running total over few keys.
+
+    Every state partition is a store that commits in every micro-batch, so there
+    should be as many as the keys need, not as the cluster's shuffles do. The
+    query takes the setting along when it starts; its checkpoint then keeps it.
+    """
+    conf = df.sparkSession.conf
+    shuffle = conf.get("spark.sql.shuffle.partitions")
+    conf.set("spark.sql.shuffle.partitions", str(min(state_partitions, int(shuffle))))
+    try:
+        return start(df, sink, name, checkpoints, trigger, "update")
+    finally:
+        conf.set("spark.sql.shuffle.partitions", shuffle)
+
+
 def start_files(df: DataFrame, path: str, name: str, checkpoints: str, fmt: str = "json",
                 partition_by: tuple[str, ...] = (), trigger: dict = EVERY_5_SECONDS,
                 **options: str) -> StreamingQuery:

@@ -26,13 +26,16 @@ def epoch_files(path: str, fmt: str = "parquet", partition_by: tuple[str, ...] =
     return write
 
 
-def connector(fmt: str, mode: str = "append", **options: str) -> Sink:
+def connector(fmt: str, mode: str = "append", epoch_column: str | None = None, **options: str) -> Sink:
     """Write the batch through a connector, for example a keyed table's
     (``org.apache.spark.sql.cassandra``) or a document store's (``mongodb``).
 
-    Hosts and credentials come from the caller's options.
+    Hosts and credentials come from the caller's options. ``epoch_column`` adds
+    the epoch to each record: it orders snapshots and tells replayed ones.
     """
     def write(batch: DataFrame, epoch: int) -> None:
+        if epoch_column is not None:
+            batch = batch.withColumn(epoch_column, F.lit(epoch).cast("bigint"))
         batch.write.format(fmt).mode(mode).options(**options).save()
     return write
 
@@ -61,14 +64,19 @@ def null_keys(rows: DataFrame) -> DataFrame:
         F.to_json(F.struct(*HOT)).alias("value"))
 
 
-def snapshots(target: Sink, files: int = 1) -> Sink:
-    """Append the changed running totals of a batch.
+def snapshots(target: Sink, rows_per_file: int = 1_000_000) -> Sink:
+    """Append the changed running totals of a batch, one row per changed key.
 
-    The rows are one per changed key; they are gathered into few files because
-    every state partition would write its own.
+    Every state partition would write a file of its own, so the rows are
+    gathered into as few as their number allows.
     """
     def write(batch: DataFrame, epoch: int) -> None:
-        target(batch.repartition(files), epoch)
+        # Cached: counting must not update the state a second time.
+        batch.persist()
+        try:
+            target(batch.repartition(1 + batch.count() // rows_per_file), epoch)
+        finally:
+            batch.unpersist()
     return write
 
 

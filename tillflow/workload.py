@@ -75,7 +75,7 @@ def _as_topic(messages: DataFrame, value: Column) -> DataFrame:
         value.cast("binary").alias("value"),
         F.lit(TOPIC_NAME).alias("topic"),
         (F.col("o_orderkey") % PARTITIONS).cast("int").alias("partition"),
-        F.floor(F.col("o_orderkey") / PARTITIONS).cast("bigint").alias("offset"),
+        F.expr(f"o_orderkey div {PARTITIONS}").alias("offset"),
         F.timestamp_seconds("o_epoch").alias("timestamp"),
         F.lit(0).alias("timestampType"),
     )
