@@ -1,0 +1,24 @@
+"""Every registered query against the SQL oracle on the driver's tables."""
+
+import pytest
+
+import __spark_entry__ as contract
+import oracle
+from conftest import SMALL
+
+
+@pytest.fixture(scope="module")
+def con():
+    return oracle.connect(SMALL)
+
+
+@pytest.mark.parametrize("name", list(contract.queries()))
+def test_query_equals_oracle(spark, con, name):
+    df = contract.queries()[name](spark, SMALL)
+    assert oracle.assert_equal(df, con, contract.oracle_sql()[name]) > 0
+
+
+def test_entry_has_rows(spark):
+    df = contract.entry(spark)
+    assert df.columns == ["tran_year", "nationality", "tran_year_country_total_sales"]
+    assert df.count() > 0

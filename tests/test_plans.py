@@ -1,0 +1,102 @@
+"""What Catalyst makes of the jobs."""
+
+import contextlib
+import io
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+import __spark_entry__ as contract
+from conftest import SMALL
+from tillflow import workload
+from tillflow.operators import serving, totals
+from tillflow.operators.keyed import last_write
+from tillflow.plans import pipelines
+from tillflow.plans.history import open_history
+from tillflow.plans.rows import audited_transactions, transactions
+from tillflow.schema import HOT, TOPIC
+from tillflow.sources import stored
+from tillflow.sources.topics import topic_files
+from tillflow.streaming.run import AVAILABLE_NOW, drain
+
+
+def plan(df, mode="formatted"):
+    out = io.StringIO()
+    with contextlib.redirect_stdout(out):
+        df.explain(mode)
+    return out.getvalue()
+
+
+@pytest.fixture(scope="module")
+def raw(spark):
+    return topic_files(spark, workload.stage(spark, SMALL, workload.party_topic), streaming=False)
+
+
+@pytest.mark.parametrize("name", list(contract.queries()))
+def test_no_query_leaves_the_jvm_or_crosses(spark, name):
+    text = plan(contract.queries()[name](spark, SMALL))
+    assert not re.search(r"EvalPython|InPandas|InArrow|CartesianProduct|BroadcastNestedLoopJoin", text)
+
+
+@pytest.mark.parametrize("build", [transactions, audited_transactions])
+def test_rows_need_one_parse_and_no_shuffle(raw, build):
+    text = plan(build(raw), "simple")
+    assert text.count("from_json(") == 1 and "Exchange" not in text
+
+
+def test_totals_parse_three_fields_once_and_combine_before_the_shuffle(raw):
+    rows = transactions(raw, totals.needed(["year_country_wise_total_sales"]))
+    text = plan(totals.total(rows, "year_country_wise_total_sales"), "simple")
+    assert text.count("from_json(") == 1 and text.count("Exchange") == 1
+    assert "partial_sum" in text and "SortAggregate" not in text
+    assert "username" not in text and "password" not in text
+
+
+def test_all_totals_share_one_parse_and_one_shuffle(raw):
+    text = plan(totals.all_totals(transactions(raw, totals.needed())), "simple")
+    assert text.count("from_json(") == 1 and text.count("Exchange") == 1 and "partial_count" in text
+
+
+def test_counts_by_country_need_no_identity(raw):
+    rows = transactions(raw, totals.needed(["country_wise_total_sales_count"]))
+    text = plan(totals.total(rows, "country_wise_total_sales_count"))
+    assert "md5" not in text and "ReadSchema: struct<value:binary>" in text
+
+
+def test_last_write_combines_before_the_shuffle(raw):
+    text = plan(last_write(transactions(raw, HOT), "user_id"), "simple")
+    assert "partial_max" in text and text.count("Exchange") == 1
+    assert "password" not in text
+
+
+def test_dashboard_reads_only_what_it_sorts(spark, raw):
+    docs = totals.total(transactions(raw, totals.needed()), "country_wise_total_sales_count").withColumn(
+        "batch_id", F.lit(1))
+    assert "TakeOrderedAndProject" in plan(serving.dashboard_rollup(docs, "country_wise_total_sales_count"))
+
+
+def test_history_prunes_years_and_columns(spark, tmp_path):
+    layout = pipelines.Layout(str(tmp_path))
+    drain([pipelines.start_archive(workload.staged_stream(spark, SMALL), layout, AVAILABLE_NOW)])
+    open_history(spark, layout.archive)
+    text = plan(spark.sql("SELECT nationality, sum(tran_amount) FROM transactions WHERE tran_year = 1997 GROUP BY 1"))
+    assert re.search(r"PartitionFilters: \[.*tran_year#\d+ = 1997", text)
+    assert "ReadSchema: struct<nationality:string,tran_amount:double>" in text
+
+
+def test_collections_are_hash_aggregated_on_read(spark, tmp_path):
+    name = "year_wise_total_sales_count"
+    docs = stored.read_collection(spark, str(tmp_path), name)
+    assert "SortAggregate" not in plan(serving.latest_totals(docs, name))
+
+
+def test_tables_are_read_by_column(spark):
+    text = plan(workload.order_topic(spark, SMALL))
+    assert ("ReadSchema: struct<o_orderkey:bigint,o_custkey:bigint,o_totalprice:double,"
+            "o_orderdate:timestamp_ntz>") in text
+
+
+def test_topic_schema_is_the_connectors(spark):
+    assert TOPIC.simpleString() == ("struct<key:binary,value:binary,topic:string,partition:int,offset:bigint,"
+                                    "timestamp:timestamp,timestampType:int>")

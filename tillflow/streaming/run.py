@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
@@ -55,13 +56,24 @@ def start_files(df: DataFrame, path: str, name: str, checkpoints: str, fmt: str
     return writer.start(path)
 
 
-def await_any(spark: SparkSession) -> None:
-    """Block until a query ends; raise if it failed; stop the others either way."""
+def await_any(queries: list[StreamingQuery]) -> None:
+    """Block until one of the queries ends, stop the others, raise if it failed."""
+    manager = SparkSession.active().streams
     try:
-        spark.streams.awaitAnyTermination()
+        while all(query.isActive for query in queries):
+            # Forget queries that ended earlier, or the wait returns at once.
+            manager.resetTerminated()
+            if all(query.isActive for query in queries):
+                try:
+                    manager.awaitAnyTermination()
+                except StreamingQueryException:
+                    pass  # raised below if the query is one of ours
     finally:
-        for query in spark.streams.active:
+        for query in queries:
             query.stop()
+    for query in queries:
+        if query.exception() is not None:
+            raise query.exception()
 
 
 def drain(queries: list[StreamingQuery]) -> None:
