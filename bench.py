@@ -33,7 +33,6 @@ from tillflow.streaming.run import AVAILABLE_NOW, drain
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
 WARMUP, RUNS = 2, 3
-USERS_PER_MESSAGE = 10
 SALES = "year_country_wise_total_sales"
 
 
@@ -41,22 +40,6 @@ def noop(df):
     df.write.format("noop").mode("overwrite").save()
 
 
-def crowd_topic(spark, sf_dir):
-    """Messages of ten users, the shape of the yardstick: rows of the order topic
-    packed by their position in the input, so no message can grow."""
-    users = workload.order_topic(spark, sf_dir).select(
-        F.col("value").cast("string").alias("value"), F.monotonically_increasing_id().alias("row"))
-    one = F.regexp_extract("value", r'^\{"results":\[(.*?)\],"nationality"', 1)
-    rest = F.regexp_extract("value", r'("nationality".*)$', 1)
-    packed = users.groupBy(F.expr(f"row div {USERS_PER_MESSAGE}").alias("m")).agg(
-        F.collect_list(one).alias("users"), F.max(rest).alias("rest"))
-    return packed.select(
-        F.lit(None).cast("binary").alias("key"),
-        F.concat(F.lit('{"results":['), F.array_join("users", ","), F.lit("],"), "rest").cast("binary").alias("value"),
-        F.lit(workload.TOPIC_NAME).alias("topic"), F.lit(0).alias("partition"), F.col("m").alias("offset"),
-        F.lit(None).cast("timestamp").alias("timestamp"), F.lit(0).alias("timestampType"))
-
-
 def staged(spark, build):
     """The topic in as many files as there are cores, written once."""
     path = shared_dir(spark, f"bench-{build.__name__}")
@@ -66,11 +49,12 @@ def staged(spark, build):
 
 def plans(spark):
     orders = topic_files(spark, staged(spark, workload.order_topic), streaming=False)
-    crowd = topic_files(spark, staged(spark, crowd_topic), streaming=False)
+    crowd = topic_files(spark, staged(spark, workload.crowd_topic), streaming=False)
     order_path = orders.inputFiles()[0].rsplit("/", 1)[0]
 
     def yardstick_rows():
-        noop(transactions(crowd, ("nationality", "tran_date", "tran_year"), "passthrough"))
+        dated = ("nationality", "tran_date", "tran_year", "tran_amount")
+        noop(transactions(crowd, dated, "passthrough").select(*dated))
 
     def yardstick_sales():
         rows = transactions(crowd, totals.needed([SALES]), "passthrough")

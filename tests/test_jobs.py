@@ -1,0 +1,78 @@
+"""The command line, from a topic in files to records for display."""
+
+import json
+
+import pytest
+
+from conftest import SMALL
+from tillflow import workload
+from tillflow.jobs import main
+from tillflow.operators import serving
+from tillflow.plans import pipelines
+from tillflow.sources import stored
+
+
+@pytest.fixture(scope="module")
+def root(spark, tmp_path_factory):
+    root = str(tmp_path_factory.mktemp("job"))
+    main(["main", "--root", root, "--topic-files", workload.stage(spark, SMALL), "--once",
+          "--source-option", "maxFilesPerTrigger=3"])
+    return root
+
+
+def records(spark, path):
+    return [json.loads(r.value) for r in spark.read.text(path).collect()]
+
+
+def test_serve_current_totals(spark, root, tmp_path):
+    main(["serve", "--root", root, "--out", str(tmp_path)])
+    got = records(spark, str(tmp_path / "year_wise_total_sales_count"))
+    assert sum(r["tran_year_count"] for r in got) == spark.read.parquet(f"{SMALL}/orders.parquet").count()
+    assert list(got[0]) == sorted(got[0])
+
+
+def test_serve_as_the_dashboard(spark, root, tmp_path):
+    name = "country_wise_total_sales_count"
+    main(["serve", "--root", root, "--out", str(tmp_path), "--last-documents", "100"])
+    docs = stored.read_collection(spark, pipelines.Layout(root).collection(name), name)
+    want = serving.dashboard_rollup(docs, name).collect()
+    assert ({r["nationality"]: r["tran_country_count"] for r in records(spark, str(tmp_path / name))}
+            == {r.nationality: r.tran_country_count for r in want})
+
+
+def test_history(spark, root, capsys):
+    main(["history", "--root", root, "SELECT count(*) AS archived_sales FROM transactions"])
+    assert "archived_sales" in capsys.readouterr().out
+
+
+def test_compact(spark, root, tmp_path):
+    main(["compact", "--root", root, "--new-root", str(tmp_path / "new")])
+    old, new = pipelines.Layout(root), pipelines.Layout(str(tmp_path / "new"))
+    assert (stored.read_hot_table(spark, new.hot).exceptAll(stored.read_hot_table(spark, old.hot))).isEmpty()
+
+
+def test_publish_then_keyed_variant(spark, tmp_path, capfd):
+    topic = workload.stage(spark, SMALL, workload.partial_topic)
+    published = str(tmp_path / "published")
+    main(["publish", "--root", str(tmp_path / "p"), "--topic-files", topic, "--to-files", published, "--once"])
+    main(["keyed", "--root", str(tmp_path / "k"), "--text-files", published, "--mode", "passthrough", "--once"])
+    assert "Batch: 0" in capfd.readouterr().out
+    hot = stored.read_hot_table(spark, pipelines.Layout(str(tmp_path / "k")).hot)
+    orders = spark.read.parquet(f"{SMALL}/orders.parquet").select("o_custkey").distinct().count()
+    assert hot.count() == orders and hot.where("tran_amount IS NULL").isEmpty()
+
+
+def test_connector_options(spark, tmp_path):
+    topic = workload.stage(spark, SMALL)
+    main(["separate", "--root", str(tmp_path / "s"), "--topic-files", topic, "--once",
+          "--hot-format", "parquet", "--hot-option", f"path={tmp_path}/table",
+          "--collections-format", "json", "--collections-option", f"path={tmp_path}/{{collection}}"])
+    assert spark.read.parquet(f"{tmp_path}/table").count() > 0
+    docs = spark.read.json(f"{tmp_path}/year_country_wise_total_sales")
+    assert docs.columns == ["batch_id", "nationality", "tran_year", "tran_year_country_total_sales"]
+
+
+@pytest.mark.parametrize("argv", [["main", "--root", "r"], ["main", "--root", "r", "--servers", "s", "--text-files", "t"]])
+def test_one_source_is_required(argv):
+    with pytest.raises(SystemExit):
+        main(argv)

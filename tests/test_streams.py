@@ -296,10 +296,36 @@ def test_a_failing_query_is_seen(spark, tmp_path):
     assert not any(query.isActive for query in queries)
 
 
-def test_kafka_source_is_asked_for_by_its_public_name(spark):
-    """The connector package is not installed here: only the request can be seen."""
-    with pytest.raises(Exception, match="(?i)kafka"):
-        kafka_topic(spark, "localhost:9092", "commerce", max_offsets_per_trigger=10, min_partitions=4)
+class Recorder:
+    """Stands in for a session and its reader: the connector is not installed."""
+
+    def __init__(self):
+        self.seen = {}
+        self.readStream = self
+
+    def format(self, name):
+        self.seen["format"] = name
+        return self
+
+    def options(self, **options):
+        self.seen.update(options)
+        return self
+
+    def load(self):
+        return self
+
+
+def test_kafka_source_options():
+    session = Recorder()
+    kafka_topic(session, "h1:9092,h2:9092", "commerce", max_offsets_per_trigger=10, min_partitions=4)
+    assert session.seen == {
+        "format": "kafka", "kafka.bootstrap.servers": "h1:9092,h2:9092", "subscribe": "commerce",
+        "startingOffsets": "latest", "failOnDataLoss": "true", "maxOffsetsPerTrigger": "10", "minPartitions": "4"}
+    session = Recorder()
+    kafka_topic(session, "h:9092", "t", "earliest", fail_on_data_loss=False, includeHeaders="true")
+    assert session.seen == {
+        "format": "kafka", "kafka.bootstrap.servers": "h:9092", "subscribe": "t", "startingOffsets": "earliest",
+        "failOnDataLoss": "false", "includeHeaders": "true"}
 
 
 def test_arrival_is_part_of_every_row(spark, run):

@@ -22,6 +22,7 @@ from tillflow.plans.rows import ALL, audited_transactions, transactions
 from tillflow.schema import FLAT, HOT, HOT_KEY, TOPIC
 from tillflow.session import pin, shared_dir
 from tillflow.sources import stored
+from tillflow.sources.topics import text_files
 from tillflow.streaming import sinks
 from tillflow.streaming.run import AVAILABLE_NOW, drain
 
@@ -218,6 +219,19 @@ def completed_messages(spark, sf_dir):
                         "tran_detail.product_id", "tran_detail.tran_amount")
 
 
+# PRJ-11, SNK-6, STR-4: the same through a stream, from topic to topic
+@query("stream_publish", f"WITH {SALES} SELECT CAST(o_orderkey AS VARCHAR) AS seed, {_FILLED} FROM sales")
+def stream_publish(spark, sf_dir):
+    layout = pipelines.Layout(shared_dir(spark, "publish"))
+    published = f"{layout.root}/published"
+    raw = workload.staged_stream(spark, sf_dir, workload.partial_topic)
+    drain(pipelines.publish_pipeline(raw, layout, "text", AVAILABLE_NOW, path=published))
+    again = text_files(spark, published, workload.TOPIC_NAME, streaming=False)
+    return msg.expand(msg.parse(msg.decode(again))).select(
+        "seed", F.array_join("tran_detail.tran_card_type", ",").alias("cards"),
+        "tran_detail.product_id", "tran_detail.tran_amount")
+
+
 _REASON = """CASE o_orderkey % 8 WHEN 0 THEN 'malformed' WHEN 1 THEN 'empty results'
   WHEN 2 THEN 'no results' WHEN 3 THEN 'mistyped field' WHEN 4 THEN 'null payload'
   WHEN 6 THEN 'malformed' END"""

@@ -9,11 +9,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from tillflow.operators.enrich import hot_rows
-from tillflow.operators.totals import COLLECTIONS, all_totals, needed, total
+from tillflow.operators.messages import decode, expand, parse
+from tillflow.operators.totals import COLLECTIONS, all_totals, needed, pick, total
+from tillflow.plans.publish import completed_messages
 from tillflow.plans.rows import ALL, audited_transactions, transactions
 from tillflow.schema import HOT
 from tillflow.streaming import sinks
-from tillflow.streaming.run import EVERY_5_SECONDS, Sink, start, start_files, start_totals
+from tillflow.streaming.run import EVERY_5_SECONDS, Sink, start, start_format, start_totals
 
 CONSOLE_COLLECTION = "year_country_wise_total_sales"
 
@@ -71,14 +73,15 @@ def start_collection(raw: DataFrame, collection: str, sink: Sink, checkpoints: s
                      trigger: dict = EVERY_5_SECONDS, mode: str = "draw") -> StreamingQuery:
     """Running totals of one collection; each batch emits the keys that changed."""
     rows = transactions(raw, needed([collection]), mode)
-    return start_totals(total(rows, collection), sinks.snapshots(sink), collection, checkpoints, trigger)
+    sink = sinks.snapshots({collection: sink}, lambda batch, _: batch)
+    return start_totals(total(rows, collection), sink, collection, checkpoints, trigger)
 
 
 def start_archive(raw: DataFrame, layout: Layout, trigger: dict = EVERY_5_SECONDS,
                   mode: str = "draw") -> StreamingQuery:
     """JSON files of the archive rows, in one directory per year."""
-    return start_files(transactions(raw, ALL, mode).select(*ALL), layout.archive, "archive",
-                       layout.checkpoints, partition_by=("tran_year",), trigger=trigger)
+    return start_format(transactions(raw, ALL, mode).select(*ALL), "json", "archive", layout.checkpoints,
+                        trigger, partition_by=("tran_year",), path=layout.archive)
 
 
 def start_hot(raw: DataFrame, layout: Layout, targets: Targets = Targets(),
@@ -102,7 +105,7 @@ def main_pipeline(raw: DataFrame, layout: Layout, targets: Targets = Targets(),
         archive=sinks.epoch_files(layout.archive, "json", ("tran_year",)),
         hot=_hot_sink(layout, targets, None),
         quarantine=sinks.epoch_files(layout.quarantine))
-    parts = {name: sinks.snapshots(_collection_sink(layout, targets, name)) for name in COLLECTIONS}
+    parts = {name: _collection_sink(layout, targets, name) for name in COLLECTIONS}
     if console:
         to_files, to_screen = parts[CONSOLE_COLLECTION], sinks.console()
         def both(batch: DataFrame, epoch: int) -> None:
@@ -111,7 +114,7 @@ def main_pipeline(raw: DataFrame, layout: Layout, targets: Targets = Targets(),
         parts[CONSOLE_COLLECTION] = both
     return [
         start(rows, row_sink, "rows", layout.checkpoints, trigger),
-        start_totals(totals, sinks.split_totals(parts), "totals", layout.checkpoints, trigger),
+        start_totals(totals, sinks.snapshots(parts, pick), "totals", layout.checkpoints, trigger),
     ]
 
 
@@ -140,6 +143,14 @@ def keyed_pipeline(raw: DataFrame, layout: Layout, targets: Targets = Targets(),
     return queries
 
 
+def publish_pipeline(raw: DataFrame, layout: Layout, fmt: str, trigger: dict = EVERY_5_SECONDS,
+                     **options: str) -> list[StreamingQuery]:
+    """Messages completed with default transaction details, onto the next topic
+    (``kafka`` with ``kafka_options``) or into files."""
+    messages = completed_messages(expand(parse(decode(raw))))
+    return [start_format(messages, fmt, "publish", layout.checkpoints, trigger, **options)]
+
+
 def raw_pipeline(raw: DataFrame, layout: Layout, sink: Sink | None = None,
                  trigger: dict = EVERY_5_SECONDS) -> list[StreamingQuery]:
     """The topic's own columns, undecoded, on the console."""

@@ -46,14 +46,14 @@ def start_totals(df: DataFrame, sink: Sink, name: str, checkpoints: str,
         conf.set("spark.sql.shuffle.partitions", shuffle)
 
 
-def start_files(df: DataFrame, path: str, name: str, checkpoints: str, fmt: str = "json",
-                partition_by: tuple[str, ...] = (), trigger: dict = EVERY_5_SECONDS,
-                **options: str) -> StreamingQuery:
-    """Append to files through Spark's file sink (exactly once by its log)."""
+def start_format(df: DataFrame, fmt: str, name: str, checkpoints: str, trigger: dict = EVERY_5_SECONDS,
+                 partition_by: tuple[str, ...] = (), **options: str) -> StreamingQuery:
+    """Append through one of Spark's own stream sinks. The file formats
+    (``path=...``) are exactly once by their log, ``kafka`` is at least once."""
     writer = _writer(df, name, checkpoints, trigger, "append").format(fmt).options(**options)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    return writer.start(path)
+    return writer.start()
 
 
 def await_any(queries: list[StreamingQuery]) -> None:

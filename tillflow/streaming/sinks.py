@@ -7,11 +7,14 @@ outputs and checkpoints together, and start a new root with a new checkpoint.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from multiprocessing.pool import ThreadPool
+
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillflow.operators.keyed import ARRIVAL, last_write
-from tillflow.operators.totals import COLLECTIONS, pick
 from tillflow.schema import ARCHIVE, HOT, HOT_KEY
 from tillflow.streaming.run import Sink
 
@@ -64,32 +67,29 @@ def null_keys(rows: DataFrame) -> DataFrame:
         F.to_json(F.struct(*HOT)).alias("value"))
 
 
-def snapshots(target: Sink, rows_per_file: int = 1_000_000) -> Sink:
-    """Append the changed running totals of a batch, one row per changed key.
+ROWS_PER_FILE = 1_000_000
+
+
+def snapshots(targets: dict[str, Sink], of: Callable[[DataFrame, str], DataFrame]) -> Sink:
+    """Append the changed running totals of a batch to each collection.
 
-    Every state partition would write a file of its own, so the rows are
-    gathered into as few as their number allows.
+    ``of(batch, collection)`` takes a collection's rows out of the batch, one per
+    changed key. Every state partition would write a file of its own, so the rows
+    are gathered into as few as their number allows.
     """
     def write(batch: DataFrame, epoch: int) -> None:
-        # Cached: counting must not update the state a second time.
+        # Cached: counting and each write must not update the state again.
         batch.persist()
         try:
-            target(batch.repartition(1 + batch.count() // rows_per_file), epoch)
-        finally:
-            batch.unpersist()
-    return write
+            files = 1 + batch.count() // ROWS_PER_FILE
 
+            # Tiny writes, each mostly waiting for its commit: side by side.
+            @inheritable_thread_target(batch.sparkSession)
+            def append(collection: str) -> None:
+                targets[collection](of(batch, collection).repartition(files), epoch)
 
-def split_totals(targets: dict[str, Sink]) -> Sink:
-    """Deal the output of ``all_totals`` out to the collections."""
-    def write(batch: DataFrame, epoch: int) -> None:
-        # Cached: each collection is its own write, and the state must be
-        # updated once. The batch holds only the keys that changed.
-        batch.persist()
-        try:
-            for collection in COLLECTIONS:
-                if collection in targets:
-                    targets[collection](pick(batch, collection), epoch)
+            with ThreadPool(len(targets)) as pool:
+                pool.map(append, targets)
         finally:
             batch.unpersist()
     return write

@@ -96,6 +96,16 @@ def party_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _as_topic(sales(spark, sf_dir), _json(_envelope(users, _detail())))
 
 
+def crowd_topic(spark: SparkSession, sf_dir: str, users: int = 10) -> DataFrame:
+    """Messages of ten users, packed by position in the input: whatever the data,
+    no group grows beyond that. Which users meet is up to the input's order."""
+    rows = sales(spark, sf_dir).select("*", _user(0).alias("who"), F.monotonically_increasing_id().alias("row"))
+    packed = rows.groupBy(F.expr(f"row div {users}").alias("o_orderkey")).agg(
+        F.collect_list("who").alias("who"),
+        *(F.max(c).alias(c) for c in ("o_custkey", "n_name", "o_totalprice", "o_epoch")))
+    return _as_topic(packed, _json(_envelope(F.col("who"), _detail())))
+
+
 def partial_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One message per order; by ``o_orderkey % 4`` it lacks nothing, the cards,
     product and amount, or the whole transaction detail."""
