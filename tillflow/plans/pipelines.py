@@ -60,13 +60,17 @@ class Targets:
 def _collection_sink(layout: Layout, targets: Targets, name: str) -> Sink:
     if targets.collections is not None:
         return targets.collections(name)
-    return sinks.epoch_files(layout.collection(name))
+    return _few_files(layout.collection(name))
+
+
+def _few_files(path: str) -> Sink:
+    return sinks.epoch_files(path, rows_per_file=sinks.ROWS_PER_FILE)
 
 
 def _hot_sink(layout: Layout, targets: Targets, rejected: Sink | None) -> Sink:
     if targets.hot is not None:
         return sinks.keyed(targets.hot, rejected, keep_arrival=False)
-    return sinks.keyed(sinks.epoch_files(layout.hot), rejected)
+    return sinks.keyed(_few_files(layout.hot), rejected)
 
 
 def start_collection(raw: DataFrame, collection: str, sink: Sink, checkpoints: str,
@@ -102,9 +106,9 @@ def main_pipeline(raw: DataFrame, layout: Layout, targets: Targets = Targets(),
     rows = audited_transactions(raw, mode, defaults)
     totals = all_totals(transactions(raw, needed(), mode, defaults))
     row_sink = sinks.fan_out(
-        archive=sinks.epoch_files(layout.archive, "json", ("tran_year",)),
+        archive=sinks.epoch_files(layout.archive, "json", ("tran_year",), sinks.ARCHIVE_ROWS_PER_FILE),
         hot=_hot_sink(layout, targets, None),
-        quarantine=sinks.epoch_files(layout.quarantine))
+        quarantine=_few_files(layout.quarantine))
     parts = {name: _collection_sink(layout, targets, name) for name in COLLECTIONS}
     if console:
         to_files, to_screen = parts[CONSOLE_COLLECTION], sinks.console()

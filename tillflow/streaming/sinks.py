@@ -7,7 +7,8 @@ outputs and checkpoints together, and start a new root with a new checkpoint.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
@@ -19,9 +20,17 @@ from tillflow.schema import ARCHIVE, HOT, HOT_KEY
 from tillflow.streaming.run import Sink
 
 
-def epoch_files(path: str, fmt: str = "parquet", partition_by: tuple[str, ...] = (), **options: str) -> Sink:
-    """Write the batch as directory ``batch_id=<epoch>`` of the path."""
+def epoch_files(path: str, fmt: str = "parquet", partition_by: tuple[str, ...] = (),
+                rows_per_file: int | None = None, **options: str) -> Sink:
+    """Write the batch as directory ``batch_id=<epoch>`` of the path.
+
+    Every partition of the batch writes files of its own, which at one epoch in a
+    few seconds is far too many. ``rows_per_file`` counts the rows and lets that
+    many share a file (per directory); hand over a cached batch then.
+    """
     def write(batch: DataFrame, epoch: int) -> None:
+        if rows_per_file is not None:
+            batch = batch.coalesce(1 + batch.count() // rows_per_file)
         writer = batch.write.format(fmt).mode("overwrite").options(**options)
         if partition_by:
             writer = writer.partitionBy(*partition_by)
@@ -29,6 +38,21 @@ def epoch_files(path: str, fmt: str = "parquet", partition_by: tuple[str, ...] =
     return write
 
 
+# What one task writes in about a second: a micro-batch must not wait for longer
+# than its interval. Compaction makes the files as large as scans want them.
+ARCHIVE_ROWS_PER_FILE = 50_000
+ROWS_PER_FILE = 200_000
+
+
+@contextmanager
+def cached(batch: DataFrame) -> Iterator[DataFrame]:
+    batch.persist()
+    try:
+        yield batch
+    finally:
+        batch.unpersist()
+
+
 def connector(fmt: str, mode: str = "append", epoch_column: str | None = None, **options: str) -> Sink:
     """Write the batch through a connector, for example a keyed table's
     (``org.apache.spark.sql.cassandra``) or a document store's (``mongodb``).
@@ -53,7 +77,8 @@ def keyed(target: Sink, rejected: Sink | None = None, keep_arrival: bool = True)
     def write(batch: DataFrame, epoch: int) -> None:
         rows = batch.select(*HOT, *ARRIVAL)
         kept = last_write(rows.where(F.col(HOT_KEY).isNotNull()), HOT_KEY)
-        target(kept if keep_arrival else kept.select(*HOT), epoch)
+        with cached(kept if keep_arrival else kept.select(*HOT)) as upserts:
+            target(upserts, epoch)
         if rejected is not None:
             rejected(null_keys(rows), epoch)
     return write
@@ -67,31 +92,24 @@ def null_keys(rows: DataFrame) -> DataFrame:
         F.to_json(F.struct(*HOT)).alias("value"))
 
 
-ROWS_PER_FILE = 1_000_000
-
-
 def snapshots(targets: dict[str, Sink], of: Callable[[DataFrame, str], DataFrame]) -> Sink:
     """Append the changed running totals of a batch to each collection.
 
     ``of(batch, collection)`` takes a collection's rows out of the batch, one per
-    changed key. Every state partition would write a file of its own, so the rows
-    are gathered into as few as their number allows.
+    changed key.
     """
     def write(batch: DataFrame, epoch: int) -> None:
-        # Cached: counting and each write must not update the state again.
-        batch.persist()
-        try:
-            files = 1 + batch.count() // ROWS_PER_FILE
+        # Cached and filled: no write may update the state a second time.
+        with cached(batch) as totals:
+            totals.count()
 
             # Tiny writes, each mostly waiting for its commit: side by side.
             @inheritable_thread_target(batch.sparkSession)
             def append(collection: str) -> None:
-                targets[collection](of(batch, collection).repartition(files), epoch)
+                targets[collection](of(totals, collection), epoch)
 
             with ThreadPool(len(targets)) as pool:
                 pool.map(append, targets)
-        finally:
-            batch.unpersist()
     return write
 
 
@@ -115,15 +133,12 @@ def fan_out(archive: Sink, hot: Sink, quarantine: Sink) -> Sink:
     enrichment, with the quarantine columns.
     """
     def write(batch: DataFrame, epoch: int) -> None:
-        batch.persist()
-        try:
-            users = batch.where(F.col("pos").isNotNull())
+        with cached(batch) as rows:
+            users = rows.where(F.col("pos").isNotNull())
             archive(users.select(*ARCHIVE, "tran_year"), epoch)
             hot(users, epoch)
-            quarantine(rejected_messages(batch).unionByName(
+            quarantine(rejected_messages(rows).unionByName(
                 null_keys(users.select(*HOT, *ARRIVAL))), epoch)
-        finally:
-            batch.unpersist()
     return write
 
 

@@ -165,7 +165,11 @@ def stage(spark: SparkSession, sf_dir: str, build=order_topic) -> str:
 
 
 def staged_stream(spark: SparkSession, sf_dir: str, build=order_topic, batches: int = 3) -> DataFrame:
-    """The staged topic as a stream of about ``batches`` micro-batches."""
+    """The staged topic as a stream of at least ``batches`` micro-batches.
+
+    A micro-batch takes up to 2,000 files, about as many as a large cluster reads
+    at a time, so what it caches stays bounded however long the topic is.
+    """
     path = stage(spark, sf_dir, build)
     files = len(spark.read.schema(TOPIC).parquet(path).inputFiles())
-    return topic_files(spark, path, maxFilesPerTrigger=str(-(-files // batches)))
+    return topic_files(spark, path, maxFilesPerTrigger=str(min(2000, -(-files // batches))))
