@@ -187,6 +187,16 @@ def test_compaction_keeps_answers_and_lets_the_stream_go_on(spark, tmp_path):
         history.compact_hot(spark, new.hot, new.hot)
 
 
+def test_an_epoch_writes_few_files(spark, tmp_path):
+    rows = spark.range(0, 1000, 1, 40).withColumn("k", F.col("id") % 2).persist()
+    sinks.epoch_files(str(tmp_path / "few"), rows_per_file=300)(rows, 0)
+    sinks.epoch_files(str(tmp_path / "by_key"), "json", ("k",), 600)(rows, 0)
+    few = spark.read.parquet(str(tmp_path / "few"))
+    assert len(few.inputFiles()) == 4 and few.count() == 1000
+    assert len(spark.read.json(str(tmp_path / "by_key")).inputFiles()) == 4
+    rows.unpersist()
+
+
 def test_damaged_messages_are_set_aside_and_the_rest_flows(spark, tmp_path):
     source, layout = str(tmp_path / "in"), pipelines.Layout(str(tmp_path / "out"))
     payloads = [p for p, _, _ in EDGES.values()]
@@ -194,7 +204,10 @@ def test_damaged_messages_are_set_aside_and_the_rest_flows(spark, tmp_path):
     spark.createDataFrame(rows, TOPIC).write.parquet(source)
     drain(pipelines.main_pipeline(topic_files(spark, source), layout, trigger=AVAILABLE_NOW))
     users = [row for _, _, rows in EDGES.values() for row in rows]
-    assert stored.read_archive(spark, layout.archive).count() == len(users)
+    archive = stored.read_archive(spark, layout.archive)
+    assert archive.count() == len(users)
+    batch = transactions(topic_files(spark, source, streaming=False))
+    assert bag(archive) == bag(batch.select(*ALL))
     reasons = Counter(r.reject_reason for r in stored.read_quarantine(spark, layout.quarantine).collect())
     expected = Counter(reason for _, reason, _ in EDGES.values() if reason)
     expected["null key"] = sum(row[3] is None for row in users)
@@ -225,6 +238,24 @@ def test_default_fill_in_the_stream(spark, tmp_path):
         stored.read_collection(spark, layout.collection(name), name), name)) == Counter([("Visa", 150.5)])
 
 
+def test_five_second_trigger_picks_up_new_files(spark, tmp_path):
+    source, layout = str(tmp_path / "in"), pipelines.Layout(str(tmp_path / "out"))
+    drop(spark, source, [message("a", YEAR_2010, 1.0)])
+    queries = pipelines.main_pipeline(topic_files(spark, source), layout, mode="passthrough")
+    try:
+        for offset, expected in enumerate((1, 2)):
+            if offset:
+                drop(spark, source, [message("a", YEAR_2010, 2.0)], offset)
+            for query in queries:
+                query.processAllAvailable()
+            docs = stored.read_collection(spark, layout.collection(YEAR), YEAR)
+            assert bag(serving.latest_totals(docs, YEAR)) == Counter([(2010, expected)])
+            assert [r.tran_amount for r in stored.read_hot_table(spark, layout.hot).collect()] == [float(expected)]
+    finally:
+        for query in queries:
+            query.stop()
+
+
 def test_collections_are_empty_and_typed_before_the_first_batch(spark, tmp_path):
     nowhere = str(tmp_path / "none")
     for name, (keys, value) in totals.COLLECTIONS.items():

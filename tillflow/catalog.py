@@ -381,7 +381,7 @@ _runs: dict[tuple[str, str], pipelines.Layout] = {}
 def _main_run(spark: SparkSession, sf_dir: str) -> pipelines.Layout:
     """The main pipeline over the staged party topic, run once per application."""
     place = (spark.sparkContext.applicationId, sf_dir)
-    if place not in _runs or not workload._exists(spark, _runs[place].root):
+    if place not in _runs:
         layout = pipelines.Layout(shared_dir(spark, "main"))
         raw = workload.staged_stream(spark, sf_dir, workload.party_topic)
         drain(pipelines.main_pipeline(raw, layout, trigger=AVAILABLE_NOW))

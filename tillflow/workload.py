@@ -140,11 +140,6 @@ def event_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return payload(events, key=F.col("user_id").cast("string"))
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop)
-
-
 _staged: dict[tuple[str, str, str], str] = {}
 
 
@@ -155,7 +150,7 @@ def stage(spark: SparkSession, sf_dir: str, build=order_topic) -> str:
     at most a million messages in each.
     """
     place = (spark.sparkContext.applicationId, sf_dir, build.__name__)
-    if place not in _staged or not _exists(spark, _staged[place]):
+    if place not in _staged:
         path = shared_dir(spark, build.__name__)
         orders = table(spark, sf_dir, "orders").count()
         per_file = max(1, min(1_000_000, -(-orders // 6)))
