@@ -187,6 +187,18 @@ def test_compaction_keeps_answers_and_lets_the_stream_go_on(spark, tmp_path):
         history.compact_hot(spark, new.hot, new.hot)
 
 
+@pytest.mark.parametrize("pipeline, queries", [
+    (pipelines.main_pipeline, 2), (pipelines.separate_pipeline, 7), (pipelines.keyed_pipeline, 3)])
+def test_each_query_reads_each_message_once(spark, tmp_path, pipeline, queries):
+    """However many sinks a query has, a micro-batch is not recomputed for them."""
+    source, layout = str(tmp_path / "in"), pipelines.Layout(str(tmp_path / "out"))
+    drop(spark, source, [message(f"u{i}", YEAR_2010) for i in range(50)])
+    running = pipeline(topic_files(spark, source), layout, trigger=AVAILABLE_NOW)
+    drain(running)
+    read = {q.name: sum(p["numInputRows"] for p in q.recentProgress) for q in running}
+    assert len(read) == queries and set(read.values()) == {50}
+
+
 def test_an_epoch_writes_few_files(spark, tmp_path):
     rows = spark.range(0, 1000, 1, 40).withColumn("k", F.col("id") % 2).persist()
     sinks.epoch_files(str(tmp_path / "few"), rows_per_file=300)(rows, 0)

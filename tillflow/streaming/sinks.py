@@ -8,7 +8,7 @@ outputs and checkpoints together, and start a new root with a new checkpoint.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from contextlib import contextmanager
+from contextlib import contextmanager, nullcontext
 from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
@@ -76,11 +76,13 @@ def keyed(target: Sink, rejected: Sink | None = None, keep_arrival: bool = True)
     """
     def write(batch: DataFrame, epoch: int) -> None:
         rows = batch.select(*HOT, *ARRIVAL)
-        kept = last_write(rows.where(F.col(HOT_KEY).isNotNull()), HOT_KEY)
-        with cached(kept if keep_arrival else kept.select(*HOT)) as upserts:
-            target(upserts, epoch)
-        if rejected is not None:
-            rejected(null_keys(rows), epoch)
+        # Two writes must not read and parse the batch twice.
+        with cached(rows) if rejected is not None else nullcontext():
+            kept = last_write(rows.where(F.col(HOT_KEY).isNotNull()), HOT_KEY)
+            with cached(kept if keep_arrival else kept.select(*HOT)) as upserts:
+                target(upserts, epoch)
+            if rejected is not None:
+                rejected(null_keys(rows), epoch)
     return write
 
 
