@@ -5,11 +5,14 @@ import contextlib
 from collections import Counter, defaultdict
 from datetime import datetime, timedelta
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
+import oracle
+from conftest import SMALL
 from tillflow import workload
-from tillflow.catalog import QUERIES
+from tillflow.catalog import ORACLES, QUERIES
 from tillflow.operators.keyed import last_write
 from tillflow.plans.rows import transactions
 from tillflow.schema import HOT
@@ -44,6 +47,27 @@ def expected():
             datetime(1997, 1, 1) + timedelta(days=o % 900), (o * 37 % 100000) / 100
 
 
+@pytest.fixture(scope="module")
+def copies(tmp_path_factory):
+    """Tables of which a third are copies of two orders."""
+    root = tmp_path_factory.mktemp("copies")
+    for name in oracle.TABLES:
+        if name != "orders":
+            (root / f"{name}.parquet").symlink_to(f"{SMALL}/{name}.parquet")
+    duckdb.execute(f"""COPY (
+        SELECT * FROM '{SMALL}/orders.parquet' UNION ALL
+        SELECT o.* FROM '{SMALL}/orders.parquet' o, range(400) WHERE o_orderkey IN (7, 13)
+    ) TO '{root}/orders.parquet'""")
+    return str(root)
+
+
+@pytest.mark.parametrize("name", [
+    "archive_rows", "surviving_rows", "last_write_per_key", "main_hot_table", "main_archive", "main_card_sales",
+    "variant_sinks_agree", "quarantine_counts", "serving_top100_country"])
+def test_copies(spark, copies, name):
+    assert oracle.assert_equal(QUERIES[name](spark, copies), oracle.connect(copies), ORACLES[name]) > 0
+
+
 @pytest.fixture
 def no_broadcast(confs):
     """Joins as at scale: no side fits a broadcast, small skew thresholds."""

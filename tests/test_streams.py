@@ -209,6 +209,17 @@ def test_an_epoch_writes_few_files(spark, tmp_path):
     rows.unpersist()
 
 
+@pytest.mark.parametrize("pipeline", [pipelines.main_pipeline, pipelines.separate_pipeline])
+def test_outputs_are_not_overwritten_from_a_new_checkpoint(spark, tmp_path, pipeline):
+    source, layout = str(tmp_path / "in"), pipelines.Layout(str(tmp_path / "out"))
+    drop(spark, source, [message("a", YEAR_2010)])
+    drain(pipeline(topic_files(spark, source), layout, trigger=AVAILABLE_NOW))
+    elsewhere = pipelines.Layout(layout.root, str(tmp_path / "new"))
+    with pytest.raises(ValueError, match="checkpoint"):
+        pipeline(topic_files(spark, source), elsewhere, trigger=AVAILABLE_NOW)
+    assert not spark.streams.active
+
+
 def test_damaged_messages_are_set_aside_and_the_rest_flows(spark, tmp_path):
     source, layout = str(tmp_path / "in"), pipelines.Layout(str(tmp_path / "out"))
     payloads = [p for p, _, _ in EDGES.values()]

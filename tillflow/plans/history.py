@@ -9,7 +9,7 @@ from tillflow.operators.serving import latest_totals
 from tillflow.operators.totals import COLLECTIONS
 from tillflow.plans.pipelines import Layout
 from tillflow.schema import HOT_KEY
-from tillflow.sources.stored import read_archive, read_collection, read_hot_changes
+from tillflow.sources.stored import BASE, read_archive, read_collection, read_hot_changes
 
 HISTORY_VIEW = "transactions"
 
@@ -51,10 +51,6 @@ def compact(spark: SparkSession, old: Layout, new: Layout) -> None:
         compact_collection(spark, old.collection(name), new.collection(name), name)
 
 
-# The base precedes every epoch, so whatever a stream writes later wins over it.
-BASE = -1
-
-
 def _write_base(rows: DataFrame, source: str, target: str) -> None:
     _distinct(source, target)
     rows.drop("batch_id").hint("rebalance").write.parquet(f"{target}/batch_id={BASE}")

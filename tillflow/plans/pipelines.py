@@ -14,6 +14,7 @@ from tillflow.operators.totals import COLLECTIONS, all_totals, needed, pick, tot
 from tillflow.plans.publish import completed_messages
 from tillflow.plans.rows import ALL, audited_transactions, transactions
 from tillflow.schema import HOT
+from tillflow.sources.stored import BASE, exists
 from tillflow.streaming import sinks
 from tillflow.streaming.run import EVERY_5_SECONDS, Sink, start, start_format, start_totals
 
@@ -73,6 +74,16 @@ def _hot_sink(layout: Layout, targets: Targets, rejected: Sink | None) -> Sink:
     return sinks.keyed(_few_files(layout.hot), rejected)
 
 
+def _refuse_lost_checkpoint(raw: DataFrame, output: str, checkpoint: str) -> None:
+    """A new checkpoint counts epochs from 0 again: it would overwrite old ones, or
+    Spark's file sink, finding them in its log, would drop the new."""
+    spark = raw.sparkSession
+    written = any(exists(spark, f"{output}/{part}")
+                  for part in (f"batch_id={BASE}", "batch_id=0", "_spark_metadata"))
+    if written and not exists(spark, f"{checkpoint}/metadata"):
+        raise ValueError(f"{output} has epochs of a checkpoint that is not at {checkpoint}")
+
+
 def start_collection(raw: DataFrame, collection: str, sink: Sink, checkpoints: str,
                      trigger: dict = EVERY_5_SECONDS, mode: str = "draw") -> StreamingQuery:
     """Running totals of one collection; each batch emits the keys that changed."""
@@ -84,6 +95,7 @@ def start_collection(raw: DataFrame, collection: str, sink: Sink, checkpoints: s
 def start_archive(raw: DataFrame, layout: Layout, trigger: dict = EVERY_5_SECONDS,
                   mode: str = "draw") -> StreamingQuery:
     """JSON files of the archive rows, in one directory per year."""
+    _refuse_lost_checkpoint(raw, layout.archive, f"{layout.checkpoints}/archive")
     return start_format(transactions(raw, ALL, mode).select(*ALL), "json", "archive", layout.checkpoints,
                         trigger, partition_by=("tran_year",), path=layout.archive)
 
@@ -91,6 +103,7 @@ def start_archive(raw: DataFrame, layout: Layout, trigger: dict = EVERY_5_SECOND
 def start_hot(raw: DataFrame, layout: Layout, targets: Targets = Targets(),
               trigger: dict = EVERY_5_SECONDS, mode: str = "draw") -> StreamingQuery:
     """The keyed table: each micro-batch upserts the last row of each key."""
+    _refuse_lost_checkpoint(raw, layout.hot, f"{layout.checkpoints}/hot")
     sink = _hot_sink(layout, targets, sinks.epoch_files(layout.null_keys))
     return start(transactions(raw, HOT, mode), sink, "hot", layout.checkpoints, trigger)
 
@@ -103,6 +116,7 @@ def main_pipeline(raw: DataFrame, layout: Layout, targets: Targets = Targets(),
     Two queries, so the topic is read and parsed twice however many outputs there
     are: rows fan out inside one micro-batch, totals share one aggregate.
     """
+    _refuse_lost_checkpoint(raw, layout.archive, f"{layout.checkpoints}/rows")
     rows = audited_transactions(raw, mode, defaults)
     totals = all_totals(transactions(raw, needed(), mode, defaults))
     row_sink = sinks.fan_out(

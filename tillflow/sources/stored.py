@@ -10,6 +10,9 @@ from tillflow.operators.keyed import ARRIVAL, last_write
 from tillflow.operators.totals import COLLECTIONS
 from tillflow.schema import ARCHIVE_ROW, HOT_KEY, HOT_ROW, struct
 
+# The epoch of compacted rows. It precedes every epoch of a stream, so whatever a
+# stream writes later wins over it.
+BASE = -1
 BATCH = T.StructField("batch_id", T.LongType())
 
 _KEY_TYPES = {"tran_year": T.IntegerType(), "nationality": T.StringType(),
@@ -37,6 +40,16 @@ def _read(spark: SparkSession, path: str, schema: T.StructType, fmt: str) -> Dat
         return spark.createDataFrame([], schema)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    try:
+        spark.read.text(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return False
+    return True
+
+
 def read_archive(spark: SparkSession, path: str) -> DataFrame:
     """The archived rows and ``tran_year``, the partition column.
 
