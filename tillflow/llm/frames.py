@@ -3,11 +3,15 @@ that no hot group lands in one task of, connected components."""
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Sequence
+from pathlib import Path
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+import tillflow
 from tillflow.session import shared_dir
 
 BLOCKS = 1024
@@ -21,8 +25,22 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def document(spark, sf_dir: str, table: str = "documents") -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+def ship(spark: SparkSession) -> None:
+    """Gives the executors' Python this package, as ``--py-files`` does, once an application."""
+    sc, root = spark.sparkContext, Path(tillflow.__file__).parent
+    if getattr(sc, "_tillflow_shipped", False) or not root.is_dir():
+        return
+    archive = Path(tempfile.mkdtemp(prefix="tillflow-code-")) / "tillflow.zip"
+    with zipfile.ZipFile(archive, "w") as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, f.relative_to(root.parent))
+    sc.addPyFile(str(archive))
+    sc._tillflow_shipped = True
+
+
+def table(spark: SparkSession, sf_dir: str, name: str = "documents") -> DataFrame:
+    ship(spark)
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def text_md5(key: Column, text: Column) -> Column:

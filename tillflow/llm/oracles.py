@@ -89,3 +89,26 @@ SELECT doc_id, source, size, source_size, target, (first + second)::BIGINT AS ta
   CASE WHEN first > 0 THEN {_moment()} END AS position
 FROM passes
 """
+
+_BARE = r"regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g')"
+
+OP3 = f"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id, source, text, string_split(text, chr(10)) AS lines FROM documents),
+split AS (
+  SELECT r, source, unnest(lines) AS line, unnest(range(len(lines))) AS place FROM docs),
+bare AS (SELECT *, {_BARE} AS b FROM split),
+counts AS (SELECT source, b, count(DISTINCT r) AS n FROM bare WHERE b <> '' GROUP BY source, b),
+totals AS (SELECT source, count(*) AS pages FROM documents GROUP BY source),
+boilerplate AS (
+  SELECT counts.source, b FROM counts JOIN totals ON counts.source IS NOT DISTINCT FROM totals.source
+  WHERE n >= 5 AND n > pages * 0.05::DOUBLE),
+kept AS (
+  SELECT r, coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (WHERE x.b IS NULL), '') AS text,
+    count(x.b) AS n_dropped
+  FROM bare LEFT JOIN boilerplate x ON bare.source IS NOT DISTINCT FROM x.source AND bare.b = x.b
+  GROUP BY r)
+SELECT docs.doc_id, docs.source, CASE WHEN docs.text IS NULL THEN NULL ELSE kept.text END AS text,
+  coalesce(len(docs.lines), 0)::BIGINT AS n_lines, coalesce(kept.n_dropped, 0)::BIGINT AS n_dropped
+FROM docs LEFT JOIN kept USING (r)
+"""

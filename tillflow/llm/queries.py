@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillflow.llm import curriculum, frames, oracles, sharding
+from tillflow.llm import curriculum, frames, oracles, pieces, sharding, site_lines, token_files
 
 #: Sixteen shards of equal weight: two regions of two racks of four.
 REGIONS = (((1.0,) * 4,) * 2,) * 2
@@ -13,7 +14,7 @@ REGIONS = (((1.0,) * 4,) * 2,) * 2
 
 def op1_hash_tree_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.col("text")
-    docs = frames.document(spark, sf_dir).select(
+    docs = frames.table(spark, sf_dir).select(
         "doc_id",
         (F.coalesce(F.octet_length(text), F.lit(0)) + 1).cast("long").alias("size"),
         F.crc32(F.coalesce(text, F.lit("")).cast("binary")).alias("text_crc32"),
@@ -27,11 +28,26 @@ def op1_hash_tree_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_curriculum_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document, range-sorted by the moment the mix first takes it; untaken last."""
-    mixed = curriculum.assign(frames.document(spark, sf_dir))
+    mixed = curriculum.assign(frames.table(spark, sf_dir))
     position = F.try_element_at("passes", F.lit(1))["position"]
     mixed = mixed.select("doc_id", "source", "size", "source_size", "target", "taken", position.alias("position"))
     return mixed.orderBy(F.col("position").asc_nulls_last(), "doc_id")
 
 
-QUERIES = {f.__name__: f for f in (op1_hash_tree_sharding, op5_curriculum_mixing)}
-ORACLES = {"op1_hash_tree_sharding": oracles.OP1, "op5_curriculum_mixing": oracles.OP5}
+def op3_site_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = frames.table(spark, sf_dir).select("doc_id", "source", "text")
+    return site_lines.without_boilerplate(docs)
+
+
+def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encoded(frames.table(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    manifest = token_files.written(frames.table(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"), 2)
+    return token_files.read_back(manifest).withColumnRenamed("key", "doc_id")
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_hash_tree_sharding, op3_site_line_dedup, op4_sentencepiece, op5_curriculum_mixing, op10_token_files)}
+ORACLES = {"op1_hash_tree_sharding": oracles.OP1, "op3_site_line_dedup": oracles.OP3, "op5_curriculum_mixing": oracles.OP5}
