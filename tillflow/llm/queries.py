@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillflow.llm import curriculum, frames, oracles, pieces, sharding, site_lines, token_files
+from tillflow.llm import curriculum, dart_minhash, frames, oracles, pieces, sharding, site_lines, token_files
 
 #: Sixteen shards of equal weight: two regions of two racks of four.
 REGIONS = (((1.0,) * 4,) * 2,) * 2
@@ -34,6 +34,11 @@ def op5_curriculum_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.orderBy(F.col("position").asc_nulls_last(), "doc_id")
 
 
+def op2_dart_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = dart_minhash.classes(frames.table(spark, sf_dir))
+    return found.select("doc_id", "class_id", "copies", F.col("doc_id").eqNullSafe(F.col("class_id")).alias("kept"))
+
+
 def op3_site_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = frames.table(spark, sf_dir).select("doc_id", "source", "text")
     return site_lines.without_boilerplate(docs)
@@ -49,5 +54,5 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_hash_tree_sharding, op3_site_line_dedup, op4_sentencepiece, op5_curriculum_mixing, op10_token_files)}
+    op1_hash_tree_sharding, op2_dart_minhash_dedup, op3_site_line_dedup, op4_sentencepiece, op5_curriculum_mixing, op10_token_files)}
 ORACLES = {"op1_hash_tree_sharding": oracles.OP1, "op3_site_line_dedup": oracles.OP3, "op5_curriculum_mixing": oracles.OP5}
