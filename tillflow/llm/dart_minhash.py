@@ -57,7 +57,7 @@ def shingles(texts: tx.Texts, n: int = WORDS, weights: str = "count") -> tuple[n
             has = words.per_doc[short] > i
             h[has] = tx.mix(h[has] * np.uint64(31) + words.hash[first[has] + i])
         hashes, doc = np.concatenate([hashes, h]), np.concatenate([doc, short])
-    own = tx.mix(hashes + doc.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    own = tx.mix(hashes + doc.astype(np.uint64) * tx.STEP)
     _, index, count = np.unique(own, return_index=True, return_counts=True)
     weight = count.astype(np.float64) if weights == "count" else np.ones(len(index))
     return doc[index], hashes[index], weight
@@ -187,7 +187,6 @@ def similarity(pairs: DataFrame, *, weights: str = "count", words: int = WORDS)
                            T.StructField("similarity", T.DoubleType())])
 
     def run(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        step = np.uint64(0x9E3779B97F4A7C15)
         for table in tables:
             for first in range(0, table.num_rows, 256):
                 part = table.slice(first, 256)
@@ -197,7 +196,7 @@ def similarity(pairs: DataFrame, *, weights: str = "count", words: int = WORDS)
                     for a, _, batch in tx.batches(part.column(column)):
                         d, h, w = shingles(batch, words, weights)
                         doc.append(d + a)
-                        key.append(tx.mix(h + (d + a).astype(np.uint64) * step))
+                        key.append(tx.mix(h + (d + a).astype(np.uint64) * tx.STEP))
                         weight.append(w)
                     sides.append([np.concatenate(x) for x in (doc, key, weight)])
                 (doc_a, key_a, w_a), (doc_b, key_b, w_b) = sides

@@ -16,7 +16,7 @@ from functools import cached_property
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -24,6 +24,14 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
 
+#: Odd, to tell equal hashes of different texts of a batch apart.
+STEP = np.uint64(0x9E3779B97F4A7C15)
+
+
+def is_space(data: np.ndarray) -> np.ndarray:
+    return _SPACE[data]
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """Scramble 64-bit values (the splitmix64 finaliser)."""
     h = h ^ (h >> np.uint64(30))
@@ -55,6 +63,15 @@ def _power(base: int, n: int) -> np.ndarray:
     return held[:n]
 
 
+def distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The keys in order, each once, and how often each occurs."""
+    keys = np.sort(keys)
+    first = np.ones(len(keys), bool)
+    first[1:] = keys[1:] != keys[:-1]
+    at = np.flatnonzero(first)
+    return keys[at], np.diff(at, append=len(keys))
+
+
 def first_of_each(keys: np.ndarray) -> np.ndarray:
     """True where a key occurs for the first time."""
     first = np.zeros(len(keys), bool)
@@ -65,9 +82,8 @@ def first_of_each(keys: np.ndarray) -> np.ndarray:
 class Texts:
     """Texts laid end to end; null counts as empty."""
 
-    def __init__(self, data: np.ndarray, offsets: np.ndarray, lower: bool = False):
-        self.data = _LOWER[data] if lower else data
-        self.offsets = offsets
+    def __init__(self, data: np.ndarray, offsets: np.ndarray):
+        self.data, self.offsets = data, offsets
 
     def __len__(self) -> int:
         return len(self.offsets) - 1
@@ -76,6 +92,10 @@ class Texts:
     def sizes(self) -> np.ndarray:
         return np.diff(self.offsets)
 
+    def lowered(self) -> Texts:
+        """The texts with A to Z in lower case."""
+        return Texts(_LOWER[self.data], self.offsets)
+
     @cached_property
     def _sums(self) -> np.ndarray:
         sums = np.zeros(len(self.data) + 1, np.uint64)
@@ -154,7 +174,7 @@ class Words:
         return mix(h[at]), at
 
 
-def batches(column: pa.Array, limit: int = SLICE_BYTES, lower: bool = False) -> Iterator[tuple[int, int, Texts]]:
+def batches(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int, Texts]]:
     """The column in runs of about ``limit`` bytes; a longer text is a run alone."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
@@ -167,5 +187,5 @@ def batches(column: pa.Array, limit: int = SLICE_BYTES, lower: bool = False) ->
     while first < len(column):
         last = int(np.searchsorted(offsets, offsets[first] + limit, "right")) - 1
         last = min(max(last, first + 1), len(column))
-        yield first, last, Texts(data[offsets[first]:offsets[last]], offsets[first:last + 1] - offsets[first], lower)
+        yield first, last, Texts(data[offsets[first]:offsets[last]], offsets[first:last + 1] - offsets[first])
         first = last
