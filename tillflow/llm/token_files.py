@@ -11,6 +11,7 @@ keys and lengths of its documents.
 from __future__ import annotations
 
 import json
+import os
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -50,6 +51,8 @@ def _word_by_word(path: str) -> bool:
 def _loaded(path: str):
     from tokenizers import Tokenizer
 
+    # Spark has a task for every core already.
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
     tokenizer = Tokenizer.from_file(path)
 
     def encode(texts: list[str]) -> list[list[int]]:
@@ -65,7 +68,8 @@ def encode_texts(texts: tx.Texts, path: str) -> tuple[np.ndarray, np.ndarray]:
         # Added tokens would be torn at their marks; a batch that may hold one is cut
         # at white space only.
         torn = np.any((texts.data[:-1] == ord("<")) & (texts.data[1:] == ord("|")))
-        parts = texts.words if torn else vocab.words_and_marks(texts)
+        # The tokenizer lower-cases; words that differ in case only are encoded once.
+        parts = texts.words if torn else vocab.words_and_marks(texts.lowered())
         ids, count = spans(parts)
         return ids, vocab.per_text(parts, count)
     whole = tx.Words(texts, texts.offsets[:-1], texts.offsets[1:])
@@ -184,7 +188,7 @@ def written(docs: DataFrame, tokenizer: str, end: int, *, key: str = "doc_id", t
         part, out, index = TaskContext.get().partitionId(), None, None
         n_docs = 0
         for table in tables:
-            for a, b, texts in tx.batches(table.column(1), lower=False):
+            for a, b, texts in tx.batches(table.column(1)):
                 if out is None:
                     name = f"{folder.rstrip('/')}/part-{part:06d}-{uuid.uuid4().hex}"
                     fs, place = _filesystem(folder)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from itertools import chain
 
 import numpy as np
 
@@ -23,16 +24,28 @@ class SpanIds:
     so memory is bounded and results are the same.
     """
 
-    def __init__(self, encode: Callable[[list[str]], list[list[int]]], limit: int = 1 << 20):
+    def __init__(self, encode: Callable[[list[str]], list[list[int]]], limit: int = 1 << 21):
         self.encode, self.limit = encode, limit
         self._reset()
 
     def _reset(self) -> None:
-        self.known: dict[int, int] = {}
+        self.known = np.zeros(0, np.uint64)
         self.start = np.zeros(0, np.int64)
-        self.count = np.zeros(0, np.int64)
+        self.count = np.zeros(0, np.int32)
         self.pool = np.zeros(0, np.uint32)
 
+    def _learn(self, hashes: np.ndarray, spans: list[str]) -> None:
+        lists = self.encode(spans)
+        count = np.fromiter(map(len, lists), np.int32, len(lists))
+        flat = np.fromiter(chain.from_iterable(lists), np.uint32, int(count.sum()))
+        start = len(self.pool) + np.cumsum(count, dtype=np.int64) - count
+        self.pool = np.concatenate([self.pool, flat])
+        known = np.concatenate([self.known, hashes])
+        order = np.argsort(known, kind="stable")
+        self.known = known[order]
+        self.start = np.concatenate([self.start, start])[order]
+        self.count = np.concatenate([self.count, count])[order]
+
     def __call__(self, spans: Words) -> tuple[np.ndarray, np.ndarray]:
         """All ids in order, and how many each span has."""
         if not len(spans):
@@ -40,20 +53,17 @@ class SpanIds:
         if len(self.known) > self.limit:
             self._reset()
         distinct, first, which = np.unique(spans.hash, return_index=True, return_inverse=True)
-        hashes = distinct.tolist()
-        slot = np.fromiter((self.known.get(h, -1) for h in hashes), np.int64, len(hashes))
-        new = np.flatnonzero(slot < 0)
+        at = np.searchsorted(self.known, distinct)
+        if len(self.known):
+            new = np.flatnonzero(self.known[np.minimum(at, len(self.known) - 1)] != distinct)
+        else:
+            new = np.arange(len(distinct))
         if len(new):
-            lists = self.encode(spans.strings(first[new]))
-            count = np.fromiter(map(len, lists), np.int64, len(lists))
-            flat = np.fromiter((i for ids in lists for i in ids), np.uint32, int(count.sum()))
-            slot[new] = len(self.known) + np.arange(len(new))
-            self.known.update((hashes[i], int(s)) for i, s in zip(new.tolist(), slot[new].tolist()))
-            self.start = np.concatenate([self.start, len(self.pool) + np.cumsum(count) - count])
-            self.count = np.concatenate([self.count, count])
-            self.pool = np.concatenate([self.pool, flat])
-        at = slot[which.reshape(-1)]
-        return spread(self.pool, self.start[at], self.count[at]), self.count[at]
+            self._learn(distinct[new], spans.strings(first[new]))
+            at = np.searchsorted(self.known, distinct)
+        at = at[which.reshape(-1)]
+        count = self.count[at].astype(np.int64)
+        return spread(self.pool, self.start[at], count), count
 
 
 def per_text(spans: Words, count: np.ndarray) -> np.ndarray:
