@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillflow.llm import curriculum, dart_minhash, fertility, frames, nbsvm, oracles, pieces, sharding, site_lines, token_files
+from tillflow.llm import context_tree, curriculum, dart_minhash, fertility, frames, nbsvm, oracles, pieces, sharding, site_lines, token_files
 
 #: Sixteen shards of equal weight: two regions of two racks of four.
 REGIONS = (((1.0,) * 4,) * 2,) * 2
@@ -48,15 +48,16 @@ def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encoded(frames.table(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
 
 
-def held_out(key: str = "doc_id") -> Column:
-    return F.crc32(F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary")) % 4 == 2
+def held_out(parts: int) -> Column:
+    """Whether a document is kept from learning: its id's checksum leaves 2."""
+    return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % parts == 2
 
 
 def op7_nbsvm_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = frames.table(spark, sf_dir)
-    model = nbsvm.train(docs, frames.table(spark, sf_dir, "labels"), learn_from=~held_out())
+    model = nbsvm.train(docs, frames.table(spark, sf_dir, "labels"), learn_from=~held_out(4))
     scores = nbsvm.scored(docs, model)
-    return scores.select("doc_id", held_out().alias("held_out"), "score",
+    return scores.select("doc_id", held_out(4).alias("held_out"), "score",
                          (F.col("score") >= nbsvm.THRESHOLD).cast("int").alias("predicted"))
 
 
@@ -64,6 +65,10 @@ def op8_tokenizer_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fertility.judged(frames.table(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model")).drop("language")
 
 
+def op9_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return context_tree.scored(frames.table(spark, sf_dir), held_out(7))
+
+
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = token_files.written(frames.table(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"), 2)
     return token_files.read_back(manifest).withColumnRenamed("key", "doc_id")
@@ -71,5 +76,5 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_hash_tree_sharding, op2_dart_minhash_dedup, op3_site_line_dedup, op4_sentencepiece, op5_curriculum_mixing,
-    op7_nbsvm_quality, op8_tokenizer_fertility, op10_token_files)}
+    op7_nbsvm_quality, op8_tokenizer_fertility, op9_context_tree, op10_token_files)}
 ORACLES = {"op1_hash_tree_sharding": oracles.OP1, "op3_site_line_dedup": oracles.OP3, "op5_curriculum_mixing": oracles.OP5}
