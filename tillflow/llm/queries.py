@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillflow.llm import context_tree, curriculum, dart_minhash, fertility, frames, nbsvm, oracles, pieces, sharding, site_lines, token_files
+from tillflow.llm import context_tree, curriculum, dart_minhash, fertility, frames, grid_join, nbsvm, oracles, pieces, sharding, site_lines, token_files
 
 #: Sixteen shards of equal weight: two regions of two racks of four.
 REGIONS = (((1.0,) * 4,) * 2,) * 2
@@ -48,6 +48,10 @@ def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encoded(frames.table(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op6_epsilon_grid_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return grid_join.near_duplicates(frames.table(spark, sf_dir, "embeddings"))
+
+
 def held_out(parts: int) -> Column:
     """Whether a document is kept from learning: its id's checksum leaves 2."""
     return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % parts == 2
@@ -76,5 +80,5 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_hash_tree_sharding, op2_dart_minhash_dedup, op3_site_line_dedup, op4_sentencepiece, op5_curriculum_mixing,
-    op7_nbsvm_quality, op8_tokenizer_fertility, op9_context_tree, op10_token_files)}
+    op6_epsilon_grid_join, op7_nbsvm_quality, op8_tokenizer_fertility, op9_context_tree, op10_token_files)}
 ORACLES = {"op1_hash_tree_sharding": oracles.OP1, "op3_site_line_dedup": oracles.OP3, "op5_curriculum_mixing": oracles.OP5}
