@@ -16,7 +16,7 @@ from functools import cached_property
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -84,6 +84,7 @@ class Texts:
 
     def __init__(self, data: np.ndarray, offsets: np.ndarray):
         self.data, self.offsets = data, offsets
+        self._derived: list[Texts] = []
 
     def __len__(self) -> int:
         return len(self.offsets) - 1
@@ -94,7 +95,17 @@ class Texts:
 
     def lowered(self) -> Texts:
         """The texts with A to Z in lower case."""
-        return Texts(_LOWER[self.data], self.offsets)
+        self._derived.append(Texts(_LOWER[self.data], self.offsets))
+        return self._derived[-1]
+
+    def release(self) -> None:
+        """Let go of what was computed. Texts and their words refer to each other, and
+        large arrays would stay until Python happens to look for such rings."""
+        for texts in self._derived:
+            texts.release()
+        for name in ("words", "lines", "_sums", "_derived"):
+            self.__dict__.pop(name, None)
+        self._derived = []
 
     @cached_property
     def _sums(self) -> np.ndarray:
@@ -175,7 +186,8 @@ class Words:
 
 
 def batches(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int, Texts]]:
-    """The column in runs of about ``limit`` bytes; a longer text is a run alone."""
+    """The column in runs of about ``limit`` bytes; a longer text is a run alone. A run
+    is good until the next one is asked for."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     column = column.cast(pa.large_binary())
@@ -187,5 +199,8 @@ def batches(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, i
     while first < len(column):
         last = int(np.searchsorted(offsets, offsets[first] + limit, "right")) - 1
         last = min(max(last, first + 1), len(column))
-        yield first, last, Texts(data[offsets[first]:offsets[last]], offsets[first:last + 1] - offsets[first])
+        texts = Texts(data[offsets[first]:offsets[last]], offsets[first:last + 1] - offsets[first])
+        yield first, last, texts
+        texts.release()
         first = last
+    pa.default_memory_pool().release_unused()
