@@ -102,7 +102,7 @@ _spans: dict[str, tuple] = {}
 def _loaded(model: str, threads: int) -> tuple[vocab.SpanIds, np.ndarray]:
     """The encoder of single words, and which ids are byte tokens."""
     if model not in _spans:
-        _, encode, _ = pieces.loaded(model, threads)
+        encode, _, _ = pieces.loaded(model, threads)
         kinds = np.array([kind for *_, kind in pieces.read_model(model).pieces])
         _spans[model] = vocab.SpanIds(encode), kinds == pieces.BYTE
     return _spans[model]

@@ -12,6 +12,7 @@ import struct
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -140,38 +141,58 @@ def build(model: Model):
     return tokenizer
 
 
+@lru_cache(maxsize=2)
+def _tokenizer(path: str):
+    return build(read_model(path))
+
+
 @lru_cache(maxsize=2)
 def loaded(path: str, threads: int):
-    """(tokenizer, spans of it) of a worker process. The library's thread pool is
-    made at its first use, so the number of threads is set before."""
+    """(encode, whether texts come back, spans) of a worker process. The library's
+    thread pool is made at its first use, so the number of threads is set before."""
     os.environ["TOKENIZERS_PARALLELISM"] = "true" if threads > 1 else "false"
     os.environ.setdefault("RAYON_NUM_THREADS", str(threads))
-    model = read_model(path)
-    tokenizer = build(model)
+    model, tokenizer = read_model(path), _tokenizer(path)
 
     def encode(texts: list[str]) -> list[list[int]]:
         return [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def returns(texts: list[str], ids: list[list[int]]) -> list[bool]:
+        return [x == y for x, y in zip(tokenizer.decode_batch(ids, skip_special_tokens=False), texts)]
+
     exact = splits_at_spaces(model) and model.dummy_prefix and not model.charsmap and not model.squeeze
-    return tokenizer, encode, vocab.SpanIds(encode) if exact else None
+    return encode, returns, vocab.SpanIds(encode, test=returns) if exact else None
 
 
-def encode_texts(texts: tx.Texts, path: str, threads: int = 2) -> tuple[np.ndarray, np.ndarray]:
-    """All ids of a batch and how many each text has.
+def encode_texts(texts: tx.Texts, path: str, threads: int = 2) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All ids of a batch, how many each text has, and whether they decode to the text.
 
     Where the model allows it, texts are cut at single spaces, which the dummy prefix
-    of each part stands for; equal parts are then encoded once, and a text of any
-    length is many short parts.
+    of each part stands for; equal parts are then encoded, and decoded again, once, and
+    a text of any length is many short parts. Each part but the first starts with the
+    marker, which decodes to the space between the parts, so a text comes back if all
+    its parts do.
     """
-    _, encode, spans = loaded(path, threads)
+    encode, returns, spans = loaded(path, threads)
     if spans is not None:
         parts = vocab.between_single_spaces(texts)
-        ids, count = spans(parts)
-        return ids, vocab.per_text(parts, count)
-    whole = tx.Words(texts, texts.offsets[:-1], texts.offsets[1:])
-    lists = encode(whole.strings(np.arange(len(texts))))
+        ids, count, back = spans.tested(parts)
+        return ids, vocab.per_text(parts, count), vocab.per_text(parts, ~back) == 0
+    whole = tx.Words(texts, texts.offsets[:-1], texts.offsets[1:]).strings(np.arange(len(texts)))
+    lists = encode(whole)
     count = np.fromiter(map(len, lists), np.int64, len(lists))
-    return np.fromiter((i for ids in lists for i in ids), np.uint32, int(count.sum())), count
+    return np.fromiter(chain.from_iterable(lists), np.uint32, int(count.sum())), count, np.array(returns(whole, lists), bool)
+
+
+def _same(ids: np.ndarray, count: np.ndarray, lists: list[list[int]]) -> np.ndarray:
+    """Text by text, whether the ids are those of the lists."""
+    own = np.fromiter(map(len, lists), np.int64, len(lists))
+    flat = np.fromiter(chain.from_iterable(lists), np.uint32, int(own.sum()))
+    if (own == count).all():
+        wrong = np.repeat(np.arange(len(count)), count)[flat != ids]
+        return np.bincount(wrong, minlength=len(count)) == 0
+    return np.array([np.array_equal(x, y) for x, y in zip(np.split(ids, np.cumsum(count)[:-1]),
+                                                          np.split(flat, np.cumsum(own)[:-1]))], bool)
 
 
 def encoded(docs: DataFrame, model: str, *, key: str = "doc_id", text: str = "text", verify: bool = True,
@@ -190,25 +211,20 @@ def encoded(docs: DataFrame, model: str, *, key: str = "doc_id", text: str = "te
         fields += [T.StructField("parity", T.BooleanType()), T.StructField("round_trip", T.BooleanType())]
 
     def run(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer, _, _ = loaded(model, threads)
         if verify:
             import sentencepiece
 
             own = sentencepiece.SentencePieceProcessor(model_file=model)
         for table in tables:
             for a, b, texts in tx.batches(table.column(1), 1 << 20):
-                ids, count = encode_texts(texts, model, threads)
+                ids, count, back = encode_texts(texts, model, threads)
                 offsets = np.concatenate([[0], np.cumsum(count)]).astype(np.int32)
                 out = [table.column(0).slice(a, b - a),
                        pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids.astype(np.int32))),
                        pa.array(count)]
                 if verify:
                     whole = tx.Words(texts, texts.offsets[:-1], texts.offsets[1:]).strings(np.arange(len(texts)))
-                    lists = np.split(ids, offsets[1:-1])
-                    out.append(pa.array([np.array_equal(x, y) for x, y in zip(
-                        lists, own.encode(whole, num_threads=threads))], pa.bool_()))
-                    decoded = tokenizer.decode_batch([x.tolist() for x in lists], skip_special_tokens=False)
-                    out.append(pa.array([x == y for x, y in zip(decoded, whole)], pa.bool_()))
+                    out += [pa.array(_same(ids, count, own.encode(whole, num_threads=threads))), pa.array(back)]
                 yield pa.RecordBatch.from_arrays(out, names=[f.name for f in fields])
 
     rows = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
@@ -220,7 +236,7 @@ def decoded(tokens: DataFrame, model: str, *, key: str = "doc_id", ids: str = "i
     schema = T.StructType([T.StructField("doc_id", tokens.schema[key].dataType), T.StructField("text", T.StringType())])
 
     def run(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer, _, _ = loaded(model, threads)
+        tokenizer = _tokenizer(model)
         for table in tables:
             for first in range(0, table.num_rows, 256):
                 part = table.slice(first, 256)

@@ -24,8 +24,9 @@ class SpanIds:
     so memory is bounded and results are the same.
     """
 
-    def __init__(self, encode: Callable[[list[str]], list[list[int]]], limit: int = 1 << 21):
-        self.encode, self.limit = encode, limit
+    def __init__(self, encode: Callable[[list[str]], list[list[int]]], limit: int = 1 << 21,
+                 test: Callable[[list[str], list[list[int]]], list[bool]] | None = None):
+        self.encode, self.limit, self.test = encode, limit, test
         self._reset()
 
     def _reset(self) -> None:
@@ -33,6 +34,7 @@ class SpanIds:
         self.start = np.zeros(0, np.int64)
         self.count = np.zeros(0, np.int32)
         self.pool = np.zeros(0, np.uint32)
+        self.passed = np.zeros(0, bool)
 
     def _learn(self, hashes: np.ndarray, spans: list[str]) -> None:
         lists = self.encode(spans)
@@ -45,11 +47,10 @@ class SpanIds:
         self.known = known[order]
         self.start = np.concatenate([self.start, start])[order]
         self.count = np.concatenate([self.count, count])[order]
+        passed = self.test(spans, lists) if self.test else np.ones(len(spans), bool)
+        self.passed = np.concatenate([self.passed, passed])[order]
 
-    def __call__(self, spans: Words) -> tuple[np.ndarray, np.ndarray]:
-        """All ids in order, and how many each span has."""
-        if not len(spans):
-            return np.zeros(0, np.uint32), np.zeros(0, np.int64)
+    def _slots(self, spans: Words) -> np.ndarray:
         if len(self.known) > self.limit:
             self._reset()
         distinct, first, which = np.unique(spans.hash, return_index=True, return_inverse=True)
@@ -61,9 +62,20 @@ class SpanIds:
         if len(new):
             self._learn(distinct[new], spans.strings(first[new]))
             at = np.searchsorted(self.known, distinct)
-        at = at[which.reshape(-1)]
+        return at[which.reshape(-1)]
+
+    def tested(self, spans: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """All ids in order, how many each span has, and whether it passed the test,
+        which each distinct span is put to once."""
+        if not len(spans):
+            return np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, bool)
+        at = self._slots(spans)
         count = self.count[at].astype(np.int64)
-        return spread(self.pool, self.start[at], count), count
+        return spread(self.pool, self.start[at], count), count, self.passed[at]
+
+    def __call__(self, spans: Words) -> tuple[np.ndarray, np.ndarray]:
+        """All ids in order, and how many each span has."""
+        return self.tested(spans)[:2]
 
 
 def per_text(spans: Words, count: np.ndarray) -> np.ndarray:
