@@ -28,7 +28,7 @@ from tillflow.llm import frames
 from tillflow.llm import text as tx
 
 #: Bytes of context. Every gram is a 64-bit code, so at most 7.
-DEPTH = 3
+DEPTH = 4
 #: Text of one block; texts are not cut, so a longer one is a block alone.
 BLOCK_BYTES = 24 << 20
 GRAM, WORD, END = 0, 1, 2

@@ -21,7 +21,7 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     """The frame written to the shared folder and read back: the plan ends here,
     the work is done once, and losing an executor loses none of it."""
     path = shared_dir(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
