@@ -97,7 +97,7 @@ class SequenceWriter:
         fs, place = _filesystem(path)
         self.dtype, self.length, self.step = np.dtype(dtype), length, length * per_batch
         self.schema = pa.schema({"ids": pa.list_(pa.from_numpy_dtype(self.dtype), length),
-                                 "mask": pa.list_(pa.uint8(), length)})
+                                 "mask": pa.list_(pa.bool_(), length)})
         self.sink = fs.open_output_stream(place)
         self.file = pa.ipc.new_file(self.sink, self.schema)
         self.rest: list[np.ndarray] = []
@@ -115,8 +115,8 @@ class SequenceWriter:
             self.rest, self.held = [run[whole:]], len(run) - whole
 
     def _batch(self, ids: np.ndarray, valid: int) -> None:
-        mask = np.zeros(len(ids), np.uint8)
-        mask[:valid] = 1
+        mask = np.zeros(len(ids), bool)
+        mask[:valid] = True
         self.file.write_batch(pa.RecordBatch.from_arrays([
             pa.FixedSizeListArray.from_arrays(pa.array(ids), self.length),
             pa.FixedSizeListArray.from_arrays(pa.array(mask), self.length)], schema=self.schema))
@@ -145,19 +145,21 @@ class SequenceFile:
         batches = self.file.num_record_batches
         return (batches - 1) * self.per_batch + self.file.get_batch(batches - 1).num_rows if batches else 0
 
-    def __getitem__(self, i: int) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and mask of sequence i, views of the file."""
+    def __getitem__(self, i: int) -> tuple[np.ndarray, pa.BooleanArray]:
+        """Ids and mask (a bit each) of sequence i, views of the file."""
         if not 0 <= i < len(self):
             raise IndexError(i)
         batch, at = self.file.get_batch(i // self.per_batch), i % self.per_batch
-        return tuple(batch.column(c).slice(at, 1).flatten().to_numpy(zero_copy_only=True) for c in (0, 1))
+        ids, mask = (batch.column(c).slice(at, 1).flatten() for c in (0, 1))
+        return ids.to_numpy(zero_copy_only=True), mask
 
     def runs(self) -> Iterator[np.ndarray]:
         """All unmasked ids, batch by batch."""
         for b in range(self.file.num_record_batches):
             batch = self.file.get_batch(b)
-            ids, mask = (batch.column(c).flatten().to_numpy(zero_copy_only=True) for c in (0, 1))
-            yield ids if mask.all() else ids[mask.astype(bool)]
+            ids = batch.column(0).flatten().to_numpy(zero_copy_only=True)
+            mask = batch.column(1).flatten()
+            yield ids if mask.true_count == len(mask) else ids[mask.to_numpy(zero_copy_only=False)]
 
 
 MANIFEST = T.StructType([
