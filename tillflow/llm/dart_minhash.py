@@ -16,7 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -26,8 +26,14 @@ from tillflow.llm import text as tx
 WORDS, SIMILARITY = 5, 0.8
 #: Bands and their rows: at a similarity of 0.8 all bands miss once in 17,000 pairs.
 BANDS, ROWS = 32, 6
+#: Coordinates of the long sketch of texts whose buckets are not settled by one text.
+LONG = 1536
+#: A pair is passed over if its sketches agree this many standard deviations too seldom.
+DEVIATIONS = 4.5
 #: A dart's cell in units of weight times rank: up to here cells double, then they are 1.
 _FIRST = 2.0 ** -6
+#: Darts held at once.
+_DARTS_AT_ONCE = 1 << 19
 _NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
 _UNIT = 1.0 / (1 << 53)
 
@@ -70,16 +76,28 @@ def signatures(doc: np.ndarray, element: np.ndarray, weight: np.ndarray, n_docs:
     Weights are any positive numbers. The rank is doubled for those documents that have
     a coordinate without a dart, until none is left.
     """
+    darts = k * math.log(k) + 2 * k
     out = np.full((n_docs, k), _NONE)
-    total = np.bincount(doc, weights=weight, minlength=n_docs)
-    rank = np.divide(k * math.log(k) + 2 * k, total, out=np.zeros(n_docs), where=total > 0)
+    order = np.argsort(doc, kind="stable")
+    doc, element, weight = doc[order], element[order], weight[order]
+    # A document throws as many darts whatever its length, so runs are bounded by documents.
+    run = max(int(_DARTS_AT_ONCE / darts), 1)
+    ends = np.searchsorted(doc, np.arange(0, n_docs + run, run))
+    for first, a, b in zip(range(0, n_docs, run), ends, ends[1:]):
+        _sign(out[first:first + run], doc[a:b] - first, element[a:b], weight[a:b], darts, k, seed)
+    return out
+
+
+def _sign(out: np.ndarray, doc: np.ndarray, element: np.ndarray, weight: np.ndarray, darts: float, k: int,
+          seed: int) -> None:
+    total = np.bincount(doc, weights=weight, minlength=len(out))
+    rank = np.divide(darts, total, out=np.zeros(len(out)), where=total > 0)
     while len(doc):
         _throw(out, doc, element, weight, rank, k, seed)
         open_docs = (out == _NONE).any(axis=1)
         rank = rank * 2
         more = open_docs[doc]
         doc, element, weight = doc[more], element[more], weight[more]
-    return out
 
 
 def _throw(out: np.ndarray, doc: np.ndarray, element: np.ndarray, weight: np.ndarray, rank: np.ndarray, k: int,
@@ -181,6 +199,27 @@ def signed(texts: DataFrame, *, weights: str = "count", words: int = WORDS, band
     return texts.mapInArrow(run, _SIGNED)
 
 
+def sketched(texts: DataFrame, coordinates: int = LONG, *, weights: str = "count", words: int = WORDS) -> DataFrame:
+    """node and a sketch of that many coordinates of (node, text) rows."""
+    schema = T.StructType([T.StructField("node", T.LongType()), T.StructField("long_sketch", T.ArrayType(T.LongType()))])
+
+    def run(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in tables:
+            for a, b, batch in tx.batches(table.column(1)):
+                doc, element, weight = shingles(batch, words, weights)
+                sign = signatures(doc, element, weight, len(batch), coordinates, seed=2)
+                yield pa.RecordBatch.from_arrays([table.column(0).slice(a, b - a), _lists(sketch(sign))], names=schema.names)
+
+    return texts.select("node", "text").mapInArrow(run, schema)
+
+
+def _most_apart(coordinates: int, at_least: float) -> int:
+    """The coordinates in which two texts that similar may disagree: of two bits, one
+    pair in four agrees by chance."""
+    same = at_least + (1 - at_least) / 4
+    return int(coordinates * (1 - same) + DEVIATIONS * math.sqrt(coordinates * same * (1 - same)))
+
+
 def similarity(pairs: DataFrame, *, weights: str = "count", words: int = WORDS) -> DataFrame:
     """(a, b, similarity): exact weighted Jaccard of rows (a, b, text_a, text_b)."""
     schema = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType()),
@@ -227,9 +266,10 @@ def classes(docs: DataFrame, *, key: str = "doc_id", text: str = "text", at_leas
     one only; that connects most groups by as many links as they have texts. Pairs
     that this leaves in different components are then compared, each in the first bucket
     they share, unless their distances to the central text differ by more than a link may
-    span (the distance is a metric), or their sketches disagree too much (a miss needs
-    4.5 standard deviations). So no bucket is expanded into all its pairs, and no pair
-    in a bucket goes unexamined.
+    span (the distance is a metric), or their sketches disagree too much: those of the
+    signature first, then long ones made for these texts alone (a miss needs 4.5
+    standard deviations). The join tests that by itself, so no bucket is expanded into
+    all its pairs, and no pair in a bucket goes unexamined.
 
     Null text counts as empty. Texts without words are similar to nothing, but equal
     ones are copies. Fewer words than a shingle make one shingle. A null key is never
@@ -268,19 +308,19 @@ def classes(docs: DataFrame, *, key: str = "doc_id", text: str = "text", at_leas
     open_rows = open_rows.join(mixed.where("lo <> hi").select("bucket"), "bucket", "left_semi")
     open_rows = open_rows.where("node <> leader").join(far, ["node", "leader"])
     about = signs.join(open_rows.select("node").distinct(), "node", "left_semi").dropDuplicates(["node"])
-    open_rows = frames.saved(open_rows.join(about, "node"), "open-rows")
+    long = sketched(texts.join(open_rows.select("node").distinct(), "node", "left_semi"), weights=weights, words=words)
+    open_rows = frames.saved(open_rows.join(about, "node").join(long, "node"), "open-rows")
     a, b = open_rows.alias("a"), open_rows.alias("b")
-    apart = sum((F.bit_count(x.bitwiseOR(F.shiftrightunsigned(x, 1)).bitwiseAND(F.lit(0x5555555555555555)))
-                 for x in map(_xor, range(-(-bands * rows // 32)))), F.lit(0))
-    same = at_least + (1 - at_least) / 4
-    most = int(bands * rows * (1 - same) + 4.5 * math.sqrt(bands * rows * same * (1 - same)))
+    apart = sum((_differ(F.col("a.sketch")[i], F.col("b.sketch")[i]) for i in range(-(-bands * rows // 32))), F.lit(0))
+    long_apart = F.aggregate(F.zip_with("a.long_sketch", "b.long_sketch", _differ), F.lit(0), lambda n, d: n + d)
     first_shared = F.element_at(F.filter(F.arrays_zip(F.col("a.bands").alias("x"), F.col("b.bands").alias("y")),
                                          lambda p: p["x"] == p["y"]), 1)["x"]
     cross = a.join(b, (F.col("a.bucket") == F.col("b.bucket")) & (F.col("a.node") < F.col("b.node"))
                    & (F.col("a.component") != F.col("b.component"))
                    & (F.abs(F.col("a.far") - F.col("b.far")) <= 1 - at_least + 1e-9)
                    & (F.least("a.n", "b.n") >= F.greatest("a.n", "b.n") * (at_least - 1e-9))
-                   & (apart <= most) & (first_shared == F.col("a.bucket")))
+                   & (apart <= _most_apart(bands * rows, at_least)) & (first_shared == F.col("a.bucket"))
+                   & (long_apart <= _most_apart(LONG, at_least)))
     cross = cross.select(F.col("a.node").alias("a"), F.col("b.node").alias("b"))
     late = frames.saved(similarity(_with_texts(cross, texts), weights=weights, words=words), "cross-links")
     late = late.where(F.col("similarity") >= at_least).select("a", "b")
@@ -293,8 +333,10 @@ def classes(docs: DataFrame, *, key: str = "doc_id", text: str = "text", at_leas
     return base.select("doc_id", "node").join(nodes, "node").select("doc_id", "class_id", "copies", "node", "class_node")
 
 
-def _xor(i: int):
-    return F.col("a.sketch")[i].bitwiseXOR(F.col("b.sketch")[i])
+def _differ(x: Column, y: Column) -> Column:
+    """How many of the 32 coordinates of two longs differ."""
+    bits = x.bitwiseXOR(y)
+    return F.bit_count(bits.bitwiseOR(F.shiftrightunsigned(bits, 1)).bitwiseAND(F.lit(0x5555555555555555)))
 
 
 def without_copies(docs: DataFrame, *, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
