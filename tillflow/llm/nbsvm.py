@@ -216,7 +216,10 @@ def train(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str
                         for x in (labels, rows))
     fraction = sample / max(labels.count(), 1)
     draw = F.shiftrightunsigned(F.xxhash64(F.lit(7), "key", "text"), 11).cast("double") / float(1 << 53)
-    found = frames.saved(_counted(rows.join(labels, "key").select(draw.alias("draw"), "label", "text"), fraction), "class-counts")
+    # Labels are as many as documents: both sides are sorted, however small the table, so
+    # that little data runs the plan that much data gets. AQE splits a skewed key.
+    labelled = rows.hint("merge").join(labels, "key").select(draw.alias("draw"), "label", "text")
+    found = frames.saved(_counted(labelled, fraction), "class-counts")
     counts = found.where("feature is not null").groupBy("feature").agg(
         F.sum("positive").alias("positive"), F.sum("negative").alias("negative")).toArrow()
     feature, positive, negative = (c.to_numpy() for c in counts.columns)
