@@ -1,0 +1,33 @@
+"""Every operator is registered; those that SQL can express equal it, on the driver's
+tables and on edge rows."""
+
+import duckdb
+import pytest
+
+import __spark_entry__ as contract
+import llm_edges
+import oracle
+from conftest import SMALL
+from tillflow.llm import queries
+
+
+def test_all_are_registered():
+    names = contract.queries()
+    for n in range(1, 11):
+        assert sum(name.startswith(f"op{n}_") for name in names) == 1
+    assert "pipeline" in names
+
+
+@pytest.mark.parametrize("name", list(queries.ORACLES))
+def test_equals_oracle(spark, name):
+    df = queries.QUERIES[name](spark, SMALL)
+    assert oracle.assert_equal(df, oracle.connect(SMALL), queries.ORACLES[name]) > 0
+
+
+@pytest.mark.parametrize("name", list(queries.ORACLES))
+def test_equals_oracle_on_edges(spark, tmp_path, name):
+    llm_edges.frame(spark).write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    df = queries.QUERIES[name](spark, str(tmp_path))
+    assert oracle.assert_equal(df, con, queries.ORACLES[name]) == len(llm_edges.rows())

@@ -1,0 +1,110 @@
+import random
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+import llm_edges
+from conftest import SMALL
+from tillflow.llm import curriculum, frames
+from tillflow.llm.curriculum import Schedule
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def filled(sizes, weights, share=1.5, cap=2.0):
+    """Targets by the rule itself: share by weight, stop those above, share the rest again."""
+    order = sorted((s for s in sizes if s is not None)) + [s for s in sizes if s is None]
+    weight = {s: weights[i % len(weights)] for i, s in enumerate(order)}
+    target, free, left = {}, set(order), share * sum(sizes.values())
+    while free:
+        total = sum(weight[s] for s in free)
+        over = {s for s in free if left * weight[s] / total > cap * sizes[s]}
+        if not over:
+            target |= {s: left * weight[s] / total for s in free}
+            break
+        for s in over:
+            target[s] = cap * sizes[s]
+            left -= target[s]
+        free -= over
+    return target
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_targets_by_brute_force(spark, seed):
+    rng = random.Random(seed)
+    sizes = {s: rng.choice([0, 1, 5, 50, 1000]) for s in ["b", "a", "ä", "Z", "", "aa", None][:rng.randint(1, 7)]}
+    df = spark.createDataFrame(list(sizes.items()), "source string, source_size long")
+    got = {r["source"]: r["target"] for r in curriculum.targets(df).collect()}
+    want = filled(sizes, (5, 2, 1))
+    assert got.keys() == want.keys()
+    for s in want:
+        assert got[s] == pytest.approx(want[s])
+
+
+@pytest.mark.parametrize("course", [((0, 1), (1, 1)), ((0, 0), (1, 2)), ((0, 2), (0.5, 0), (0.75, 0), (1, 5)), ((0, 3), (0.2, 1), (1, 0))])
+def test_position_inverts_the_demand(spark, course):
+    schedule = Schedule(1, course)
+    parts = [i / 50 for i in range(50)]
+    df = spark.createDataFrame([(p,) for p in parts], "part double")
+    got = [r[0] for r in df.select(curriculum._moment(F.col("part"), F.lit(0), [schedule])).collect()]
+
+    def demand(t):
+        ends = {a: b for (a, _), (b, _) in zip(course, course[1:])}
+        return sum(a * (x := min(t, ends[t0]) - t0) + slope * x * x / 2 for t0, _, a, slope in schedule.segments() if t > t0)
+
+    for p, t in zip(parts, got):
+        assert demand(t) == pytest.approx(p, abs=1e-9)
+    assert got == sorted(got)
+
+
+def test_takes_meet_targets_and_order(spark):
+    docs = frames.table(spark, SMALL)
+    rows = curriculum.assign(docs).collect()
+    by_source = {}
+    for r in rows:
+        by_source.setdefault(r["source"], []).append(r)
+        assert 0 <= r["taken"] <= 2 * r["size"] and sum(p["words"] for p in r["passes"]) == r["taken"]
+    for group in by_source.values():
+        assert sum(r["taken"] for r in group) == int(group[0]["target"])
+    order = [r["position"] for r in curriculum.in_order(curriculum.assign(docs)).collect()]
+    assert order == sorted(order) and len(order) == sum(len(r["passes"]) for r in rows)
+    again = {(r["doc_id"], r["taken"]) for r in curriculum.assign(docs.repartition(7)).collect()}
+    assert again == {(r["doc_id"], r["taken"]) for r in rows}
+
+
+def test_weights_change_over_time(spark):
+    docs = spark.createDataFrame([(i, "w " * 10, "ab"[i % 2]) for i in range(400)], "doc_id long, text string, source string")
+    mixed = curriculum.in_order(curriculum.assign(docs, schedules=[Schedule(1, ((0, 0), (1, 1))), Schedule(1, ((0, 1), (1, 0)))])).collect()
+    first, last = mixed[:len(mixed) // 4], mixed[-len(mixed) // 4:]
+    assert sum(r["source"] == "a" for r in first) < len(first) / 3 and sum(r["source"] == "a" for r in last) > 2 * len(last) / 3
+
+
+def test_mix_keeps_columns_and_cuts_the_border_document(spark):
+    docs = llm_edges.crowded(spark)
+    mixed = curriculum.mix(docs)
+    assert mixed.columns == docs.columns
+    rows = mixed.collect()
+    taken = curriculum.assign(docs).agg(F.sum("taken")).first()[0]
+    assert sum(len(WORD.findall(r["text"])) for r in rows) == taken
+    whole = {t for _, t, *_ in llm_edges.rows() if t}
+    cut = [r["text"] for r in rows if r["text"] not in whole]
+    assert all(any(w.startswith(t) for w in whole) for t in cut) and len(cut) <= 2 * 6
+
+
+def test_edges(spark):
+    rows = curriculum.assign(llm_edges.crowded(spark)).collect()
+    assert len(rows) == len(llm_edges.rows())
+    assert all(r["taken"] == 0 and r["passes"] == [] for r in rows if r["size"] == 0)
+    assert curriculum.assign(llm_edges.empty(spark)).count() == 0 and curriculum.mix(llm_edges.empty(spark)).count() == 0
+    wordless = spark.createDataFrame([(1, None, "a"), (2, " ", None)], "doc_id long, text string, source string")
+    assert [r["taken"] for r in curriculum.assign(wordless).collect()] == [0, 0]
+    with pytest.raises(ValueError):
+        curriculum.targets(wordless.selectExpr("source", "1L as source_size"), share=3.0)
+    with pytest.raises(ValueError):
+        Schedule(1, ((0.1, 1), (1, 1))).segments()
+
+
+def test_no_python_in_the_plan(spark):
+    plan = curriculum.assign(frames.table(spark, SMALL))._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Cartesian" not in plan

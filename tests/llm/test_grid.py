@@ -1,0 +1,120 @@
+import math
+from collections import defaultdict
+
+import numpy as np
+import pytest
+
+from tillflow.llm import grid_join, queries
+
+
+def brute(rows, cosine=0.9):
+    """(key, links, component) of rows (key, vector), pair by pair."""
+    def unit(v):
+        if not v or any(x is None or not math.isfinite(x) for x in v) or not any(v):
+            return None
+        top = max(map(abs, v))
+        v = [x / top for x in v]
+        n = math.sqrt(math.fsum(x * x for x in v))
+        return [x / n for x in v]
+
+    units = [unit(v) for _, v in rows]
+    head, links = list(range(len(rows))), [0] * len(rows)
+
+    def find(x):
+        while head[x] != x:
+            x = head[x]
+        return x
+
+    for i, a in enumerate(units):
+        for j in range(i):
+            b = units[j]
+            if a and b and len(a) == len(b) and (list(rows[i][1]) == list(rows[j][1]) or math.fsum(map(lambda p: p[0] * p[1], zip(a, b))) >= cosine):
+                links[i] += 1
+                links[j] += 1
+                head[find(i)] = find(j)
+    keys = defaultdict(list)
+    for i, (k, _) in enumerate(rows):
+        if k is not None:
+            keys[find(i)].append(k)
+    return sorted(((k, links[i], min(keys[find(i)], default=None)) for i, (k, _) in enumerate(rows)), key=str)
+
+
+def got(spark, rows, **options):
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(4)
+    out = grid_join.near_duplicates(df, **options).collect()
+    assert all(r["kept"] == (r["vec_id"] == r["component_id"]) for r in out)
+    return sorted(((r["vec_id"], r["n_links"], r["component_id"]) for r in out), key=str)
+
+
+def rounded(vectors):
+    return [[float(np.float32(x)) for x in v] for v in vectors]
+
+
+def crowd(seed, n, dims, spread):
+    rng = np.random.default_rng(seed)
+    centres = rng.normal(size=(max(n // 12, 1), dims))
+    return rounded(centres[rng.integers(0, len(centres), n)] + spread * rng.normal(size=(n, dims)))
+
+
+@pytest.mark.parametrize("dims,spread,cosine", [(2, 0.1, 0.9), (3, 0.3, 0.9), (16, 0.25, 0.9), (64, 0.3, 0.95), (8, 0.5, 0.5)])
+def test_by_brute_force(spark, dims, spread, cosine, monkeypatch):
+    rows = list(enumerate(crowd(dims, 420, dims, spread)))
+    assert got(spark, rows, cosine=cosine) == brute(rows, cosine)
+
+
+def test_many_levels(spark, monkeypatch):
+    """Blocks of a few vectors, so that the recursion has several levels to prune."""
+    monkeypatch.setattr(grid_join, "BLOCK", 8)
+    monkeypatch.setattr(grid_join, "PARTS", 2)
+    nodes = spark.createDataFrame([(i, 1, v) for i, v in enumerate(crowd(9, 300, 3, 0.05))], "node long, copies long, vector array<float>")
+    axes = grid_join._axes(nodes, 3)
+    assert np.allclose(axes.T @ axes, np.eye(3))
+    reach = math.sqrt(0.2)
+    blocks = grid_join._blocks(nodes, axes, reach).collect()
+    n = len(blocks)
+    assert sorted(b["block"] for b in blocks) == list(range(n)) and n >= 37
+    boxes = spark.createDataFrame([tuple(b[c] for c in ("block", *(f"{s}{i}" for s in ("lo", "hi") for i in range(3)))) for b in blocks],
+                                  "block long, lo0 double, lo1 double, lo2 double, hi0 double, hi1 double, hi2 double")
+    near = {(r["a"], r["b"]) for r in grid_join._near_blocks(boxes, n, 3, reach).collect()}
+    data = {b["block"]: np.frombuffer(b["data"]).reshape(-1, 3) for b in blocks}
+    touching = {(a, b) for a in data for b in data if a <= b and (data[a] @ data[b].T >= 0.9).any()}
+    assert touching <= near and len(near) < n * (n + 1) / 2 * 0.7
+
+
+def test_copies_and_a_clique(spark):
+    rng = np.random.default_rng(2)
+    base = rng.normal(size=8)
+    rows = [(i, [float(np.float32(x)) for x in base]) for i in range(700)]
+    rows += [(1000 + i, v) for i, v in enumerate(rounded(base + 0.05 * rng.normal(size=(300, 8))))]
+    rows += [(5000 + i, v) for i, v in enumerate(rounded(rng.normal(size=(100, 8))))]
+    assert got(spark, rows) == brute(rows)
+
+
+def test_chains_across_blocks(spark):
+    step = math.acos(0.9) * 0.98
+    rows = [(500 - i, v) for i, v in enumerate(rounded([[math.cos(i * step / 3), math.sin(i * step / 3), 2.0 ** -9 * i] for i in range(12)]))]
+    assert got(spark, rows) == brute(rows)
+
+
+def test_edges(spark):
+    inf, nan = float("inf"), float("nan")
+    rows = [(1, None), (2, []), (3, [0.0, 0.0]), (4, [nan, 1.0]), (5, [inf, 1.0]), (6, [None, 1.0]), (7, [1.0, 0.0]), (8, [2.0, 0.0]),
+            (9, [-1.0, 0.0]), (10, [1.0]), (11, [1.0, 0.0, 0.0]), (None, [1.0, 0.1]), (12, [1e-30, 1e-32]), (13, [3e38, 1e37]),
+            (7, [1.0, 0.0]), (None, None), (14, [0.0, -0.0, 0.0]), (None, [0.0, 0.0, 5.0])]
+    assert got(spark, rows) == brute(rows)
+    assert got(spark, [(1, None), (2, [0.0])]) == [(1, 0, 1), (2, 0, 2)]
+    assert got(spark, []) == []
+    df = spark.createDataFrame([(1, [1.0], "x", "y")], "vec_id long, embedding array<float>, node string, block string")
+    assert [tuple(r) for r in grid_join.near_duplicates(df).collect()] == [(1, 0, 1, True)]
+
+
+def test_limit_is_met_exactly():
+    a = np.array([[1.0, 0.0]])
+    b = np.array([[0.9, math.sqrt(1 - 0.81)], [math.nextafter(0.9, 0), math.sqrt(1 - 0.81)], [1.0, 0.0]])
+    assert grid_join.linked(a, b, 0.9).tolist() == [[True, False, True]]
+
+
+def test_whole_table(spark):
+    rows = spark.read.parquet("/root/testdata/sf0.001/embeddings.parquet").collect()
+    out = queries.op6_epsilon_grid_join(spark, "/root/testdata/sf0.001").collect()
+    assert sorted(((r["vec_id"], r["n_links"], r["component_id"]) for r in out), key=str) == brute([(r["vec_id"], r["embedding"]) for r in rows])

@@ -1,0 +1,91 @@
+import zlib
+
+import numpy as np
+import pyarrow as pa
+
+import llm_edges
+from tillflow.llm import frames, nbsvm, queries
+from tillflow.llm import text as tx
+
+
+def test_held_out_accuracy_and_contract(spark):
+    sf = "/root/testdata/sf0.01"
+    rows = {r["doc_id"]: r for r in queries.op7_nbsvm_quality(spark, sf).collect()}
+    labels = {r["doc_id"]: r["quality"] for r in frames.table(spark, sf, "labels").collect()}
+    assert len(rows) == frames.table(spark, sf).count()
+    for i, r in rows.items():
+        assert r["held_out"] == (zlib.crc32(str(i).encode()) % 4 == 2)
+        assert 0 <= r["score"] <= 1 and r["predicted"] == int(r["score"] >= 0.7)
+    judged = [(rows[i]["predicted"], q) for i, q in labels.items() if rows[i]["held_out"]]
+    assert np.mean([p == q for p, q in judged]) > 0.95
+    assert np.mean([p for p, q in judged if q == 1]) > 0.97
+
+
+def test_held_out_labels_are_not_read(spark):
+    sf = "/root/testdata/sf0.001"
+    docs, labels = frames.table(spark, sf), frames.table(spark, sf, "labels")
+    a = nbsvm.train(docs, labels, learn_from=~queries.held_out(4))
+    b = nbsvm.train(docs, labels.where(~queries.held_out(4)))
+    c = nbsvm.train(docs.drop("lang", "source"), labels.where(~queries.held_out(4)))
+    assert (a.weights == b.weights).all() and a.scale == b.scale == c.scale
+
+
+def test_hinge_model_is_optimal():
+    """No better objective is found around the solution."""
+    rng = np.random.default_rng(0)
+    rows = [np.sort(rng.choice(40, rng.integers(1, 12), replace=False)) for _ in range(120)]
+    labels = np.array([int(3 in r or rng.random() < 0.3) for r in rows])
+    ratio = rng.normal(size=40)
+    y = np.where(labels == 1, 1, -1)
+    top = np.where(y > 0, (y < 0).mean(), (y > 0).mean()) * 2
+    x = np.zeros((120, 41))
+    for i, r in enumerate(rows):
+        x[i, r] = ratio[r] / np.sqrt(len(r))
+    x[:, 40] = 1
+
+    def objective(v):
+        return v @ v / 2 + (top * np.maximum(0, 1 - y * (x @ v))).sum()
+
+    w, b = nbsvm.fit_hinge(rows, labels, ratio, epochs=3000)
+    best = np.append(np.divide(w, ratio), b)
+    assert all(objective(best) <= objective(best + e * rng.normal(size=41)) + 1e-4 for e in (0.001, 0.01, 0.1) for _ in range(200))
+
+
+def test_ratio():
+    got = nbsvm.log_count_ratio(np.array([9, 0, 0]), np.array([0, 4, 0]), (18, 8))
+    assert np.allclose(got, [np.log((10 / 20) / (1 / 10)), np.log((1 / 20) / (5 / 10)), 0])
+
+
+def test_features_are_indicators_of_whole_texts():
+    texts = ["a b a b", "", None, "one", "x " * 5000 + "tail"]
+    (_, _, batch), = tx.batches(pa.array(texts))
+    doc, feature = nbsvm.features(batch)
+    assert len(set(zip(doc.tolist(), feature.tolist()))) == len(doc)
+    assert set(doc.tolist()) == {0, 3, 4} and (np.diff(doc) >= 0).all()
+    (_, _, tail), = tx.batches(pa.array(["tail"]))
+    # The last word's own feature is among the long text's.
+    assert set(nbsvm.features(tail)[1][:]) & set(feature[doc == 4].tolist())
+
+
+def test_edges(spark):
+    docs = llm_edges.crowded(spark)
+    labels = spark.createDataFrame([(5, 1), (5, 0), (12, 1), (None, 1), (1, 0), (77, 1), (8, None), (9, 3)], "doc_id long, quality int")
+    model = nbsvm.train(docs, labels)
+    rows = nbsvm.scored(docs, model).collect()
+    assert len(rows) == len(llm_edges.rows()) and all(0 <= r["score"] <= 1 for r in rows)
+    assert nbsvm.accepted(docs, model, threshold=0.0).collect().__len__() == len(rows)
+    assert nbsvm.accepted(docs, model, threshold=0.0).columns == docs.columns
+    nothing = nbsvm.train(llm_edges.empty(spark), labels)
+    assert nbsvm.scored(docs, nothing).where("score = 0.5").count() == len(rows)
+    assert nbsvm.scored(llm_edges.empty(spark), model).count() == 0
+    assert nbsvm.accepted(llm_edges.empty(spark), model).count() == 0
+    assert nbsvm.train(docs, labels.where("false")).weights.any() == False  # noqa: E712
+
+
+def test_sample_is_bounded_and_counts_are_not(spark):
+    rows = [(i, f"good word {i}" if i % 2 else f"bad!! ### {i}", i % 2) for i in range(600)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, quality int")
+    model = nbsvm.train(docs, labels, sample=40)
+    score = {r["doc_id"]: r["score"] for r in nbsvm.scored(docs, model).collect()}
+    assert all((score[i] > 0.5) == bool(i % 2) for i in score)

@@ -1,0 +1,82 @@
+import zlib
+from collections import Counter
+
+import pytest
+
+import corpus_pipeline as pipeline
+import llm_edges
+from conftest import SMALL
+from test_lines import brute as without_lines
+from test_minhash import brute as classes
+from tillflow.llm import curriculum, frames, nbsvm, queries, site_lines
+
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+@pytest.fixture(scope="module")
+def stages(spark):
+    """What each stage was given and what it gave."""
+    docs, out = frames.table(spark, SMALL), []
+    for name, stage in pipeline.STAGES:
+        given, docs = docs, frames.saved(stage(spark, docs, SMALL), name.replace(" ", "-"))
+        out.append((given.collect(), docs.collect(), given, docs))
+    return out
+
+
+def test_order_and_columns(stages):
+    assert [n for n, _ in pipeline.STAGES] == ["quality classifier", "line dedup", "near duplicates", "source mixing", "piece encoding"]
+    assert all(s[3].columns == COLUMNS for s in stages[:-1])
+
+
+def test_quality_keeps_what_scores(spark, stages):
+    given, kept, docs, _ = stages[0]
+    model = nbsvm.train(docs, frames.table(spark, SMALL, "labels"), learn_from=~queries.held_out(4))
+    score = {r["doc_id"]: r["score"] for r in nbsvm.scored(docs, model).collect()}
+    assert sorted(map(tuple, kept)) == sorted(tuple(r) for r in given if score[r["doc_id"]] >= 0.7)
+    labels = {r["doc_id"]: r["quality"] for r in frames.table(spark, SMALL, "labels").collect()}
+    ids = {r["doc_id"] for r in kept}
+    clean = [i in ids for i, q in labels.items() if q == 1]
+    assert sum(clean) >= 0.95 * len(clean) and len(kept) < len(given)
+
+
+def test_lines_by_brute_force(stages):
+    given, kept, *_ = stages[1]
+    want = without_lines([(r["source"], r["text"]) for r in given], site_lines.RATIO, site_lines.LEAST_PAGES)
+    assert {r["doc_id"]: (r["text"], r["n_chars"]) for r in kept} == {r["doc_id"]: (t, len(t)) for r, t in zip(given, want)}
+
+
+def test_near_duplicates_by_brute_force(stages):
+    given, kept, *_ = stages[2]
+    want = {c for _, c in classes([(r["doc_id"], r["text"]) for r in given])}
+    assert sorted(r["doc_id"] for r in kept) == sorted(want)
+
+
+def test_mixing(stages):
+    given, mixed, docs, _ = stages[3]
+    plan = curriculum.assign(docs).collect()
+    assert Counter(r["doc_id"] for r in mixed) == {r["doc_id"]: len(r["passes"]) for r in plan if r["passes"]}
+    taken = Counter()
+    for r in mixed:
+        taken[r["doc_id"]] += len(r["text"].split())
+    assert all(taken[r["doc_id"]] == r["taken"] for r in plan)
+
+
+def test_encoding_and_run(spark, stages):
+    given, rows, *_ = stages[4]
+    assert len(rows) == len(given) and all(r["parity"] and r["round_trip"] for r in rows)
+    digest = lambda rows: sorted((r["doc_id"], zlib.crc32(str(r["ids"]).encode())) for r in rows)
+    assert digest(pipeline.run(spark, SMALL).collect()) == digest(rows)
+
+
+def test_edges(spark, tmp_path):
+    llm_edges.frame(spark).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(5, 1), (8, 0)], "doc_id long, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    for _, stage in pipeline.STAGES[1:]:
+        docs = frames.saved(stage(spark, docs, str(tmp_path)), "edges")
+    assert docs.count() > 0
+    assert pipeline.run(spark, str(tmp_path)).count() >= 0
+    nothing = llm_edges.empty(spark)
+    for _, stage in pipeline.STAGES:
+        nothing = frames.saved(stage(spark, nothing, str(tmp_path)), "nothing")
+    assert nothing.count() == 0
