@@ -135,7 +135,8 @@ def assign(docs: DataFrame, *, key: str = "doc_id", text: str = "text", source:
         F.floor("target").cast("long") - begin(p), F.col("size")), F.lit(0).cast("long"))
     passes = F.transform(F.sequence(F.lit(0), F.lit(int(cap) - 1)), lambda p: F.struct(
         p.alias("pass"), taken(p).alias("words"),
-        _moment(begin(p) / F.col("target"), F.col("class"), schedules).alias("position")))
+        _moment(F.coalesce(F.try_divide(begin(p).cast("double"), F.col("target")), F.lit(0.0)), F.col("class"),
+                schedules).alias("position")))
     out = rows.withColumn("passes", F.filter(passes, lambda p: p["words"] > 0))
     total = F.aggregate("passes", F.lit(0).cast("long"), lambda s, p: s + p["words"])
     return out.select("doc_id", "source", "size", "source_size", "target", total.alias("taken"), "passes",
