@@ -140,7 +140,7 @@ def _near_blocks(boxes: DataFrame, n_blocks: int, n_box: int, reach: float) -> D
         left = here.select(F.col("id").alias("a"), F.col("up").alias("up_a"), *(F.col(c).alias(f"a_{c}") for c in sides))
         right = here.select(F.col("id").alias("b"), F.col("up").alias("up_b"), *(F.col(c).alias(f"b_{c}") for c in sides))
         if pairs is None:
-            pairs = spark.range(1).select(F.lit(0).cast("long").alias("up_a"), F.lit(0).cast("long").alias("up_b"))
+            pairs = spark.range(1).select(F.col("id").alias("up_a"), F.col("id").alias("up_b"))
         gap = sum((F.greatest(F.col(f"a_lo{i}") - F.col(f"b_hi{i}"), F.col(f"b_lo{i}") - F.col(f"a_hi{i}"), F.lit(0.0))
                    ** 2 for i in range(n_box)), F.lit(0.0))
         near = pairs.join(left, "up_a").join(right, "up_b").where(
