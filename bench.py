@@ -22,12 +22,12 @@ from tillflow import workload
 from tillflow.operators import totals
 from tillflow.operators.keyed import last_write
 from tillflow.plans import pipelines
+from tillflow.plans.history import compact, vacuum
 from tillflow.plans.rows import audited_transactions, transactions
 from tillflow.schema import HOT, TOPIC
 from tillflow.session import build_session, shared_dir
 from tillflow.sources import stored
-from tillflow.sources.topics import topic_files
-from tillflow.streaming import sinks
+from tillflow.sources.topics import text_files, topic_files
 from tillflow.streaming.run import AVAILABLE_NOW, drain
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
@@ -47,16 +47,24 @@ def staged(spark, build):
     return path
 
 
+def staged_text(spark, build):
+    """The payloads alone, a line each: the yardstick's input."""
+    path = shared_dir(spark, f"bench-text-{build.__name__}")
+    build(spark, SF_DIR).select(F.col("value").cast("string")).repartition(int(CPUS)).write.text(path)
+    return path
+
+
 def plans(spark):
-    orders = topic_files(spark, staged(spark, workload.order_topic), streaming=False)
     crowd = topic_files(spark, staged(spark, workload.crowd_topic), streaming=False)
-    order_path = orders.inputFiles()[0].rsplit("/", 1)[0]
+    crowd_text = text_files(spark, staged_text(spark, workload.crowd_topic), workload.TOPIC_NAME, streaming=False)
+    order_path = staged(spark, workload.order_topic)
+    orders = topic_files(spark, order_path, streaming=False)
 
-    def yardstick_rows():
+    def yardstick_rows(crowd=crowd):
         dated = ("nationality", "tran_date", "tran_year", "tran_amount")
         noop(transactions(crowd, dated, "passthrough").select(*dated))
 
-    def yardstick_sales():
+    def yardstick_sales(crowd=crowd):
         rows = transactions(crowd, totals.needed([SALES]), "passthrough")
         noop(totals.total(rows, SALES))
 
@@ -67,16 +75,25 @@ def plans(spark):
 
     def stream_totals():
         root = shared_dir(spark, "bench-totals")
-        drain([pipelines.start_collection(topic_files(spark, order_path), SALES,
-                                          sinks.epoch_files(f"{root}/out"), f"{root}/cp", AVAILABLE_NOW)])
+        drain([pipelines.start_collection(topic_files(spark, order_path), pipelines.Layout(root), SALES,
+                                          trigger=AVAILABLE_NOW)])
 
     done = pipelines.Layout(shared_dir(spark, "bench-done"))
     drain(pipelines.main_pipeline(topic_files(spark, order_path), done, trigger=AVAILABLE_NOW))
 
+    folded = pipelines.Layout(shared_dir(spark, "bench-folded"))
+    drain(pipelines.main_pipeline(topic_files(spark, order_path), folded, trigger=AVAILABLE_NOW))
+    compact(spark, folded)
+    vacuum(spark, folded)
+    some_key = stored.read_hot_table(spark, folded.hot).first()["user_id"]
+
     return {
         # The yardstick's two, on the yardstick's input shape.
         "parse_explode_dates": yardstick_rows,
         "parse_explode_year_country_sum": yardstick_sales,
+        # The same from text files, as the yardstick reads them.
+        "text_parse_explode_dates": lambda: yardstick_rows(crowd_text),
+        "text_parse_explode_year_country_sum": lambda: yardstick_sales(crowd_text),
         # One message per order from here on.
         "full_rows": lambda: noop(transactions(orders)),
         "audited_rows": lambda: noop(audited_transactions(orders)),
@@ -88,6 +105,7 @@ def plans(spark):
             stored.read_archive(spark, done.archive).where("tran_year = 1997").groupBy("nationality").agg(
                 F.count(F.lit(1)).alias("n"))),
         "hot_table_read": lambda: noop(stored.read_hot_table(spark, done.hot)),
+        "hot_key_read": lambda: noop(stored.read_hot_key(spark, folded.hot, some_key)),
         "stream_year_country_sales": stream_totals,
         "stream_main_pipeline": lambda: stream(pipelines.main_pipeline),
         "stream_separate_queries": lambda: stream(pipelines.separate_pipeline),

@@ -89,3 +89,9 @@ def test_dates(spark, epochs):
 def test_foreign_date_text_is_null(spark):
     df = spark.createDataFrame([("2011",), ("soon",), (None,)], "t STRING")
     assert [r[0] for r in df.select(year_of_text(F.col("t"))).collect()] == [None, None, None]
+
+
+def test_small_amounts_are_rounded_once(spark):
+    df = spark.createDataFrame([(4e-7,)] * 10 + [(0.1,)] * 3, "amount double")
+    assert df.agg(exact_sum(F.col("amount"))).first()[0] == 0.300004
+    assert df.agg(exact_sum(F.col("amount"), 1)).first()[0] == 0.3

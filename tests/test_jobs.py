@@ -16,7 +16,7 @@ from tillflow.sources import stored
 def root(spark, tmp_path_factory):
     root = str(tmp_path_factory.mktemp("job"))
     main(["main", "--root", root, "--topic-files", workload.stage(spark, SMALL), "--once",
-          "--source-option", "maxFilesPerTrigger=3"])
+          "--source-option", "maxFilesPerTrigger=1"])
     return root
 
 
@@ -40,15 +40,33 @@ def test_serve_as_the_dashboard(spark, root, tmp_path):
             == {r.nationality: r.tran_country_count for r in want})
 
 
-def test_history(spark, root, capsys):
-    main(["history", "--root", root, "SELECT count(*) AS archived_sales FROM transactions"])
-    assert "archived_sales" in capsys.readouterr().out
+def test_history_writes_its_whole_answer(spark, root, tmp_path):
+    main(["history", "--root", root, "SELECT user_id FROM transactions", "--out", str(tmp_path / "answer")])
+    assert spark.read.json(str(tmp_path / "answer")).count() == spark.read.parquet(f"{SMALL}/orders.parquet").count() > 100
+
+
+def test_history_says_when_it_prints_a_part(spark, root, capsys):
+    main(["history", "--root", root, "SELECT user_id FROM transactions", "--rows", "2"])
+    assert "only showing top 2 rows" in capsys.readouterr().out
+    main(["history", "--root", root, "SELECT count(*) AS archived_sales FROM transactions", "--rows", "2"])
+    printed = capsys.readouterr().out
+    assert "archived_sales" in printed and "only showing" not in printed
+    with pytest.raises(SystemExit):
+        main(["history", "--root", root, "SELECT 1"])
+
+
+@pytest.mark.parametrize("argv", [["compact"], ["vacuum"], ["serve", "--out", "o"], ["history", "SELECT 1", "--rows", "1"]])
+def test_a_mistyped_root_is_no_empty_one(spark, tmp_path, argv):
+    with pytest.raises(FileNotFoundError):
+        main([*argv, "--root", str(tmp_path / "nowhere")])
 
 
 def test_compact(spark, root, tmp_path):
-    main(["compact", "--root", root, "--new-root", str(tmp_path / "new")])
-    old, new = pipelines.Layout(root), pipelines.Layout(str(tmp_path / "new"))
-    assert (stored.read_hot_table(spark, new.hot).exceptAll(stored.read_hot_table(spark, old.hot))).isEmpty()
+    hot = pipelines.Layout(root).hot
+    before = sorted(map(tuple, stored.read_hot_table(spark, hot).collect()), key=str)
+    main(["compact", "--root", root])
+    main(["vacuum", "--root", root])
+    assert sorted(map(tuple, stored.read_hot_table(spark, hot).collect()), key=str) == before
 
 
 def test_publish_then_keyed_variant(spark, tmp_path, capfd):
@@ -72,7 +90,8 @@ def test_connector_options(spark, tmp_path):
     assert docs.columns == ["batch_id", "nationality", "tran_year", "tran_year_country_total_sales"]
 
 
-@pytest.mark.parametrize("argv", [["main", "--root", "r"], ["main", "--root", "r", "--servers", "s", "--text-files", "t"]])
-def test_one_source_is_required(argv):
+@pytest.mark.parametrize("argv", [["publish", "--root", "r", "--text-files", "t"],
+                                  ["publish", "--root", "r", "--text-files", "t", "--to-topic", "x"], ["main", "--root", "r"], ["main", "--root", "r", "--servers", "s", "--text-files", "t"]])
+def test_source_and_target_are_required(argv):
     with pytest.raises(SystemExit):
         main(argv)

@@ -91,12 +91,30 @@ def test_default_fill_is_per_leaf(spark):
         (cards, "PID-001", 150.5), (cards, "X", 150.5), ([], "PID-001", 150.5)]
 
 
-def test_published_message_is_complete_and_broken_ones_are_not(edges):
-    out = publish.completed_messages(msg.expand(msg.parse(msg.decode(edges)))).collect()
-    broken = {"malformed", "null payload", "top-level array", "mistyped field"}
-    assert len(out) == sum(reason not in broken for _, reason, _ in EDGES.values())
-    assert all(set(json.loads(r.value)["tran_detail"]) == {"tran_card_type", "product_id", "tran_amount"}
-               for r in out)
+def test_every_json_object_is_published_and_the_rest_set_aside(edges):
+    decoded = msg.decode(edges)
+    out = [json.loads(r.value) for r in publish.completed_messages(decoded).collect()]
+    aside = {int(r.message_id.split(":")[2]): (r.reject_reason, r.value) for r in publish.refused_messages(decoded).collect()}
+    refused = {"malformed": "malformed", "null payload": "null payload", "top-level array": "no object"}
+    assert aside == {i: (refused[name], EDGES[name][0]) for i, name in enumerate(EDGES) if name in refused}
+    assert len(out) == len(EDGES) - len(aside)
+    assert all({"tran_card_type", "product_id", "tran_amount"} <= set(m["tran_detail"]) for m in out)
+
+
+DETAIL = {"tran_card_type": list(DEFAULT_CARDS), "product_id": "PID-001", "tran_amount": 150.5}
+
+
+@pytest.mark.parametrize("given, want", [
+    ({"a": {"b": [1, None, {"c": "é\"\\"}]}, "n": None}, {"a": {"b": [1, None, {"c": "é\"\\"}]}, "n": None, "tran_detail": DETAIL}),
+    ({"tran_detail": None, "x": 1.5}, {"tran_detail": DETAIL, "x": 1.5}),
+    ({"tran_detail": {"product_id": None, "tran_amount": "12", "own": {"k": None}, "tran_card_type": []}},
+     {"tran_detail": {"product_id": "PID-001", "tran_amount": "12", "own": {"k": None}, "tran_card_type": []}}),
+    ({"results": [{"user": {"registered": "1300000000", "odd": True}}]},
+     {"results": [{"user": {"registered": "1300000000", "odd": True}}], "tran_detail": DETAIL}),
+    ({"tran_detail": "text"}, {"tran_detail": "text"}), ({}, {"tran_detail": DETAIL})])
+def test_completing_changes_nothing_else(spark, given, want):
+    (row,) = publish.completed_messages(msg.decode(topic(spark, [json.dumps(given)]))).collect()
+    assert json.loads(row.value) == want
 
 
 def test_identity_without_positions_is_the_payload(spark, tmp_path):

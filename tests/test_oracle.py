@@ -5,6 +5,7 @@ import pytest
 import __spark_entry__ as contract
 import oracle
 from conftest import SMALL
+from tillflow.catalog import ORACLES, QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -12,10 +13,22 @@ def con():
     return oracle.connect(SMALL)
 
 
-@pytest.mark.parametrize("name", list(contract.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_equals_oracle(spark, con, name):
     df = contract.queries()[name](spark, SMALL)
-    assert oracle.assert_equal(df, con, contract.oracle_sql()[name]) > 0
+    assert oracle.assert_equal(df, con, ORACLES[name]) > 0
+
+
+def test_every_oracle_has_a_query():
+    assert set(contract.oracle_sql()) <= set(contract.queries())
+
+
+def test_queries_leave_no_settings_or_views(spark):
+    before = {k: v for k, v in spark.sql("SET").collect()}
+    views = {t.name for t in spark.catalog.listTables()}
+    contract.queries()["history_sql"](spark, SMALL).count()
+    assert {k: v for k, v in spark.sql("SET").collect()} == before
+    assert {t.name for t in spark.catalog.listTables()} == views
 
 
 def test_entry_has_rows(spark):

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as contract
 from conftest import SMALL
 from tillflow import workload
+from tillflow.catalog import QUERIES
 from tillflow.operators import serving, totals
 from tillflow.operators.keyed import last_write
 from tillflow.plans import pipelines
@@ -33,7 +34,7 @@ def raw(spark):
     return topic_files(spark, workload.stage(spark, SMALL, workload.party_topic), streaming=False)
 
 
-@pytest.mark.parametrize("name", list(contract.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_no_query_leaves_the_jvm_or_crosses(spark, name):
     text = plan(contract.queries()[name](spark, SMALL))
     assert not re.search(r"EvalPython|InPandas|InArrow|CartesianProduct|BroadcastNestedLoopJoin", text)

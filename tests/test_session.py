@@ -2,7 +2,7 @@
 
 import pytest
 
-from tillflow.session import RUNTIME_CONF, pin, shared_dir
+from tillflow.session import RUNTIME_CONF, child, pin, shared_dir
 
 
 class Session:
@@ -25,5 +25,12 @@ def test_a_cluster_without_shared_folder_is_refused():
 
 
 def test_pinned_settings(spark):
-    pin(spark)
-    assert all(spark.conf.get(key) == value for key, value in RUNTIME_CONF.items())
+    own = pin(spark.newSession())
+    assert all(own.conf.get(key) == value for key, value in RUNTIME_CONF.items())
+
+
+def test_a_child_has_the_callers_settings_and_changes_none(spark, confs):
+    confs(spark__sql__shuffle__partitions="5", spark__sql__session__timeZone="Asia/Tokyo")
+    own = child(spark)
+    assert own.conf.get("spark.sql.shuffle.partitions") == "5"
+    assert own.conf.get("spark.sql.session.timeZone") == "UTC" and spark.conf.get("spark.sql.session.timeZone") == "Asia/Tokyo"

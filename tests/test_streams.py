@@ -1,11 +1,14 @@
 """Sinks and pipelines: stream equals batch, restart, replay, agreement."""
 
 import json
+import re
 from collections import Counter
+from datetime import datetime, timedelta
 
 import pytest
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 import oracle
 from conftest import SMALL
@@ -15,11 +18,13 @@ from tillflow.operators import serving, totals
 from tillflow.operators.keyed import ARRIVAL
 from tillflow.plans import history, pipelines
 from tillflow.plans.rows import ALL, transactions
-from tillflow.schema import HOT, TOPIC
+from tillflow.schema import HOT, TOPIC, struct
 from tillflow.sources import stored
+from tillflow.sources.epochs import EpochLog, Folder, read_epochs
 from tillflow.sources.topics import kafka_topic, text_files, topic_files
 from tillflow.streaming import sinks
-from tillflow.streaming.run import AVAILABLE_NOW, await_any, drain, start, start_totals
+from tillflow.streaming.run import AVAILABLE_NOW, await_any, drain, start_totals
+from tillflow.streaming.run import start as start_sink
 
 YEAR = "year_wise_total_sales_count"
 YEAR_2010, YEAR_2011 = 1270000000, 1300000000
@@ -47,12 +52,11 @@ def bag(df):
 
 def test_update_snapshots_hold_running_totals(spark, tmp_path):
     """T1, T3: three files; the latest total is true, the summed one counts again."""
-    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    source, layout = str(tmp_path / "in"), pipelines.Layout(str(tmp_path / "out"))
     for i in range(3):
         drop(spark, source, [message("a", YEAR_2010)] * 2 + [message("b", YEAR_2011)] * 2, i * 4)
-    drain([pipelines.start_collection(one_file_per_batch(spark, source), YEAR, sinks.epoch_files(out),
-                                      str(tmp_path / "cp"), AVAILABLE_NOW)])
-    docs = stored.read_collection(spark, out, YEAR)
+    drain([pipelines.start_collection(one_file_per_batch(spark, source), layout, YEAR, trigger=AVAILABLE_NOW)])
+    docs = stored.read_collection(spark, layout.collection(YEAR), YEAR)
     assert bag(docs.select("batch_id", "tran_year", "tran_year_count")) == Counter(
         [(b, y, 2 * b + 2) for b in range(3) for y in (2010, 2011)])
     assert bag(serving.latest_totals(docs, YEAR)) == Counter([(2010, 6), (2011, 6)])
@@ -92,22 +96,32 @@ def test_replayed_epochs_change_nothing(spark, tmp_path):
         once(batch, epoch)
 
     rows = transactions(one_file_per_batch(spark, source), HOT, mode="passthrough")
-    drain([start(rows, twice, "twice", layout.checkpoints, AVAILABLE_NOW)])
+    drain([start_sink(rows, twice, "twice", layout.checkpoints, AVAILABLE_NOW)])
     assert stored.read_hot_changes(spark, layout.hot).count() == 12
     assert bag(stored.read_hot_table(spark, layout.hot).select("user_id", "tran_amount")) == Counter(
         [(f"c{k}", 204.0 + k) for k in range(4)])
 
 
-def test_late_epoch_with_older_records_does_not_win(spark, tmp_path):
-    """The winner is the last record of the source, however it was batched."""
-    path = str(tmp_path / "hot")
-    source = str(tmp_path / "in")
-    drop(spark, source, [message("a", YEAR_2010, float(i)) for i in range(4)])
-    rows = transactions(topic_files(spark, source, streaming=False), HOT, mode="passthrough")
-    write = sinks.keyed(sinks.epoch_files(path))
-    write(rows.where("offset >= 2"), 0)
-    write(rows.where("offset < 2"), 1)
-    assert [r.tran_amount for r in stored.read_hot_table(spark, path).collect()] == [3.0]
+def test_the_last_write_wins_whatever_the_producers_clock_says(spark, tmp_path):
+    """A later micro-batch wins, in it the later position; the file table and a table
+    that overwrites by itself agree."""
+    source, layout = str(tmp_path / "in"), pipelines.Layout(str(tmp_path / "out"))
+    start = datetime(2020, 1, 1)
+    for i, offsets in enumerate([(5, 4), (1, 0), (3, 2)]):
+        rows = [(None, message("a", YEAR_2010, float(o)).encode(), "t", 0, o, start - timedelta(days=o + 10 * i), 0) for o in offsets]
+        spark.createDataFrame(rows, TOPIC).coalesce(1).write.mode("append").parquet(source)
+    table = {}
+
+    def overwrite(batch, epoch):
+        table.update({r.user_id: r.tran_amount for r in batch.collect()})
+
+    def both(batch, epoch):
+        sinks.keyed(overwrite, keep_arrival=False)(batch, epoch)
+        sinks.keyed(sinks.epoch_files(layout.hot))(batch, epoch)
+
+    rows = transactions(one_file_per_batch(spark, source), HOT, mode="passthrough")
+    drain([start_sink(rows, both, "both", layout.checkpoints, AVAILABLE_NOW)])
+    assert {r.user_id: r.tran_amount for r in stored.read_hot_table(spark, layout.hot).collect()} == table == {"a": 3.0}
 
 
 @pytest.fixture(scope="module")
@@ -158,37 +172,133 @@ def test_invariants(spark, run):
     batch.unpersist()
 
 
-def test_compaction_keeps_answers_and_lets_the_stream_go_on(spark, tmp_path):
-    source = str(tmp_path / "in")
-    old = pipelines.Layout(str(tmp_path / "old"))
-    new = pipelines.Layout(str(tmp_path / "new"), old.checkpoints)
+def answers(spark, layout):
+    docs = {n: stored.read_collection(spark, layout.collection(n), n) for n in totals.COLLECTIONS}
+    return (bag(stored.read_archive(spark, layout.archive)), bag(stored.read_hot_table(spark, layout.hot)),
+            bag(stored.read_quarantine(spark, layout.quarantine)), bag(stored.read_quarantine(spark, layout.null_keys)),
+            {n: (bag(d), bag(serving.latest_totals(d, n))) for n, d in docs.items()})
 
-    def answers(layout):
-        return (bag(stored.read_archive(spark, layout.archive)), bag(stored.read_hot_table(spark, layout.hot)),
-                [bag(serving.latest_totals(stored.read_collection(spark, layout.collection(n), n), n))
-                 for n in totals.COLLECTIONS])
 
-    def go(layout):
-        drain(pipelines.main_pipeline(one_file_per_batch(spark, source), layout, trigger=AVAILABLE_NOW,
-                                      mode="passthrough"))
+def test_upkeep_keeps_answers_and_lets_the_stream_go_on(spark, tmp_path):
+    source, layout = str(tmp_path / "in"), pipelines.Layout(str(tmp_path / "out"))
 
-    for i in range(2):
-        drop(spark, source, [message("a", YEAR_2010, i + 0.5), message("b", YEAR_2011, i + 1.0)], 2 * i)
-    go(old)
-    history.compact(spark, old, new)
-    assert answers(new) == answers(old)
-    drop(spark, source, [message("a", YEAR_2010, 9.0)], 4)
-    go(new)
-    archive, hot, collections = answers(new)
-    assert sum(archive.values()) == 5
-    assert {r[0]: r[-1] for r in hot} == {"a": 9.0, "b": 2.0}
-    assert collections[0] == Counter([(2010, 3), (2011, 2)])
-    with pytest.raises(ValueError):
-        history.compact_hot(spark, new.hot, new.hot)
+    def go():
+        drain(pipelines.main_pipeline(one_file_per_batch(spark, source), layout, trigger=AVAILABLE_NOW, mode="passthrough"))
+
+    def step(i):
+        drop(spark, source, [message("a", YEAR_2010, i + 0.5), message("b", YEAR_2011, i + 1.0), "{", message(None, YEAR_2010)], 4 * i)
+        go()
+
+    for i in range(5):
+        step(i)
+        if i % 2:
+            before = answers(spark, layout)
+            history.compact(spark, layout)
+            assert answers(spark, layout) == before
+        if i == 3:
+            history.vacuum(spark, layout)
+            assert answers(spark, layout) == before
+            assert not Folder(spark, f"{layout.archive}/epochs").names()
+    archive, hot, quarantine, _, collections = answers(spark, layout)
+    assert sum(archive.values()) == 15 and sum(quarantine.values()) == 10
+    assert {r[0]: r[-1] for r in hot} == {"a": 4.5, "b": 5.0}
+    assert collections[YEAR][1] == Counter([(2010, 10), (2011, 5)]) and sum(collections[YEAR][0].values()) == 10
+
+
+def test_upkeep_under_a_running_stream(spark, tmp_path):
+    source, layout = str(tmp_path / "in"), pipelines.Layout(str(tmp_path / "out"))
+    drop(spark, source, [message("a", YEAR_2010)])
+    queries = pipelines.main_pipeline(topic_files(spark, source), layout, trigger={"processingTime": "0 seconds"}, mode="passthrough")
+    try:
+        for i in range(1, 4):
+            drop(spark, source, [message("a", YEAR_2010, float(i))], i)
+            history.compact(spark, layout)
+            for query in queries:
+                query.processAllAvailable()
+        assert [r.tran_amount for r in stored.read_hot_table(spark, layout.hot).collect()] == [3.0]
+        assert stored.read_archive(spark, layout.archive).count() == 4
+        docs = stored.read_collection(spark, layout.collection(YEAR), YEAR)
+        assert bag(serving.latest_totals(docs, YEAR)) == Counter([(2010, 4)])
+    finally:
+        for query in queries:
+            query.stop()
+
+
+def test_upkeep_of_an_archive_with_sparks_own_log_is_refused(spark, tmp_path):
+    source, layout = str(tmp_path / "in"), pipelines.Layout(str(tmp_path / "out"))
+    drop(spark, source, [message("a", YEAR_2010)])
+    drain(pipelines.separate_pipeline(topic_files(spark, source), layout, trigger=AVAILABLE_NOW))
+    with pytest.raises(ValueError, match="file sink"):
+        history.compact(spark, layout)
+    assert stored.read_archive(spark, layout.archive).count() == 1
+    with pytest.raises(FileNotFoundError):
+        history.compact(spark, pipelines.Layout(str(tmp_path / "nowhere")))
+
+
+def test_readers_see_finished_epochs_only(spark, tmp_path):
+    path = str(tmp_path / "out")
+    schema = struct(id=T.LongType())
+    write = sinks.epoch_files(path)
+    assert read_epochs(spark, path, schema).count() == 0
+    write(spark.range(3), 0)
+    # A write that has not come to its end, or not to its log entry.
+    spark.range(10).write.parquet(f"{path}/epochs/batch_id=1")
+    assert read_epochs(spark, path, schema).count() == 3
+    write(spark.range(4), 1)
+    assert read_epochs(spark, path, schema).groupBy("batch_id").count().sort("batch_id").collect() == [(0, 3), (1, 4)]
+    # A replay of a whole epoch leaves its files alone, so a reader of them goes on.
+    reading = read_epochs(spark, path, schema)
+    write(spark.range(99), 1)
+    assert reading.count() == 7
+    # An epoch without rows is finished, too.
+    write(spark.range(0), 2, 0)
+    assert EpochLog(spark, path).finished == 2 and read_epochs(spark, path, schema).count() == 7
+
+
+def test_one_key_is_read_from_one_bucket(spark, tmp_path):
+    source, layout = str(tmp_path / "in"), pipelines.Layout(str(tmp_path / "out"))
+    drop(spark, source, [message(f"u{i}", YEAR_2010, float(i)) for i in range(300)])
+    go = lambda: drain([pipelines.start_hot(topic_files(spark, source), layout, trigger=AVAILABLE_NOW, mode="passthrough")])
+    go()
+    history.compact_hot(spark, layout.hot)
+    assert [r.tran_amount for r in stored.read_hot_key(spark, layout.hot, "u7").collect()] == [7.0]
+    plan = stored.read_hot_key(spark, layout.hot, "u7")._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^]]*bucket", plan)
+    held = stored.read_hot_changes(spark, layout.hot).inputFiles()
+    here = spark.range(1).select(stored.bucket(F.lit("u7"))).first()[0]
+    assert 0 < sum(f"bucket={here}/" in f for f in held) <= len(held) / 10
+    drop(spark, source, [message("u7", YEAR_2010, 99.0)], 300)
+    go()
+    assert [r.tran_amount for r in stored.read_hot_key(spark, layout.hot, "u7").collect()] == [99.0]
+    assert stored.read_hot_key(spark, layout.hot, "nobody").count() == 0
+
+
+def test_few_jobs_a_trigger(spark, tmp_path):
+    source, layout = str(tmp_path / "in"), pipelines.Layout(str(tmp_path / "out"))
+    drop(spark, source, [message(f"u{i}", YEAR_2010 + i * 10**7) for i in range(50)])
+    queries = pipelines.main_pipeline(topic_files(spark, source), layout, trigger=AVAILABLE_NOW)
+    drain(queries)
+    jobs = sum(len(spark.sparkContext.statusTracker().getJobIdsForGroup(str(q.runId))) for q in queries)
+    assert 0 < jobs <= 12
+    names = Folder(spark, layout.collections)
+    assert names.names("epochs") == ["batch_id=0"] and not Folder(spark, layout.quarantine).names("epochs")
+    years = Folder(spark, f"{layout.archive}/epochs/batch_id=0")
+    assert all(sum(n.startswith("part-") for n in years.names(y)) == 1 for y in years.names() if y.startswith("tran_year="))
+
+
+def test_sparks_own_archive_sink_writes_few_files(spark, tmp_path):
+    source, layout = str(tmp_path / "in"), pipelines.Layout(str(tmp_path / "out"))
+    for i in range(6):
+        drop(spark, source, [message(f"u{i}{k}", YEAR_2010) for k in range(20)], 20 * i)
+    drain([pipelines.start_archive(topic_files(spark, source), layout, AVAILABLE_NOW)])
+    assert len(spark.read.json(layout.archive).inputFiles()) == 1
+    salted = pipelines.Layout(str(tmp_path / "salted"))
+    drain([pipelines.start_archive(topic_files(spark, source), salted, AVAILABLE_NOW, tuning=sinks.Tuning(files_per_year=3))])
+    assert 1 <= len(spark.read.json(salted.archive).inputFiles()) <= 3
 
 
 @pytest.mark.parametrize("pipeline, queries", [
-    (pipelines.main_pipeline, 2), (pipelines.separate_pipeline, 7), (pipelines.keyed_pipeline, 3)])
+    (pipelines.main_pipeline, 2), (pipelines.separate_pipeline, 8), (pipelines.keyed_pipeline, 4)])
 def test_each_query_reads_each_message_once(spark, tmp_path, pipeline, queries):
     """However many sinks a query has, a micro-batch is not recomputed for them."""
     source, layout = str(tmp_path / "in"), pipelines.Layout(str(tmp_path / "out"))
@@ -203,21 +313,29 @@ def test_an_epoch_writes_few_files(spark, tmp_path):
     rows = spark.range(0, 1000, 1, 40).withColumn("k", F.col("id") % 2).persist()
     sinks.epoch_files(str(tmp_path / "few"), rows_per_file=300)(rows, 0)
     sinks.epoch_files(str(tmp_path / "by_key"), "json", ("k",), 600)(rows, 0)
-    few = spark.read.parquet(str(tmp_path / "few"))
+    few = spark.read.parquet(str(tmp_path / "few" / "epochs"))
     assert len(few.inputFiles()) == 4 and few.count() == 1000
-    assert len(spark.read.json(str(tmp_path / "by_key")).inputFiles()) == 4
+    assert len(spark.read.json(str(tmp_path / "by_key" / "epochs")).inputFiles()) == 4
     rows.unpersist()
 
 
-@pytest.mark.parametrize("pipeline", [pipelines.main_pipeline, pipelines.separate_pipeline])
-def test_outputs_are_not_overwritten_from_a_new_checkpoint(spark, tmp_path, pipeline):
+CHECKPOINTS = [(pipelines.main_pipeline, q) for q in ("rows", "totals")] + [
+    (pipelines.separate_pipeline, q) for q in ("archive", "hot", "quarantine", *totals.COLLECTIONS)] + [
+    (pipelines.keyed_pipeline, q) for q in ("archive", "hot", "quarantine")]
+
+
+@pytest.mark.parametrize("pipeline, lost", CHECKPOINTS, ids=[f"{p.__name__}-{q}" for p, q in CHECKPOINTS])
+def test_no_output_goes_on_from_a_lost_checkpoint(spark, tmp_path, pipeline, lost):
+    """Any one checkpoint lost: nothing starts and nothing changes."""
     source, layout = str(tmp_path / "in"), pipelines.Layout(str(tmp_path / "out"))
-    drop(spark, source, [message("a", YEAR_2010)])
+    drop(spark, source, [message("a", YEAR_2010), "{"])
     drain(pipeline(topic_files(spark, source), layout, trigger=AVAILABLE_NOW))
-    elsewhere = pipelines.Layout(layout.root, str(tmp_path / "new"))
+    before = answers(spark, layout)
+    (tmp_path / "out" / "checkpoints" / lost).rename(tmp_path / "lost")
+    drop(spark, source, [message("a", YEAR_2010)], 2)
     with pytest.raises(ValueError, match="checkpoint"):
-        pipeline(topic_files(spark, source), elsewhere, trigger=AVAILABLE_NOW)
-    assert not spark.streams.active
+        pipeline(topic_files(spark, source), layout, trigger=AVAILABLE_NOW)
+    assert not spark.streams.active and answers(spark, layout) == before
 
 
 def test_damaged_messages_are_set_aside_and_the_rest_flows(spark, tmp_path):
@@ -343,7 +461,7 @@ def test_a_failing_query_is_seen(spark, tmp_path):
         raise RuntimeError("no such table")
 
     layout = pipelines.Layout(str(tmp_path / "out"))
-    queries = [start(topic_files(spark, source), fail, "failing", layout.checkpoints),
+    queries = [start_sink(topic_files(spark, source), fail, "failing", layout.checkpoints),
                *pipelines.raw_pipeline(topic_files(spark, source), layout)]
     with pytest.raises(StreamingQueryException, match="no such table"):
         await_any(queries)

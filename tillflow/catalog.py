@@ -17,11 +17,12 @@ from tillflow.operators import serving, totals
 from tillflow.operators.enrich import enrich, hot_rows
 from tillflow.operators.keyed import last_write
 from tillflow.plans import pipelines, publish
-from tillflow.plans.history import HISTORY_VIEW, compact, open_history
+from tillflow.plans.history import HISTORY_VIEW, compact, open_history, vacuum
 from tillflow.plans.rows import ALL, audited_transactions, transactions
 from tillflow.schema import FLAT, HOT, HOT_KEY, TOPIC
-from tillflow.session import pin, shared_dir
+from tillflow.session import child, shared_dir
 from tillflow.sources import stored
+from tillflow.sources.epochs import read_epochs
 from tillflow.sources.topics import text_files
 from tillflow.streaming import sinks
 from tillflow.streaming.run import AVAILABLE_NOW, drain
@@ -35,7 +36,7 @@ ORACLES: dict[str, str] = {}
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     def register(fn: Query) -> Query:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return fn(pin(spark), sf_dir)
+            return fn(child(spark), sf_dir)
         QUERIES[name] = run
         if sql is not None:
             ORACLES[name] = sql
@@ -48,9 +49,10 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 SALES = """sales AS (
   SELECT o_orderkey, o_custkey, o_totalprice, o_orderdate,
          CAST(epoch(o_orderdate) AS BIGINT) AS o_epoch,
-         c_custkey, c_name, c_mktsegment, n_name,
+         c_custkey, c_name, c_mktsegment, c_nationkey, n_name,
          CAST(o_orderkey % 8 AS INTEGER) AS part, o_orderkey // 8 AS pos_offset,
-         'commerce:' || (o_orderkey % 8) || ':' || (o_orderkey // 8) AS message_id
+         'commerce:' || (o_orderkey % 8) || ':' || (o_orderkey // 8) AS message_id,
+         (o_orderkey // 8) * 3 // (SELECT max(o_orderkey) // 8 + 1 FROM orders) AS delivery
   FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey)"""
 
 # One row per user: a message's first user is the customer, later ones carry a suffix.
@@ -82,24 +84,37 @@ ENRICHED = f""", enriched AS (
 ORDERS_ENRICHED = f"WITH {ORDER_ROWS}{ENRICHED}"
 PARTIES_ENRICHED = f"WITH {PARTY_ROWS}{ENRICHED}"
 
-_HOT = f"""user_id, CAST(NULL AS VARCHAR) AS first_name, c_mktsegment AS last_name,
-  CAST(NULL AS VARCHAR) AS gender, n_name AS city, CAST(NULL AS VARCHAR) AS state, {_ZIP} AS zip,
-  CAST(NULL AS VARCHAR) AS email, nationality, tran_card_type, tran_date, product_id, tran_amount"""
-
-# The flat row; the tables have nothing to map to the NULL columns.
-_FLAT = f"""CAST(NULL AS VARCHAR) AS gender, 'Customer' AS title, CAST(NULL AS VARCHAR) AS first_name,
-  c_mktsegment AS last_name, CAST(NULL AS VARCHAR) AS street, n_name AS city,
-  CAST(NULL AS VARCHAR) AS state, {_ZIP} AS zip, CAST(NULL AS VARCHAR) AS email, {{user_id}} AS user_id,
-  CAST(NULL AS VARCHAR) AS password, CAST(NULL AS VARCHAR) AS salt, CAST(NULL AS VARCHAR) AS md5,
-  CAST(NULL AS VARCHAR) AS sha1, CAST(NULL AS VARCHAR) AS sha256, registered, CAST(NULL AS BIGINT) AS dob,
-  CAST(NULL AS VARCHAR) AS phone, CAST(NULL AS VARCHAR) AS cell, CAST(NULL AS VARCHAR) AS "PPS",
-  CAST(NULL AS VARCHAR) AS large, CAST(NULL AS VARCHAR) AS medium, CAST(NULL AS VARCHAR) AS thumbnail,
-  n_name AS nationality, CAST(o_orderkey AS VARCHAR) AS seed, '1.1' AS version,
-  {{card}} AS tran_card_type, {{product}} AS product_id, {{amount}} AS tran_amount"""
-_FLAT_RAW = _FLAT.format(user_id="username", card="'Visa,MasterCard,Maestro'", product="'PID-001'",
-                         amount="o_totalprice")
-_ARCHIVE = _FLAT.format(user_id="user_id", card="tran_card_type", product="product_id",
-                        amount="tran_amount") + ", tran_date, tran_year"
+_THIN = {c: "CAST(NULL AS VARCHAR)" for c in (
+    "gender", "first_name", "street", "state", "email", "password", "salt", "md5", "sha1", "sha256", "phone", "cell", "PPS",
+    "large", "medium", "thumbnail")} | {"dob": "CAST(NULL AS BIGINT)"}
+# What the whole users of a message hold; every leaf has values of its own.
+_WHOLE = {
+    "gender": "CASE WHEN c_custkey % 2 = 0 THEN 'male' ELSE 'female' END", "first_name": "'first-' || c_custkey",
+    "street": "'street-' || c_custkey", "state": "'state-' || c_nationkey", "email": "'email-' || c_custkey",
+    "password": "'password-' || c_custkey", "salt": "'salt-' || c_custkey", "md5": "'md5-' || c_custkey",
+    "sha1": "'sha1-' || c_custkey", "sha256": "'sha256-' || c_custkey", "phone": "'phone-' || c_custkey",
+    "cell": "'cell-' || c_custkey", "PPS": "'PPS-' || c_custkey", "large": "'large-' || c_custkey",
+    "medium": "'medium-' || c_custkey", "thumbnail": "'thumbnail-' || c_custkey", "dob": "o_epoch - 777600000",
+}
+
+
+def _hot_sql(leaves: dict[str, str]) -> str:
+    return f"""user_id, {leaves["first_name"]} AS first_name, c_mktsegment AS last_name,
+  {leaves["gender"]} AS gender, n_name AS city, {leaves["state"]} AS state, {_ZIP} AS zip,
+  {leaves["email"]} AS email, nationality, tran_card_type, tran_date, product_id, tran_amount"""
+
+
+def _flat_sql(leaves: dict[str, str], user_id: str, card: str, product: str, amount: str) -> str:
+    return f"""'Customer' AS title, c_mktsegment AS last_name, n_name AS city, {_ZIP} AS zip, {user_id} AS user_id,
+  registered, n_name AS nationality, CAST(o_orderkey AS VARCHAR) AS seed, '1.1' AS version, {card} AS tran_card_type,
+  {product} AS product_id, {amount} AS tran_amount, """ + ", ".join(f'{sql} AS "{c}"' for c, sql in leaves.items())
+
+
+_HOT, _WHOLE_HOT = _hot_sql(_THIN), _hot_sql(_WHOLE)
+_FLAT_RAW = _flat_sql(_WHOLE, "username", "'Visa,MasterCard,Maestro'", "'PID-001'", "o_totalprice")
+_ENRICHED_COLUMNS = ("user_id", "tran_card_type", "product_id", "tran_amount")
+_ARCHIVE = _flat_sql(_THIN, *_ENRICHED_COLUMNS) + ", tran_date, tran_year"
+_WHOLE_ARCHIVE = _flat_sql(_WHOLE, *_ENRICHED_COLUMNS) + ", tran_date, tran_year"
 
 _SUM = "CAST(sum(CAST({0} AS DECIMAL(24,6))) AS DOUBLE)"
 _VALUE_SQL = {
@@ -153,7 +168,7 @@ def stream_raw_passthrough(spark, sf_dir):
     layout = pipelines.Layout(root)
     drain(pipelines.raw_pipeline(workload.staged_stream(spark, sf_dir), layout,
                                  sinks.epoch_files(f"{root}/raw"), AVAILABLE_NOW))
-    return _raw_columns(spark.read.schema(TOPIC).parquet(f"{root}/raw"))
+    return _raw_columns(read_epochs(spark, f"{root}/raw", TOPIC))
 
 
 # PRJ-1..3, PRJ-6, SCL-1
@@ -212,8 +227,7 @@ def default_fill(spark, sf_dir):
 # PRJ-11, SNK-6: completed messages, published and parsed again
 @query("completed_messages", f"WITH {SALES} SELECT CAST(o_orderkey AS VARCHAR) AS seed, {_FILLED} FROM sales")
 def completed_messages(spark, sf_dir):
-    messages = msg.expand(msg.parse(msg.decode(workload.partial_topic(spark, sf_dir))))
-    published = publish.completed_messages(messages)
+    published = publish.completed_messages(msg.decode(workload.partial_topic(spark, sf_dir)))
     again = published.select(F.from_json("value", msg.message_schema()).alias("m")).select("m.*")
     return again.select("seed", F.array_join("tran_detail.tran_card_type", ",").alias("cards"),
                         "tran_detail.product_id", "tran_detail.tran_amount")
@@ -232,6 +246,25 @@ def stream_publish(spark, sf_dir):
         "tran_detail.product_id", "tran_detail.tran_amount")
 
 
+# SNK-6, FLT-1: every damaged message is published whole or set aside; the mistyped
+# field and the unknown one go along
+@query("publish_damaged", f"""WITH {SALES} SELECT outcome, count(*) AS messages,
+  count(*) FILTER (o_orderkey % 8 IN (3, 7)) AS extra, count(*) FILTER (o_orderkey % 8 = 3) AS mistyped
+  FROM (SELECT o_orderkey, CASE o_orderkey % 8 WHEN 0 THEN 'malformed' WHEN 4 THEN 'null payload' WHEN 6 THEN 'no object'
+    ELSE 'published' END AS outcome FROM sales) GROUP BY outcome""")
+def publish_damaged(spark, sf_dir):
+    layout = pipelines.Layout(shared_dir(spark, "publish-damaged"))
+    published = f"{layout.root}/published"
+    raw = workload.staged_stream(spark, sf_dir, workload.damaged_topic)
+    drain(pipelines.publish_pipeline(raw, layout, "text", AVAILABLE_NOW, path=published))
+    passed = spark.read.schema("value string").text(published).select(F.lit("published").alias("outcome"), "value")
+    aside = stored.read_quarantine(spark, layout.quarantine).select(F.col("reject_reason").alias("outcome"), F.lit(None).alias("value"))
+    complete = F.get_json_object("value", "$.tran_detail.product_id").isNotNull()
+    return passed.where(complete).union(aside).groupBy("outcome").agg(
+        F.count(F.lit(1)).alias("messages"), F.count(F.get_json_object("value", "$.extra.note")).alias("extra"),
+        F.count_if(F.col("value").contains('"registered":"x')).alias("mistyped"))
+
+
 _REASON = """CASE o_orderkey % 8 WHEN 0 THEN 'malformed' WHEN 1 THEN 'empty results'
   WHEN 2 THEN 'no results' WHEN 3 THEN 'mistyped field' WHEN 4 THEN 'null payload'
   WHEN 6 THEN 'malformed' END"""
@@ -258,11 +291,16 @@ def surviving_rows(spark, sf_dir):
                  F.count("user.registered").alias("dated")))
 
 
-# PRJ-13: the columns and types of the archive and hot rows, as rows of a table
+# PRJ-13: the columns and types of the archive rows, as rows of a table
+_COLUMNS = """gender title first_name last_name street city state zip email user_id password salt md5 sha1 sha256 registered
+  dob phone cell PPS large medium thumbnail nationality seed version tran_card_type product_id tran_amount tran_date
+  tran_year""".split()
+
+
 @query("schema_print", f"""WITH {SALES} SELECT column_name, CASE
   WHEN column_name IN ('registered', 'dob') THEN 'bigint' WHEN column_name = 'tran_amount' THEN 'double'
   WHEN column_name = 'tran_year' THEN 'int' ELSE 'string' END AS column_type,
-  (SELECT count(*) FROM sales) AS rows FROM (SELECT unnest({list(ALL)}) AS column_name)""")
+  (SELECT count(*) FROM sales) AS rows FROM (SELECT unnest({_COLUMNS}) AS column_name)""")
 def schema_print(spark, sf_dir):
     rows = transactions(workload.order_topic(spark, sf_dir)).select(*ALL)
     rows.printSchema()
@@ -321,16 +359,16 @@ def enrich_passthrough(spark, sf_dir):
 
 
 # SCL-1..6, PRJ-7..9: the whole archive row
-@query("archive_rows", f"{PARTIES_ENRICHED} SELECT record_id, {_ARCHIVE} FROM enriched")
+@query("archive_rows", f"{PARTIES_ENRICHED} SELECT record_id, {_WHOLE_ARCHIVE} FROM enriched")
 def archive_rows(spark, sf_dir):
     rows = transactions(workload.party_topic(spark, sf_dir))
     return rows.select("record_id", *ALL)
 
 
 # PRJ-10
-@query("hot_projection", f"{ORDERS_ENRICHED} SELECT {_HOT} FROM enriched")
+@query("hot_projection", f"{PARTIES_ENRICHED} SELECT {_WHOLE_HOT} FROM enriched")
 def hot_projection(spark, sf_dir):
-    return hot_rows(transactions(workload.order_topic(spark, sf_dir), HOT))
+    return hot_rows(transactions(workload.party_topic(spark, sf_dir), HOT))
 
 
 # --- aggregates -------------------------------------------------------------
@@ -363,10 +401,10 @@ def _register_totals(short: str, collection: str) -> None:
     def stream(spark, sf_dir):
         root = shared_dir(spark, collection)
         raw = workload.staged_stream(spark, sf_dir)
-        sink = sinks.epoch_files(f"{root}/{collection}")
-        drain([pipelines.start_collection(raw, collection, sink, f"{root}/checkpoints", AVAILABLE_NOW)])
+        layout = pipelines.Layout(root)
+        drain([pipelines.start_collection(raw, layout, collection, trigger=AVAILABLE_NOW)])
         return serving.latest_totals(
-            stored.read_collection(spark, f"{root}/{collection}", collection), collection)
+            stored.read_collection(spark, layout.collection(collection), collection), collection)
 
     # STR-7, SNK-3, SNK-7, AGG-6, AGG-7: the same out of the main pipeline
     @query(f"main_{short}", _total_sql(collection, PARTIES_ENRICHED))
@@ -396,7 +434,7 @@ for _short, _collection in _SHORT.items():
 # --- sinks and what is read back --------------------------------------------
 
 # SNK-1, SRC-6, STR-4, STR-5, STR-7
-@query("main_archive", f"{PARTIES_ENRICHED} SELECT {_ARCHIVE} FROM enriched")
+@query("main_archive", f"{PARTIES_ENRICHED} SELECT {_WHOLE_ARCHIVE} FROM enriched")
 def main_archive(spark, sf_dir):
     return stored.read_archive(spark, _main_run(spark, sf_dir).archive)
 
@@ -409,13 +447,15 @@ def archive_roundtrip(spark, sf_dir):
     return stored.read_archive(spark, layout.archive)
 
 
-_LAST = """row_number() OVER (PARTITION BY {key}
-  ORDER BY o_orderdate DESC, part DESC, pos_offset DESC, pos DESC) AS place"""
+# The last write: of a later micro-batch, in it of a later source position.
+_LAST = """row_number() OVER (PARTITION BY user_id
+  ORDER BY {batch} part DESC, pos_offset DESC, pos DESC) AS place"""
+_LAST_WRITE = _LAST.format(batch="delivery DESC,")
 
 
 # SNK-2, SNK-5: the keyed table of the main pipeline
-@query("main_hot_table", f"""{PARTIES_ENRICHED} SELECT {_HOT}
-  FROM (SELECT *, {_LAST.format(key="user_id")} FROM enriched) WHERE place = 1""")
+@query("main_hot_table", f"""{PARTIES_ENRICHED} SELECT {_WHOLE_HOT}
+  FROM (SELECT *, {_LAST_WRITE} FROM enriched) WHERE place = 1""")
 def main_hot_table(spark, sf_dir):
     return stored.read_hot_table(spark, _main_run(spark, sf_dir).hot)
 
@@ -423,11 +463,11 @@ def main_hot_table(spark, sf_dir):
 _PLAIN_HOT = f"""{ORDERS_ENRICHED}, plain AS (SELECT * REPLACE (
   username AS user_id, 'Visa' AS tran_card_type, 'PID-001' AS product_id, o_totalprice AS tran_amount)
   FROM enriched)
-  SELECT {_HOT} FROM (SELECT *, {_LAST.format(key="user_id")} FROM plain) WHERE place = 1"""
+  SELECT {_HOT} FROM (SELECT *, {{last}} FROM plain) WHERE place = 1"""
 
 
 # SNK-2: many writes per key, in several micro-batches (the message's own user name)
-@query("keyed_upsert", _PLAIN_HOT)
+@query("keyed_upsert", _PLAIN_HOT.format(last=_LAST_WRITE))
 def keyed_upsert(spark, sf_dir):
     layout = pipelines.Layout(shared_dir(spark, "keyed"))
     raw = workload.staged_stream(spark, sf_dir)
@@ -436,23 +476,53 @@ def keyed_upsert(spark, sf_dir):
 
 
 # SNK-2 in batch form
-@query("last_write_per_key", _PLAIN_HOT)
+@query("last_write_per_key", _PLAIN_HOT.format(last=_LAST.format(batch="")))
 def last_write_per_key(spark, sf_dir):
     rows = transactions(workload.order_topic(spark, sf_dir), HOT, mode="passthrough")
     return last_write(rows, HOT_KEY).select(*HOT)
 
 
-# FLT-1, SNK-2: what the pipeline sets aside, NULL keys included
-@query("stream_quarantine", f"""WITH {SALES} SELECT reject_reason, count(*) AS records FROM (
+# FLT-1, SNK-2: what each pipeline sets aside, NULL keys included
+_ASIDE = f"""WITH {SALES} SELECT reject_reason, count(*) AS records FROM (
   SELECT {_REASON} AS reject_reason FROM sales
   UNION ALL SELECT 'null key' FROM sales, range(2) WHERE o_orderkey % 8 = 5)
-  WHERE reject_reason IS NOT NULL GROUP BY reject_reason""")
-def stream_quarantine(spark, sf_dir):
+  WHERE reject_reason IS NOT NULL GROUP BY reject_reason"""
+
+
+def _set_aside(spark: SparkSession, layout: pipelines.Layout) -> DataFrame:
+    rows = stored.read_quarantine(spark, layout.quarantine).union(stored.read_quarantine(spark, layout.null_keys))
+    return rows.groupBy("reject_reason").agg(F.count(F.lit(1)).alias("records"))
+
+
+def _damaged_run(spark: SparkSession, sf_dir: str, pipeline: Callable, **options) -> pipelines.Layout:
     layout = pipelines.Layout(shared_dir(spark, "damaged"))
     raw = workload.staged_stream(spark, sf_dir, workload.damaged_topic)
-    drain(pipelines.main_pipeline(raw, layout, trigger=AVAILABLE_NOW))
-    return (stored.read_quarantine(spark, layout.quarantine).groupBy("reject_reason")
-            .agg(F.count(F.lit(1)).alias("records")))
+    drain(pipeline(raw, layout, trigger=AVAILABLE_NOW, **options))
+    return layout
+
+
+@query("stream_quarantine", _ASIDE)
+def stream_quarantine(spark, sf_dir):
+    return _set_aside(spark, _damaged_run(spark, sf_dir, pipelines.main_pipeline))
+
+
+@query("separate_quarantine", _ASIDE)
+def separate_quarantine(spark, sf_dir):
+    return _set_aside(spark, _damaged_run(spark, sf_dir, pipelines.separate_pipeline))
+
+
+@query("variant_quarantine", _ASIDE)
+def variant_quarantine(spark, sf_dir):
+    return _set_aside(spark, _damaged_run(spark, sf_dir, pipelines.keyed_pipeline, console=False))
+
+
+# The same after upkeep
+@query("compacted_quarantine", _ASIDE)
+def compacted_quarantine(spark, sf_dir):
+    layout = _damaged_run(spark, sf_dir, pipelines.main_pipeline)
+    compact(spark, layout)
+    vacuum(spark, layout)
+    return _set_aside(spark, layout)
 
 
 # STR-7, STR-8: the variant without aggregates; its archive and keyed table agree
@@ -470,13 +540,21 @@ def variant_sinks_agree(spark, sf_dir):
                        F.count(archived[HOT_KEY]).alias("found_in_archive"))
 
 
-# SNK-4, STR-3: hot rows on the console; the rows are counted from the archive
-@query("console_smoke", f"{ORDERS_ENRICHED} SELECT count(*) AS archived FROM enriched")
+# SNK-4, STR-3: the hot rows that the console shows of each micro-batch, and whether it
+# says that there are more
+@query("console_smoke", f"""{ORDERS_ENRICHED} SELECT delivery AS batch_id, least(count(*), 20) AS printed,
+  count(*) > 20 AS cut FROM enriched GROUP BY delivery""")
 def console_smoke(spark, sf_dir):
-    layout = pipelines.Layout(shared_dir(spark, "console"))
+    layout, printed = pipelines.Layout(shared_dir(spark, "console")), []
     raw = workload.staged_stream(spark, sf_dir)
-    drain(pipelines.keyed_pipeline(raw, layout, trigger=AVAILABLE_NOW))
-    return stored.read_archive(spark, layout.archive).agg(F.count(F.lit(1)).alias("archived"))
+    drain(pipelines.keyed_pipeline(raw, layout, trigger=AVAILABLE_NOW, console=sinks.console(out=printed.append)))
+    screens = []
+    for text in printed:
+        lines = text.splitlines()
+        rows = [line for line in lines if line.startswith("|")]
+        assert rows[0].strip("|").replace(" ", "").split("|") == list(HOT)
+        screens.append((int(lines[1].removeprefix("Batch: ")), len(rows) - 1, "only showing" in text))
+    return spark.createDataFrame(screens, "batch_id bigint, printed bigint, cut boolean")
 
 
 # --- history and serving ----------------------------------------------------
@@ -495,8 +573,8 @@ def history_sql(spark, sf_dir):
 
 
 # SNK-1..3 upkeep: a compacted pipeline answers as before
-@query("compacted_hot_table", f"""{PARTIES_ENRICHED} SELECT {_HOT}
-  FROM (SELECT *, {_LAST.format(key="user_id")} FROM enriched) WHERE place = 1""")
+@query("compacted_hot_table", f"""{PARTIES_ENRICHED} SELECT {_WHOLE_HOT}
+  FROM (SELECT *, {_LAST_WRITE} FROM enriched) WHERE place = 1""")
 def compacted_hot_table(spark, sf_dir):
     return stored.read_hot_table(spark, _compacted(spark, sf_dir).hot)
 
@@ -508,31 +586,53 @@ def compacted_year_country_sales(spark, sf_dir):
     return serving.latest_totals(stored.read_collection(spark, path, name), name)
 
 
-@query("compacted_archive", f"{PARTIES_ENRICHED} SELECT {_ARCHIVE} FROM enriched")
+# SRC-8 after upkeep: every snapshot document is still there
+@query("compacted_documents", f"""{PARTIES_ENRICHED} SELECT count(*) AS documents
+  FROM (SELECT DISTINCT delivery, tran_year FROM enriched)""")
+def compacted_documents(spark, sf_dir):
+    name = _SHORT["year_count"]
+    path = _compacted(spark, sf_dir).collection(name)
+    return serving.count_documents(stored.read_collection(spark, path, name))
+
+
+# SNK-2: one key, from its bucket of the base
+@query("hot_key_lookup", f"""{PARTIES_ENRICHED} SELECT {_WHOLE_HOT}
+  FROM (SELECT *, {_LAST_WRITE} FROM enriched) WHERE place = 1 AND user_id = (SELECT min(user_id) FROM enriched)""")
+def hot_key_lookup(spark, sf_dir):
+    path = _compacted(spark, sf_dir).hot
+    key = stored.read_hot_table(spark, path).agg(F.min(HOT_KEY)).first()[0]
+    return stored.read_hot_key(spark, path, key)
+
+
+@query("compacted_archive", f"{PARTIES_ENRICHED} SELECT {_WHOLE_ARCHIVE} FROM enriched")
 def compacted_archive(spark, sf_dir):
     return stored.read_archive(spark, _compacted(spark, sf_dir).archive)
 
 
-_compactions: dict[str, pipelines.Layout] = {}
+def _compacted(spark: SparkSession, sf_dir: str) -> pipelines.Layout:
+    """A main pipeline of its own, folded after its run; the epochs folded are gone."""
+    place = (spark.sparkContext.applicationId, f"{sf_dir} compacted")
+    if place not in _runs:
+        layout = pipelines.Layout(shared_dir(spark, "compacted"))
+        drain(pipelines.main_pipeline(workload.staged_stream(spark, sf_dir, workload.party_topic), layout, trigger=AVAILABLE_NOW))
+        compact(spark, layout)
+        vacuum(spark, layout)
+        _runs[place] = layout
+    return _runs[place]
 
 
-def _compacted(spark: SparkSession, sf_dir: str) -> pipelines.Layout:
-    old = _main_run(spark, sf_dir)
-    if old.root not in _compactions:
-        new = pipelines.Layout(shared_dir(spark, "compacted"), old.checkpoints)
-        compact(spark, old, new)
-        _compactions[old.root] = new
-    return _compactions[old.root]
+# A changelog whose batches the oracle can name: a batch is a remainder of o_orderkey,
+# and has a snapshot of every key it touches, holding its running total. There are
+# enough batches for more than a hundred documents.
+_BATCHES = {"year_wise_total_sales_count": 20, "country_wise_total_sales_count": 5}
 
 
-# A changelog whose batches the oracle can name: batch = o_orderkey % 5, and a
-# snapshot of every key the batch touches, holding its running total.
 def _snapshots(spark: SparkSession, sf_dir: str, collection: str) -> DataFrame:
     keys, value = totals.COLLECTIONS[collection]
     rows = transactions(workload.order_topic(spark, sf_dir), (*totals.needed([collection]), "seed"))
-    batch = (F.col("seed").cast("bigint") % 5).alias("batch_id")
+    batch = (F.col("seed").cast("bigint") % _BATCHES[collection]).alias("batch_id")
     counted = rows.groupBy(*keys, batch).agg(totals._VALUES[value]().alias("added"))
-    # At most five rows per key are left here.
+    # At most one row per key and batch is left here.
     running = Window.partitionBy(*keys).orderBy("batch_id").rowsBetween(Window.unboundedPreceding, 0)
     return counted.select(*keys, F.sum("added").over(running).alias(value), "batch_id")
 
@@ -541,8 +641,8 @@ def _snapshots_sql(collection: str) -> str:
     keys, value = totals.COLLECTIONS[collection]
     names = ", ".join(keys)
     return f"""{ORDERS_ENRICHED}, counted AS (
-      SELECT {names}, o_orderkey % 5 AS batch_id, {_VALUE_SQL[value]} AS added
-      FROM enriched GROUP BY {names}, o_orderkey % 5), snapshots AS (
+      SELECT {names}, o_orderkey % {_BATCHES[collection]} AS batch_id, {_VALUE_SQL[value]} AS added
+      FROM enriched GROUP BY {names}, o_orderkey % {_BATCHES[collection]}), snapshots AS (
       SELECT {names}, CAST(sum(added) OVER (PARTITION BY {names} ORDER BY batch_id) AS BIGINT) AS {value},
              batch_id FROM counted)"""
 

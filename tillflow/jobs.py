@@ -33,6 +33,7 @@ def _parser() -> argparse.ArgumentParser:
         source.add_argument("--servers", help="Kafka brokers")
         source.add_argument("--topic-files", help="folder of Parquet files of topic rows")
         source.add_argument("--text-files", help="folder of files with one JSON message per line")
+        # Fixed value: the topic's name.
         job.add_argument("--topic", default="commerce")
         job.add_argument("--source-option", action="append", default=[], metavar="KEY=VALUE")
         job.add_argument("--starting-offsets", default="latest")
@@ -44,17 +45,20 @@ def _parser() -> argparse.ArgumentParser:
             job.add_argument("--mode", choices=("draw", "passthrough"), default="draw")
             job.add_argument("--hot-format", help="connector of the keyed table")
             job.add_argument("--hot-option", action="append", default=[], metavar="KEY=VALUE")
+            job.add_argument("--defaults", action="store_true", help="fill missing transaction details")
+        for option, default in vars(sinks.Tuning()).items():
+            job.add_argument(f"--{option.replace('_', '-')}", type=int, default=default)
         if name in ("main", "separate"):
             job.add_argument("--collections-format", help="connector of the aggregate collections")
             job.add_argument("--collections-option", action="append", default=[], metavar="KEY=VALUE",
                              help="'{collection}' in a value stands for the collection's name")
         if name == "main":
             job.add_argument("--console", action="store_true", help="also print year by country")
-            job.add_argument("--defaults", action="store_true", help="fill missing transaction details")
         if name == "publish":
-            job.add_argument("--to-servers", help="Kafka brokers to publish to")
-            job.add_argument("--to-topic")
-            job.add_argument("--to-files", help="folder to publish to instead")
+            target = job.add_mutually_exclusive_group(required=True)
+            target.add_argument("--to-topic", help="topic to publish to, on --to-servers")
+            target.add_argument("--to-files", help="folder to publish to instead")
+            job.add_argument("--to-servers", help="Kafka brokers to publish to, if not those of the source")
 
     serve = jobs.add_parser("serve", help="current totals of the collections as JSON records")
     serve.add_argument("--root", required=True)
@@ -64,9 +68,13 @@ def _parser() -> argparse.ArgumentParser:
     sql = jobs.add_parser("history", help="SQL over the archive, registered as view 'transactions'")
     sql.add_argument("--root", required=True)
     sql.add_argument("sql")
-    compact = jobs.add_parser("compact", help="fold a stopped main pipeline into a new root")
+    answer = sql.add_mutually_exclusive_group(required=True)
+    answer.add_argument("--out", help="folder for the whole answer, as JSON")
+    answer.add_argument("--rows", type=int, metavar="N", help="print the first N rows instead, and whether there are more")
+    compact = jobs.add_parser("compact", help="fold the finished epochs of a pipeline, running or stopped")
     compact.add_argument("--root", required=True)
-    compact.add_argument("--new-root", required=True)
+    vacuum = jobs.add_parser("vacuum", help="delete what folding has replaced, once no reader needs it")
+    vacuum.add_argument("--root", required=True)
     return parser
 
 
@@ -98,25 +106,28 @@ def _stream(spark: SparkSession, args: argparse.Namespace) -> None:
     raw = _source(spark, args)
     layout = pipelines.Layout(args.root, args.checkpoints)
     trigger = AVAILABLE_NOW if args.once else EVERY_5_SECONDS
+    tuning = sinks.Tuning(**{name: getattr(args, name) for name in vars(sinks.Tuning())})
     if args.job == "main":
         queries = pipelines.main_pipeline(raw, layout, _targets(args), trigger, args.mode,
-                                          args.defaults, args.console)
+                                          args.defaults, args.console, tuning)
     elif args.job == "separate":
-        queries = pipelines.separate_pipeline(raw, layout, _targets(args), trigger, args.mode)
+        queries = pipelines.separate_pipeline(raw, layout, _targets(args), trigger, args.mode, args.defaults, tuning)
     elif args.job == "keyed":
-        queries = pipelines.keyed_pipeline(raw, layout, _targets(args), trigger, args.mode)
+        queries = pipelines.keyed_pipeline(raw, layout, _targets(args), trigger, args.mode,
+                                           defaults=args.defaults, tuning=tuning)
     elif args.job == "raw":
-        queries = pipelines.raw_pipeline(raw, layout, trigger=trigger)
+        queries = pipelines.raw_pipeline(raw, layout, trigger=trigger, tuning=tuning)
     elif args.to_files:
-        queries = pipelines.publish_pipeline(raw, layout, "text", trigger, path=args.to_files)
+        queries = pipelines.publish_pipeline(raw, layout, "text", trigger, tuning, path=args.to_files)
     else:
-        queries = pipelines.publish_pipeline(raw, layout, "kafka", trigger,
-                                             **kafka_options(args.to_servers, args.to_topic))
+        queries = pipelines.publish_pipeline(raw, layout, "kafka", trigger, tuning,
+                                             **kafka_options(args.to_servers or args.servers, args.to_topic))
     drain(queries) if args.once else await_any(queries)
 
 
 def _serve(spark: SparkSession, args: argparse.Namespace) -> None:
     layout = pipelines.Layout(args.root)
+    stored.require_root(spark, layout.root)
     for name in COLLECTIONS:
         docs = stored.read_collection(spark, layout.collection(name), name)
         if args.last_documents:
@@ -126,15 +137,30 @@ def _serve(spark: SparkSession, args: argparse.Namespace) -> None:
         serving.as_records(totals).write.mode("overwrite").text(f"{args.out}/{name}")
 
 
+def _history(spark: SparkSession, args: argparse.Namespace) -> None:
+    layout = pipelines.Layout(args.root)
+    stored.require_root(spark, layout.root)
+    history.open_history(spark, layout.archive)
+    answer = spark.sql(args.sql)
+    if args.out:
+        answer.write.mode("overwrite").json(args.out)
+    else:
+        sinks.console(args.rows)(answer, 0)
+
+
 def main(argv: list[str] | None = None) -> None:
-    args = _parser().parse_args(argv)
+    parser = _parser()
+    args = parser.parse_args(argv)
+    if args.job == "publish" and args.to_topic and not (args.to_servers or args.servers):
+        parser.error("--to-topic needs --to-servers")
     spark = build_session(f"tillflow {args.job}")
     if args.job in STREAMS:
         _stream(spark, args)
     elif args.job == "serve":
         _serve(spark, args)
     elif args.job == "history":
-        history.open_history(spark, pipelines.Layout(args.root).archive)
-        spark.sql(args.sql).show(100, truncate=False)
+        _history(spark, args)
+    elif args.job == "compact":
+        history.compact(spark, pipelines.Layout(args.root))
     else:
-        history.compact(spark, pipelines.Layout(args.root), pipelines.Layout(args.new_root))
+        history.vacuum(spark, pipelines.Layout(args.root))

@@ -7,9 +7,13 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Order of writes: source time, then source position, then identity. It comes
-# from the records, so neither micro-batch borders nor replays change the winner.
-ARRIVAL = ("ingest_ts", "partition", "offset", "pos", "record_id")
+# Order of the rows of one micro-batch: source position, then identity. The producer's
+# time only tells rows apart that agree in all else.
+ARRIVAL = ("partition", "offset", "pos", "record_id", "ingest_ts")
+
+# Order of all writes of a table: a later micro-batch wins, as in a table that
+# overwrites by itself.
+WRITES = ("batch_id", *ARRIVAL)
 
 
 def last_write(rows: DataFrame, key: str, order: Iterable[str] = ARRIVAL) -> DataFrame:

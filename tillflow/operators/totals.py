@@ -22,6 +22,9 @@ COLLECTIONS = {
     "year_country_wise_total_sales": (("tran_year", "nationality"), "tran_year_country_total_sales"),
 }
 
+# Where a pipeline keeps all collections together.
+SHARED = "collections"
+
 KEYS = ("tran_year", "nationality", "tran_card_type")
 
 # Counts are of non-null values of one column, so a NULL country or card counts
@@ -65,10 +68,29 @@ def all_totals(rows: DataFrame) -> DataFrame:
     )
 
 
+def _absent(keys: Iterable[str]) -> int:
+    """The grouping id of a key set: a bit per key, first key highest, set where it is absent."""
+    return sum(1 << bit for bit, k in enumerate(reversed(KEYS)) if k not in keys)
+
+
 def pick(totals: DataFrame, collection: str) -> DataFrame:
     """One collection out of ``all_totals``."""
     keys, value = COLLECTIONS[collection]
-    # grouping_id has a bit per key, first key highest, set where the key is absent.
-    absent = sum(1 << bit for bit, k in enumerate(reversed(KEYS)) if k not in keys)
     source = value if value.endswith("_count") else "total_sales"
-    return totals.where(F.col("key_set") == absent).select(*keys, F.col(source).alias(value))
+    return totals.where(F.col("key_set") == _absent(keys)).select(*keys, F.col(source).alias(value))
+
+
+def named(totals: DataFrame) -> DataFrame:
+    """All collections of ``all_totals`` in one frame: keys, ``count_value`` or
+    ``sum_value``, and the ``collection``. One pass; a key set that two collections
+    share gives two rows."""
+    def document(name: str):
+        keys, value = COLLECTIONS[name]
+        counts = value.endswith("_count")
+        return F.when(F.col("key_set") == _absent(keys), F.struct(
+            (F.col(value) if counts else F.lit(None)).cast("long").alias("count_value"),
+            (F.lit(None) if counts else F.col("total_sales")).cast("double").alias("sum_value"),
+            F.lit(name).alias("collection")))
+
+    documents = F.array_compact(F.array(*map(document, COLLECTIONS)))
+    return totals.select(*KEYS, F.explode(documents).alias("d")).select(*KEYS, "d.*")

@@ -4,58 +4,85 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillflow.operators.keyed import last_write
-from tillflow.operators.serving import latest_totals
+from tillflow.operators.keyed import WRITES, last_write
 from tillflow.operators.totals import COLLECTIONS
 from tillflow.plans.pipelines import Layout
-from tillflow.schema import HOT_KEY
-from tillflow.sources.stored import BASE, read_archive, read_collection, read_hot_changes
+from tillflow.schema import HOT, HOT_KEY
+from tillflow.sources import stored
+from tillflow.sources.epochs import EpochLog, Folder, read_epochs
 
 HISTORY_VIEW = "transactions"
 
 
 def open_history(spark: SparkSession, path: str, view: str = HISTORY_VIEW) -> DataFrame:
     """Register the archive as a view; a predicate on ``tran_year`` prunes directories."""
-    archive = read_archive(spark, path)
+    archive = stored.read_archive(spark, path)
     archive.createOrReplaceTempView(view)
     return archive
 
 
-def compact_archive(spark: SparkSession, source: str, target: str) -> None:
-    """Rewrite an archive's many small files as few large ones.
-
-    ``rebalance`` lets AQE join small partitions and split a year too large for
-    one task.
-    """
-    _distinct(source, target)
-    rows = read_archive(spark, source)
-    rows.hint("rebalance", "tran_year").write.partitionBy("tran_year").json(target)
-
-
-def compact_hot(spark: SparkSession, source: str, target: str) -> None:
-    """Fold the keyed table's epochs into one base: one row per key."""
-    _write_base(last_write(read_hot_changes(spark, source), HOT_KEY), source, target)
+def _fold(spark: SparkSession, path: str, read, write) -> None:
+    """Write all finished epochs of a path as one base and log it. The stream may go
+    on meanwhile: its later epochs come after the base."""
+    log = EpochLog(spark, path)
+    last = log.finished
+    if last is None or last == log.base:
+        return
+    write(read(last), f"{log.folder.path}/bases/through={last}")
+    log.add_base(last)
 
 
-def compact_collection(spark: SparkSession, source: str, target: str, collection: str) -> None:
-    """Fold a collection's epochs into one base: the current total of every key."""
-    _write_base(latest_totals(read_collection(spark, source, collection), collection), source, target)
+def compact_archive(spark: SparkSession, path: str) -> None:
+    """An archive's many small files as few large ones.
 
-
-def compact(spark: SparkSession, old: Layout, new: Layout) -> None:
-    """Compact a stopped main pipeline; restart it on ``new``, which keeps the
-    old checkpoints. Nothing is edited in place: until the restart ``old`` is valid."""
-    compact_archive(spark, old.archive, f"{new.archive}/batch_id={BASE}")
-    compact_hot(spark, old.hot, new.hot)
+    ``rebalance`` lets AQE join small partitions and split a year too large for
+    one task. Spark's own file sink keeps a log that a rewrite would contradict, so
+    an archive of that kind is refused.
+    """
+    if Folder(spark, path).exists("_spark_metadata"):
+        raise ValueError(f"{path} was written by Spark's file sink, whose log forbids a rewrite")
+    _fold(spark, path,
+          lambda last: read_epochs(spark, path, stored.ARCHIVE_ROWS, "json", last),
+          lambda rows, out: rows.hint("rebalance", "tran_year").write.mode("overwrite").partitionBy("tran_year").json(out))
+
+
+def compact_hot(spark: SparkSession, path: str) -> None:
+    """Fold the keyed table into one row per key, in folders by the key's hash, so that
+    the row of one key is found in one of them."""
+    def write(rows: DataFrame, out: str) -> None:
+        rows = rows.withColumn("bucket", stored.bucket(rows[HOT_KEY]))
+        rows.hint("rebalance", "bucket").write.mode("overwrite").partitionBy("bucket").parquet(out)
+
+    _fold(spark, path, lambda last: last_write(
+        read_epochs(spark, path, stored.HOT_CHANGES, through=last).select(*HOT, *WRITES), HOT_KEY, WRITES), write)
+
+
+def compact_documents(spark: SparkSession, path: str, schema, by: str | None = None) -> None:
+    """Collections and quarantines: every document stays, with its epoch."""
+    def write(rows: DataFrame, out: str) -> None:
+        writer = rows.hint("rebalance").write.mode("overwrite")
+        (writer.partitionBy(by) if by else writer).parquet(out)
+
+    _fold(spark, path, lambda last: read_epochs(spark, path, schema, through=last), write)
+
+
+def compact(spark: SparkSession, layout: Layout) -> None:
+    """Fold all outputs of a pipeline, running or stopped. Every answer stays as it was;
+    ``vacuum`` frees the space."""
+    stored.require_root(spark, layout.root)
+    if EpochLog(spark, layout.archive).started or Folder(spark, layout.archive).exists("_spark_metadata"):
+        compact_archive(spark, layout.archive)
+    compact_hot(spark, layout.hot)
+    for path in (layout.quarantine, layout.null_keys):
+        compact_documents(spark, path, stored._QUARANTINE_ROW)
+    compact_documents(spark, layout.collections, stored.SHARED_ROWS, "collection")
     for name in COLLECTIONS:
-        compact_collection(spark, old.collection(name), new.collection(name), name)
-
-
-def _write_base(rows: DataFrame, source: str, target: str) -> None:
-    _distinct(source, target)
-    rows.drop("batch_id").hint("rebalance").write.parquet(f"{target}/batch_id={BASE}")
+        compact_documents(spark, layout.collection(name), stored.collection_row(name))
 
 
-def _distinct(source: str, target: str) -> None:
-    if source.rstrip("/") == target.rstrip("/"):
-        raise ValueError("compaction writes a new path; it never edits in place")
+def vacuum(spark: SparkSession, layout: Layout) -> None:
+    """Delete the epochs and bases that a newer base covers, once no reader needs them."""
+    stored.require_root(spark, layout.root)
+    for path in (layout.archive, layout.hot, layout.quarantine, layout.null_keys, layout.collections,
+                 *map(layout.collection, COLLECTIONS)):
+        EpochLog(spark, path).vacuum()

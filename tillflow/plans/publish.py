@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillflow.operators.messages import CORRUPT, fill_defaults
-from tillflow.schema import MESSAGE
+from tillflow.operators.messages import DEFAULT_AMOUNT, DEFAULT_CARDS, DEFAULT_PRODUCT
+
+_DEFAULTS = {"tran_card_type": list(DEFAULT_CARDS), "product_id": DEFAULT_PRODUCT, "tran_amount": DEFAULT_AMOUNT}
 
 
 def payload(rows: DataFrame, columns: Iterable[str] | None = None, key: Column | None = None) -> DataFrame:
@@ -17,14 +19,42 @@ def payload(rows: DataFrame, columns: Iterable[str] | None = None, key: Column |
     return rows.select(value) if key is None else rows.select(key.alias("key"), value)
 
 
-def completed_messages(expanded: DataFrame) -> DataFrame:
-    """Parsed messages with default transaction details, ready to publish.
-
-    A broken payload cannot be completed and is not published.
-    """
-    if CORRUPT in expanded.columns:
-        expanded = expanded.where(F.col(CORRUPT).isNull() & F.col("value").isNotNull())
-    return payload(fill_defaults(expanded), MESSAGE.fieldNames())
+def _completed(value: str) -> Column:
+    """The JSON object in column ``value`` with the missing leaves of its transaction
+    detail; NULL if it is none. All else stays: fields of any name, mistyped ones, NULLs.
+    A detail that is itself no object is left alone."""
+    message = f"try_cast(try_parse_json({value}) AS map<string, variant>)"
+    detail = f"try_variant_get(try_parse_json({value}), '$.tran_detail', 'map<string, variant>')"
+    given = f"coalesce({detail}, cast(map() AS map<string, variant>))"
+    leaves = ", ".join(f"'{leaf}', parse_json('{json.dumps(default)}')" for leaf, default in _DEFAULTS.items())
+    missing = f"map_filter(map({leaves}), (k, x) -> NOT map_contains_key({given}, k) OR is_variant_null(try_element_at({given}, k)))"
+    kept = f"map_filter({given}, (k, x) -> NOT map_contains_key({missing}, k))"
+    others = f"map_filter({message}, (k, x) -> k <> 'tran_detail')"
+    filled = f"map_concat({others}, map('tran_detail', to_variant_object(map_concat({missing}, {kept}))))"
+    has = f"try_element_at({message}, 'tran_detail')"
+    fillable = f"({detail} IS NOT NULL OR {has} IS NULL OR is_variant_null({has}))"
+    return F.expr(f"to_json(CASE WHEN {fillable} THEN {filled} ELSE {message} END, map('ignoreNullFields', 'false'))")
+
+
+def completed(decoded: DataFrame) -> DataFrame:
+    """Decoded messages with ``completed``, the payload with default transaction
+    details, and ``reject_reason`` where it cannot be completed."""
+    rows = decoded.withColumn("completed", _completed("value"))
+    reason = (F.when(F.col("value").isNull(), "null payload")
+              .when(F.col("completed").isNull() & F.expr("try_parse_json(value) IS NULL"), "malformed")
+              .when(F.col("completed").isNull(), "no object"))
+    return rows.withColumn("reject_reason", reason)
+
+
+def completed_messages(decoded: DataFrame) -> DataFrame:
+    """The ``value`` of every message that could be completed, ready to publish."""
+    return completed(decoded).where(F.col("reject_reason").isNull()).select(F.col("completed").alias("value"))
+
+
+def refused_messages(decoded: DataFrame) -> DataFrame:
+    """The other ones, in the form of the quarantine."""
+    return completed(decoded).where(F.col("reject_reason").isNotNull()).select(
+        "message_id", "ingest_ts", "reject_reason", "value")
 
 
 def kafka_options(servers: str, topic: str, **options: str) -> dict[str, str]:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -28,6 +30,16 @@ def pin(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def child(spark: SparkSession) -> SparkSession:
+    """A pinned session of its own with the caller's other settings: neither settings
+    nor views of a query stay behind in the caller's session."""
+    own = spark.newSession()
+    for key, value in spark.sql("SET").collect():
+        if key.startswith("spark.sql.") and own.conf.isModifiable(key):
+            own.conf.set(key, value)
+    return pin(own)
+
+
 def build_session(app_name: str = "tillflow", **conf: str) -> SparkSession:
     """A new session; the master and cluster sizes come from spark-submit.
 
@@ -44,11 +56,13 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder that every executor can reach.
 
     It lies under ``spark.checkpoint.dir``. Only a local-mode session without
-    that setting may fall back to a folder of this machine.
+    that setting may fall back to a folder of this machine, which goes when the
+    application ends.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         if not spark.conf.get("spark.master", "").startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
         base = tempfile.mkdtemp(prefix="tillflow-")
+        atexit.register(shutil.rmtree, base, ignore_errors=True)
     return f"{base.rstrip('/')}/tillflow/{name}-{uuid.uuid4().hex}"

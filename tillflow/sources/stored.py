@@ -2,25 +2,34 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillflow.operators.keyed import ARRIVAL, last_write
-from tillflow.operators.totals import COLLECTIONS
+from tillflow.operators.keyed import WRITES, last_write
+from tillflow.operators.totals import COLLECTIONS, SHARED
 from tillflow.schema import ARCHIVE_ROW, HOT_KEY, HOT_ROW, struct
-
-# The epoch of compacted rows. It precedes every epoch of a stream, so whatever a
-# stream writes later wins over it.
-BASE = -1
-BATCH = T.StructField("batch_id", T.LongType())
+from tillflow.sources.epochs import BATCH, EpochLog, Folder, read_epochs
 
 _KEY_TYPES = {"tran_year": T.IntegerType(), "nationality": T.StringType(),
               "tran_card_type": T.StringType()}
 _ARRIVAL_ROW = struct(ingest_ts=T.TimestampType(), partition=T.IntegerType(),
                       offset=T.LongType(), pos=T.IntegerType(), record_id=T.StringType())
 _QUARANTINE_ROW = struct(message_id=T.StringType(), ingest_ts=T.TimestampType(),
-                         reject_reason=T.StringType(), value=T.StringType(), batch_id=T.LongType())
+                         reject_reason=T.StringType(), value=T.StringType())
+ARCHIVE_ROWS = T.StructType([*ARCHIVE_ROW.fields, T.StructField("tran_year", T.IntegerType())])
+HOT_CHANGES = T.StructType([*HOT_ROW.fields, *_ARRIVAL_ROW.fields])
+SHARED_ROWS = T.StructType([
+    *(T.StructField(k, kind) for k, kind in _KEY_TYPES.items()),
+    T.StructField("count_value", T.LongType()), T.StructField("sum_value", T.DoubleType()),
+    T.StructField("collection", T.StringType())])
+
+#: The base of a keyed table lies in this many folders by a hash of the key.
+HOT_BUCKETS = 64
+
+
+def bucket(key, buckets: int = HOT_BUCKETS):
+    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
 
 
 def collection_row(collection: str) -> T.StructType:
@@ -30,51 +39,55 @@ def collection_row(collection: str) -> T.StructType:
                          T.StructField(value, kind), BATCH])
 
 
-def _read(spark: SparkSession, path: str, schema: T.StructType, fmt: str) -> DataFrame:
-    """Typed and, before the first batch is written, empty."""
-    try:
-        return spark.read.schema(schema).format(fmt).load(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schema)
-
-
-def exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.text(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return False
-    return True
-
-
 def read_archive(spark: SparkSession, path: str) -> DataFrame:
     """The archived rows and ``tran_year``, the partition column.
 
-    The schema is given, never inferred: the JSON writer leaves NULLs out.
+    The schema is given, never inferred: the JSON writer leaves NULLs out. Spark's own
+    file sink keeps a log of its own, which Spark reads by itself.
     """
-    schema = T.StructType([*ARCHIVE_ROW.fields, T.StructField("tran_year", T.IntegerType())])
-    # A fan-out archive has its epochs as a further partition column.
-    return _read(spark, path, schema, "json").select(*schema.names)
+    if Folder(spark, path).exists("_spark_metadata"):
+        return spark.read.schema(ARCHIVE_ROWS).json(path).select(*ARCHIVE_ROWS.names)
+    return read_epochs(spark, path, ARCHIVE_ROWS, "json").select(*ARCHIVE_ROWS.names)
 
 
 def read_collection(spark: SparkSession, path: str, collection: str) -> DataFrame:
-    """Every snapshot document of a collection, with its ``batch_id``."""
-    return _read(spark, path, collection_row(collection), "parquet")
+    """Every snapshot document of a collection, with its ``batch_id``: from its own
+    folder, or out of the one that all collections share beside it."""
+    parent = path.rstrip("/").rsplit("/", 1)[0]
+    shared = f"{parent}/{SHARED}"
+    row = collection_row(collection)
+    if EpochLog(spark, path).started or not EpochLog(spark, shared).started:
+        return read_epochs(spark, path, row)
+    keys, value = COLLECTIONS[collection]
+    source = "count_value" if value.endswith("_count") else "sum_value"
+    rows = read_epochs(spark, shared, SHARED_ROWS).where(F.col("collection") == collection)
+    return rows.select(*keys, F.col(source).alias(value), "batch_id")
 
 
 def read_hot_changes(spark: SparkSession, path: str) -> DataFrame:
-    schema = T.StructType([*HOT_ROW.fields, *_ARRIVAL_ROW.fields, BATCH])
-    return _read(spark, path, schema, "parquet")
+    """Every kept write of the keyed table with its epoch and arrival."""
+    return read_epochs(spark, path, HOT_CHANGES)
 
 
 def read_hot_table(spark: SparkSession, path: str) -> DataFrame:
     """The keyed table: one row per ``user_id``, the last one written."""
-    changes = read_hot_changes(spark, path).drop("batch_id")
-    return last_write(changes, HOT_KEY).drop(*ARRIVAL)
+    return last_write(read_hot_changes(spark, path), HOT_KEY, WRITES).drop(*WRITES)
+
+
+def read_hot_key(spark: SparkSession, path: str, key: str) -> DataFrame:
+    """The keyed table's row of one key: one bucket of the base, and the epochs since."""
+    schema = T.StructType([*HOT_CHANGES.fields, T.StructField("bucket", T.IntegerType())])
+    rows = read_epochs(spark, path, schema)
+    here = F.coalesce(F.col("bucket") == bucket(F.lit(key)), F.lit(True))
+    rows = rows.where((F.col(HOT_KEY) == key) & here).drop("bucket")
+    return last_write(rows, HOT_KEY, WRITES).drop(*WRITES)
 
 
 def read_quarantine(spark: SparkSession, path: str) -> DataFrame:
-    return _read(spark, path, _QUARANTINE_ROW, "parquet")
+    return read_epochs(spark, path, _QUARANTINE_ROW)
+
+
+def require_root(spark: SparkSession, root: str) -> None:
+    """For commands over a pipeline's root: a mistyped one must not look empty."""
+    if not Folder(spark, root).exists():
+        raise FileNotFoundError(f"nothing is stored at {root}")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from threading import Lock
 
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +16,8 @@ EVERY_5_SECONDS = {"processingTime": "5 seconds"}
 # Everything there is, in batches bounded by the source's options, then stop.
 AVAILABLE_NOW = {"availableNow": True}
 
+_starting = Lock()
+
 
 def _writer(df: DataFrame, name: str, checkpoints: str, trigger: dict, mode: str) -> DataStreamWriter:
     # A checkpoint for every query: without one its offsets and running totals
@@ -36,14 +39,17 @@ def start_totals(df: DataFrame, sink: Sink, name: str, checkpoints: str,
     Every state partition is a store that commits in every micro-batch, so there
     should be as many as the keys need, not as the cluster's shuffles do. The
     query takes the setting along when it starts; its checkpoint then keeps it.
+    The session has the setting for that moment only: start totals before other
+    threads plan in the same session, or in one of their own.
     """
     conf = df.sparkSession.conf
-    shuffle = conf.get("spark.sql.shuffle.partitions")
-    conf.set("spark.sql.shuffle.partitions", str(min(state_partitions, int(shuffle))))
-    try:
-        return start(df, sink, name, checkpoints, trigger, "update")
-    finally:
-        conf.set("spark.sql.shuffle.partitions", shuffle)
+    with _starting:
+        shuffle = conf.get("spark.sql.shuffle.partitions")
+        conf.set("spark.sql.shuffle.partitions", str(min(state_partitions, int(shuffle))))
+        try:
+            return start(df, sink, name, checkpoints, trigger, "update")
+        finally:
+            conf.set("spark.sql.shuffle.partitions", shuffle)
 
 
 def start_format(df: DataFrame, fmt: str, name: str, checkpoints: str, trigger: dict = EVERY_5_SECONDS,

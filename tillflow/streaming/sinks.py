@@ -1,7 +1,7 @@
 """Micro-batch sinks: functions of (batch, epoch_id).
 
-File sinks write one directory per epoch and overwrite only that one, so a
-replayed epoch leaves the same rows. Epochs are numbered by the checkpoint: keep
+File sinks write one directory per epoch and log it when it is whole; a replayed epoch
+that is in the log is left as it is. Epochs are numbered by the checkpoint: keep
 outputs and checkpoints together, and start a new root with a new checkpoint.
 """
 
@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager, nullcontext
+from dataclasses import dataclass
 from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
@@ -16,32 +17,71 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillflow.operators.keyed import ARRIVAL, last_write
+from tillflow.operators.totals import named
 from tillflow.schema import ARCHIVE, HOT, HOT_KEY
+from tillflow.sources.epochs import EpochLog
 from tillflow.streaming.run import Sink
 
 
-def epoch_files(path: str, fmt: str = "parquet", partition_by: tuple[str, ...] = (),
-                rows_per_file: int | None = None, **options: str) -> Sink:
-    """Write the batch as directory ``batch_id=<epoch>`` of the path.
+@dataclass(frozen=True)
+class Tuning:
+    """How outputs are laid out; rows do not depend on it.
+
+    The rows of a file are what one task writes in about a second: a micro-batch must
+    not wait for longer than its interval. Upkeep makes files as large as scans want them.
+    """
+    archive_rows_per_file: int = 50_000
+    rows_per_file: int = 200_000
+    files_per_year: int = 1
+    state_partitions: int = 16
+    console_rows: int = 20
+
+
+class EpochFiles:
+    """Writes the batch as one epoch of a path (see ``sources.epochs``).
 
     Every partition of the batch writes files of its own, which at one epoch in a
-    few seconds is far too many. ``rows_per_file`` counts the rows and lets that
-    many share a file (per directory); hand over a cached batch then.
+    few seconds is far too many. ``rows_per_file`` lets that many rows share a file (per
+    directory); the caller hands over how many there are at most, or they are counted.
+    ``files`` is for batches known to be small.
     """
-    def write(batch: DataFrame, epoch: int) -> None:
-        if rows_per_file is not None:
-            batch = batch.coalesce(1 + batch.count() // rows_per_file)
-        writer = batch.write.format(fmt).mode("overwrite").options(**options)
-        if partition_by:
-            writer = writer.partitionBy(*partition_by)
-        writer.save(f"{path}/batch_id={epoch}")
-    return write
+
+    def __init__(self, path: str, fmt: str = "parquet", partition_by: tuple[str, ...] = (),
+                 rows_per_file: int | None = None, files: int | None = None, **options: str):
+        self.path, self.fmt, self.partition_by = path, fmt, partition_by
+        self.rows_per_file, self.files, self.options = rows_per_file, files, options
+
+    def __call__(self, batch: DataFrame, epoch: int, rows: int | None = None) -> None:
+        log = EpochLog(batch.sparkSession, self.path)
+        last = log.finished
+        if last is not None and epoch <= last:
+            return
+        if rows != 0:
+            self._write(batch, epoch, rows)
+        log.finish(epoch)
+
+    def _write(self, batch: DataFrame, epoch: int, rows: int | None) -> None:
+        if self.files is not None:
+            # Not coalesce: that would also narrow the aggregate the batch comes from.
+            batch = batch.repartition(self.files)
+        elif self.rows_per_file is not None:
+            rows = batch.count() if rows is None else rows
+            batch = batch.coalesce(1 + rows // self.rows_per_file)
+        writer = batch.write.format(self.fmt).mode("overwrite").options(**self.options)
+        if self.partition_by:
+            writer = writer.partitionBy(*self.partition_by)
+        writer.save(f"{self.path}/epochs/batch_id={epoch}")
+
+
+epoch_files = EpochFiles
 
 
-# What one task writes in about a second: a micro-batch must not wait for longer
-# than its interval. Compaction makes the files as large as scans want them.
-ARCHIVE_ROWS_PER_FILE = 50_000
-ROWS_PER_FILE = 200_000
+def send(sink: Sink, batch: DataFrame, epoch: int, rows: int | None) -> None:
+    """Hand a batch over, with its number of rows where the sink has a use for it."""
+    if isinstance(sink, EpochFiles):
+        sink(batch, epoch, rows)
+    elif rows != 0:
+        sink(batch, epoch)
 
 
 @contextmanager
@@ -67,22 +107,24 @@ def connector(fmt: str, mode: str = "append", epoch_column: str | None = None, *
     return write
 
 
-def keyed(target: Sink, rejected: Sink | None = None, keep_arrival: bool = True) -> Sink:
+def keyed(target: Sink, rejected: Sink | None = None, keep_arrival: bool = True) -> Callable[..., None]:
     """Upsert hot rows: the last row of each key goes to the target.
 
     Rows without a key cannot be stored under one and go to ``rejected``. A
     target that keeps a history (``epoch_files``) needs the arrival columns to
-    order writes across epochs; a keyed table overwrites by itself.
+    order writes; a keyed table overwrites by itself.
     """
-    def write(batch: DataFrame, epoch: int) -> None:
+    def write(batch: DataFrame, epoch: int, count: int | None = None) -> None:
         rows = batch.select(*HOT, *ARRIVAL)
         # Two writes must not read and parse the batch twice.
         with cached(rows) if rejected is not None else nullcontext():
+            unkeyed = None
+            if rejected is not None:
+                count, unkeyed = rows.agg(F.count(F.lit(1)), F.count_if(F.col(HOT_KEY).isNull())).first()
             kept = last_write(rows.where(F.col(HOT_KEY).isNotNull()), HOT_KEY)
-            with cached(kept if keep_arrival else kept.select(*HOT)) as upserts:
-                target(upserts, epoch)
+            send(target, kept if keep_arrival else kept.select(*HOT), epoch, count)
             if rejected is not None:
-                rejected(null_keys(rows), epoch)
+                send(rejected, null_keys(rows), epoch, unkeyed)
     return write
 
 
@@ -115,37 +157,61 @@ def snapshots(targets: dict[str, Sink], of: Callable[[DataFrame, str], DataFrame
     return write
 
 
-def console(rows: int = 20) -> Sink:
-    """Print the first rows of each batch in full width.
+def together(path: str) -> Sink:
+    """Append the changed running totals of all collections in one write, a folder for
+    each below the epoch. One action on the batch, so the state is updated once."""
+    files = EpochFiles(path, partition_by=("collection",), files=1)
+
+    def write(batch: DataFrame, epoch: int) -> None:
+        files(named(batch), epoch)
+    return write
+
+
+def console(rows: int = 20, out: Callable[[str], None] = print) -> Sink:
+    """Print the first rows of each batch in full width, and whether there are more.
 
     Spark's console format gathers the whole batch on the driver before it
-    prints these; ``show`` fetches only them.
+    prints these; here only they are fetched.
     """
     def write(batch: DataFrame, epoch: int) -> None:
-        print(f"-------------------------------------------\nBatch: {epoch}\n"
-              "-------------------------------------------")
-        batch.show(rows, truncate=False)
+        first = batch.limit(rows + 1).collect()
+        shown = [batch.columns, *([_cell(v) for v in r] for r in first[:rows])]
+        widths = [max(len(r[i]) for r in shown) for i in range(len(batch.columns))]
+        line = "-------------------------------------------"
+        text = "\n".join("|" + "|".join(v.ljust(w) for v, w in zip(r, widths)) + "|" for r in shown)
+        more = f"\nonly showing top {rows} rows" if len(first) > rows else ""
+        out(f"{line}\nBatch: {epoch}\n{line}\n{text}{more}\n")
     return write
 
 
-def fan_out(archive: Sink, hot: Sink, quarantine: Sink) -> Sink:
+def _cell(value: object) -> str:
+    return "NULL" if value is None else str(value)
+
+
+def fan_out(archive: Sink, hot: Callable[..., None], quarantine: Sink) -> Sink:
     """All row sinks off one read and one parse of the batch.
 
     Expects ``explode_users_outer`` rows that went through flattening and
-    enrichment, with the quarantine columns.
+    enrichment, with the quarantine columns. One count tells every sink its rows.
     """
     def write(batch: DataFrame, epoch: int) -> None:
         with cached(batch) as rows:
-            users = rows.where(F.col("pos").isNotNull())
-            archive(users.select(*ARCHIVE, "tran_year"), epoch)
-            hot(users, epoch)
-            quarantine(rejected_messages(rows).unionByName(
-                null_keys(users.select(*HOT, *ARRIVAL))), epoch)
+            is_user = F.col("pos").isNotNull()
+            n, refused = rows.agg(
+                F.count_if(is_user),
+                F.count_if(_rejected()) + F.count_if(is_user & F.col(HOT_KEY).isNull())).first()
+            users = rows.where(is_user)
+            send(archive, users.select(*ARCHIVE, "tran_year"), epoch, n)
+            hot(users, epoch, n)
+            send(quarantine, rejected_messages(rows).unionByName(
+                null_keys(users.select(*HOT, *ARRIVAL))), epoch, refused)
     return write
 
 
+def _rejected():
+    return F.col("reject_reason").isNotNull() & (F.col("pos").isNull() | (F.col("pos") == 0))
+
+
 def rejected_messages(rows: DataFrame) -> DataFrame:
     """The unfit messages among outer-exploded rows, each once."""
-    first = F.col("pos").isNull() | (F.col("pos") == 0)
-    return rows.where(F.col("reject_reason").isNotNull() & first).select(
-        "message_id", "ingest_ts", "reject_reason", "value")
+    return rows.where(_rejected()).select("message_id", "ingest_ts", "reject_reason", "value")

@@ -17,6 +17,7 @@ from tillflow.schema import TOPIC
 from tillflow.session import shared_dir
 from tillflow.sources.topics import topic_files
 
+# Fixed value: the topic's name.
 TOPIC_NAME = "commerce"
 PARTITIONS = 8
 DAY = 86400
@@ -38,6 +39,28 @@ def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
             .join(nation, customer.c_nationkey == nation.n_nationkey))
 
 
+def _tagged(tag: str) -> Column:
+    return F.concat(F.lit(f"{tag}-"), F.col("c_custkey").cast("string")).alias(tag)
+
+
+def _whole_user(number: int) -> Column:
+    """The same with every leaf filled, no two of them alike."""
+    user = _user(number)["user"]
+    return F.struct(F.struct(
+        F.when(F.col("c_custkey") % 2 == 0, "male").otherwise("female").alias("gender"),
+        F.struct(user["name"]["title"].alias("title"), _tagged("first"), user["name"]["last"].alias("last")).alias("name"),
+        F.struct(
+            _tagged("street"), user["location"]["city"].alias("city"),
+            F.concat(F.lit("state-"), F.col("c_nationkey").cast("string")).alias("state"),
+            user["location"]["zip"].alias("zip"),
+        ).alias("location"),
+        _tagged("email"), user["username"].alias("username"), _tagged("password"), _tagged("salt"), _tagged("md5"),
+        _tagged("sha1"), _tagged("sha256"), user["registered"].alias("registered"),
+        (F.col("o_epoch") - 9000 * DAY).alias("dob"), _tagged("phone"), _tagged("cell"), _tagged("PPS"),
+        F.struct(_tagged("large"), _tagged("medium"), _tagged("thumbnail")).alias("picture"),
+    ).alias("user"))
+
+
 def _user(number: int) -> Column:
     """User ``number`` of a message; those after the first get a suffixed name."""
     name = F.col("c_name") if number == 0 else F.concat("c_name", F.lit(f"-{number}"))
@@ -91,8 +114,8 @@ def order_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def party_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One message per order, with ``o_orderkey % 4`` users (none, too)."""
-    users = F.slice(F.array(*map(_user, range(3))), F.lit(1), (F.col("o_orderkey") % 4).cast("int"))
+    """One message per order, with ``o_orderkey % 4`` whole users (none, too)."""
+    users = F.slice(F.array(*map(_whole_user, range(3))), F.lit(1), (F.col("o_orderkey") % 4).cast("int"))
     return _as_topic(sales(spark, sf_dir), _json(_envelope(users, _detail())))
 
 
@@ -119,14 +142,16 @@ def partial_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def damaged_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One message per order, damaged in one of seven ways by ``o_orderkey % 8``."""
-    sound = _json(_envelope(F.array(_user(0)), _detail()))
+    """One message per order, damaged in one of seven ways by ``o_orderkey % 8``; the
+    sound part has a field that the schema does not know."""
+    known = _json(_envelope(F.array(_user(0)), _detail()))
+    sound = F.concat(F.lit('{"extra":{"note":"'), F.col("o_orderkey").cast("string"), F.lit('"},'), F.substr(known, F.lit(2)))
     case = F.col("o_orderkey") % 8
     value = (
         F.when(case == 0, F.left(sound, F.length(sound) - 1))
          .when(case == 1, _json([F.array().alias("results"), F.col("n_name").alias("nationality")]))
          .when(case == 2, _json([F.col("n_name").alias("nationality")]))
-         .when(case == 3, F.replace(sound, F.lit('"registered":'), F.lit('"registered":"x","dob":')))
+         .when(case == 3, F.regexp_replace(sound, r'"registered":(\d+)', r'"registered":"x$1"'))
          .when(case == 4, F.lit(None).cast("string"))
          .when(case == 5, F.lit('{"results":[{"user":null},{}]}'))
          .when(case == 6, F.concat(F.lit("["), sound, F.lit("]")))
@@ -140,31 +165,35 @@ def event_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return payload(events, key=F.col("user_id").cast("string"))
 
 
-_staged: dict[tuple[str, str, str], str] = {}
+_staged: dict[tuple[str, str, str], tuple[str, int]] = {}
 
+# A staged topic comes in this many deliveries, one after the other by offset; a
+# micro-batch takes one.
+DELIVERIES = 3
 
-def stage(spark: SparkSession, sf_dir: str, build=order_topic) -> str:
-    """The topic as files in the shared folder, written once per application.
 
-    At least six files so that small inputs also make several micro-batches, and
-    at most a million messages in each.
-    """
+def _stage(spark: SparkSession, sf_dir: str, build) -> tuple[str, int]:
     place = (spark.sparkContext.applicationId, sf_dir, build.__name__)
     if place not in _staged:
         path = shared_dir(spark, build.__name__)
-        orders = table(spark, sf_dir, "orders").count()
-        per_file = max(1, min(1_000_000, -(-orders // 6)))
-        build(spark, sf_dir).write.option("maxRecordsPerFile", per_file).parquet(path)
-        _staged[place] = path
+        orders, last = table(spark, sf_dir, "orders").agg(F.count(F.lit(1)), F.max("o_orderkey")).first()
+        files = -(-orders // (DELIVERIES * 1_000_000)) or 1
+        offsets = (last or 0) // PARTITIONS + 1
+        for number in range(DELIVERIES):
+            delivery = build(spark, sf_dir).where(F.expr(f"`offset` * {DELIVERIES} div {offsets} = {number}"))
+            delivery.repartition(files).write.mode("append").parquet(path)
+        _staged[place] = path, files
     return _staged[place]
 
 
-def staged_stream(spark: SparkSession, sf_dir: str, build=order_topic, batches: int = 3) -> DataFrame:
-    """The staged topic as a stream of at least ``batches`` micro-batches.
+def stage(spark: SparkSession, sf_dir: str, build=order_topic) -> str:
+    """The topic as files in the shared folder, written once per application, of at
+    most about a million messages each."""
+    return _stage(spark, sf_dir, build)[0]
+
 
-    A micro-batch takes up to 2,000 files, about as many as a large cluster reads
-    at a time, so what it caches stays bounded however long the topic is.
-    """
-    path = stage(spark, sf_dir, build)
-    files = len(spark.read.schema(TOPIC).parquet(path).inputFiles())
-    return topic_files(spark, path, maxFilesPerTrigger=str(min(2000, -(-files // batches))))
+def staged_stream(spark: SparkSession, sf_dir: str, build=order_topic) -> DataFrame:
+    """The staged topic as a stream, a delivery to a micro-batch: the source takes files
+    in the order of their time, and every delivery has as many."""
+    path, files = _stage(spark, sf_dir, build)
+    return topic_files(spark, path, maxFilesPerTrigger=str(files))
