@@ -110,25 +110,28 @@ def fit_hinge(rows: list[np.ndarray], labels: np.ndarray, ratio: np.ndarray, c:
     y = np.where(labels == 1, 1.0, -1.0)
     share = np.array([(y < 0).mean(), (y > 0).mean()])
     top = c * np.where(y > 0, share[0], share[1]) * 2
-    x = [ratio[r] / np.sqrt(max(len(r), 1)) for r in rows]
-    norm = np.array([v @ v + 1.0 for v in x])
-    w, b, alpha = np.zeros(len(ratio)), 0.0, np.zeros(len(y))
+    # Rows stay lists of features: scaled = w * ratio is what a margin sums, and what a
+    # step adds to it goes with the square of the ratio.
+    square, scaled = ratio * ratio, np.zeros(len(ratio))
+    root = np.array([np.sqrt(max(len(r), 1)) for r in rows])
+    norm = np.array([square[r].sum() / n ** 2 + 1.0 for r, n in zip(rows, root)])
+    b, alpha = 0.0, np.zeros(len(y))
     order, rng = np.arange(len(y)), np.random.default_rng(seed)
     for _ in range(epochs):
         rng.shuffle(order)
         moved = 0.0
         for i in order:
-            gradient = y[i] * (w[rows[i]] @ x[i] + b) - 1
+            gradient = y[i] * (scaled[rows[i]].sum() / root[i] + b) - 1
             new = min(max(alpha[i] - gradient / norm[i], 0.0), top[i])
             step = new - alpha[i]
             if step:
                 alpha[i] = new
-                w[rows[i]] += step * y[i] * x[i]
+                scaled[rows[i]] += step * y[i] / root[i] * square[rows[i]]
                 b += step * y[i]
                 moved = max(moved, abs(step))
         if moved < 1e-4:
             break
-    return w * ratio, b
+    return scaled, b
 
 
 def fit_scale(margin: np.ndarray, labels: np.ndarray, rounds: int = 100) -> tuple[float, float]:
