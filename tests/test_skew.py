@@ -101,10 +101,10 @@ def test_totals(spark, skewed, no_broadcast, name):
 def test_last_write_of_a_hot_key(spark, skewed, no_broadcast):
     rows = transactions(workload.order_topic(spark, skewed), HOT, mode="passthrough")
     got = {r.user_id: (r.tran_date, r.tran_amount) for r in last_write(rows, "user_id").collect()}
-    last = defaultdict(lambda: (datetime.min, -1, -1, 0.0))
+    last = defaultdict(lambda: (-1, -1, datetime.min, 0.0))
     for o, name, _, date, amount in expected():
-        last[name] = max(last[name], (date, o % 8, o // 8, amount))
-    assert got == {name: (f"{d:%Y-%m-%d %H:%M:%S}", a) for name, (d, _, _, a) in last.items()}
+        last[name] = max(last[name], (o % 8, o // 8, date, amount))
+    assert got == {name: (f"{d:%Y-%m-%d %H:%M:%S}", a) for name, (_, _, d, a) in last.items()}
 
 
 def test_every_order_is_archived(spark, skewed, no_broadcast):
