@@ -2,6 +2,7 @@ import math
 import re
 from collections import Counter
 
+import numpy as np
 import public_tokenizers
 import pytest
 import sentencepiece
@@ -78,6 +79,41 @@ def test_clean_texts_stay_and_many_bad_ones_go(spark):
     assert sum(good) / len(good) > 0.98 and sum(bad) / len(bad) < 0.6
 
 
+def test_limits_reject_bad_texts_without_the_base_rules(spark):
+    sf = "/root/testdata/sf0.1"
+    labels = {r["doc_id"]: r["quality"] for r in frames.table(spark, sf, "labels").collect()}
+    rows = [(r["kept"], labels[r["doc_id"]]) for r in queries.op8_tokenizer_fertility(spark, sf).collect()
+            if r["doc_id"] in labels and not r["base_failed"]]
+    good, bad = ([kept for kept, q in rows if q == quality] for quality in (1, 0))
+    assert sum(good) / len(good) > 0.99 and sum(bad) / len(bad) < 0.25
+
+
+def test_limits_by_brute_force(spark, tmp_path):
+    fertility.measured(frames.table(spark, "/root/testdata/sf0.01"), MODEL).write.parquet(str(tmp_path / "measured"))
+    rows = spark.read.parquet(str(tmp_path / "measured"))
+    groups = {}
+    for r in rows.where(~fertility.base_failed()).collect():
+        share = r["token_entropy"] / math.log2(max(r["n_tokens"], 2))
+        for language in (r["language"], "any"):
+            groups.setdefault((language, len(f"{r['n_tokens']:b}")), []).append((r["chars_per_token"], r["fallback_share"], share))
+
+    def fence(values, measure, sign):
+        beyond, least = fertility.FENCES[measure]
+        low, high = np.quantile(np.round(values, 3), [0.25, 0.75])
+        return (low, high)[sign > 0] + sign * beyond * max(high - low, least)
+
+    found = {(r["language"], r["length_class"]): r for r in fertility.limits(rows).collect()}
+    assert found.keys() == {k for k in groups if k[0] != "any"}
+    for (language, length), r in found.items():
+        values = next((groups[k] for k in ((language, length), ("any", length)) if len(groups[k]) >= fertility.LEAST_TEXTS), None)
+        got = [r["least_chars"], r["most_fallback"], r["least_entropy"]]
+        if values is None:
+            assert got == [None] * 3
+        else:
+            want = [fence(v, m, s) for v, m, s in zip(zip(*values), fertility.FENCES, (-1, 1, -1))]
+            assert got == pytest.approx(want, abs=2e-3)
+
+
 def test_edges(spark):
     rows = fertility.judged(llm_edges.crowded(spark), MODEL).collect()
     assert len(rows) == len(llm_edges.rows())

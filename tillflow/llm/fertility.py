@@ -3,8 +3,9 @@
 A public vocabulary tells how ordinary a text is: characters per token fall for
 gibberish, shouting and foreign script, the share of tokens spelt out byte by byte
 rises for characters the vocabulary lacks, and the entropy of the tokens falls for
-repetition. Each measure has a band per language; a text outside one of its bands is
-rejected. A few counts of the text itself are taken in the same pass.
+repetition. Each measure has a limit per language and length of text, computed over all
+documents; a text beyond one of its limits is rejected. A few counts of the text itself
+are taken in the same pass.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillflow.llm import pieces, vocab
+from tillflow.llm import frames, pieces, vocab
 from tillflow.llm import text as tx
 
 WINDOW, LEAST_WORDS, REPEAT_PERCENT = 8, 20, 30
@@ -39,16 +40,15 @@ class Band:
     entropy_of_log: tuple[float, float]
 
 
-#: For piece_bpe_32k. Ordinary prose has 3 to 5 characters per token; the lower limits
-#: lie where words made of a language's syllables alone still pass.
-BANDS: Mapping[str, Band] = {
-    "en": Band((2.0, 8.0), (0.0, 0.1), (0.4, 1.0)),
-    "de": Band((2.05, 8.0), (0.0, 0.1), (0.4, 1.0)),
-    "fr": Band((1.77, 8.0), (0.0, 0.1), (0.4, 1.0)),
-    "es": Band((1.8, 8.0), (0.0, 0.1), (0.4, 1.0)),
-}
-#: For languages without a band, and for none.
+#: Where no limits can be computed, and the ends that the rule leaves open.
 ANY = Band((1.0, 12.0), (0.0, 0.5), (0.4, 1.0))
+#: A limit lies so many quartile ranges beyond the quartile on the suspicious side, and
+#: the range counts as so much at least: copies of one text would leave it no width.
+FENCES: Mapping[str, tuple[float, float]] = {
+    "chars_per_token": (2.0, 0.04), "fallback_share": (2.0, 0.05), "entropy_of_log": (1.5, 0.02)}
+#: Texts that quartiles are taken from, at least.
+LEAST_TEXTS = 30
+_LIMITS = ("least_chars", "most_fallback", "least_entropy")
 
 
 def _per_doc(texts: tx.Texts, mask: np.ndarray) -> np.ndarray:
@@ -132,21 +132,75 @@ def base_failed() -> Column:
     return (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > REPEAT_PERCENT * F.col("n_words"))
 
 
+def _entropy_of_log() -> Column:
+    return F.col("token_entropy") / F.log2(F.greatest(F.col("n_tokens"), F.lit(2)))
+
+
+def _length_class() -> Column:
+    """Binary digits of the number of tokens."""
+    return F.length(F.bin("n_tokens"))
+
+
 def _inside(band: Band) -> Column:
-    share = F.col("token_entropy") / F.log2(F.greatest(F.col("n_tokens"), F.lit(2)))
     return (F.col("chars_per_token").between(*band.chars_per_token)
             & F.col("fallback_share").between(*band.fallback_share)
-            & share.between(*band.entropy_of_log))
+            & _entropy_of_log().between(*band.entropy_of_log))
+
+
+def limits(rows: DataFrame) -> DataFrame:
+    """``language``, ``length_class``, ``least_chars``, ``most_fallback`` and
+    ``least_entropy`` from ``measured`` rows that pass the base rules.
+
+    Quartiles are exact, of the measures in thousandths, over all texts of a language (null
+    is one) with as many binary digits in the number of their tokens. A class of under 30
+    texts has the limits of all languages at that length; if these are under 30, null.
+    """
+    own = ["chars_per_token", "fallback_share", "entropy_of_log"]
+    texts = rows.where(~base_failed()).select("language", _length_class().alias("length_class"), *own[:2],
+                                              _entropy_of_log().alias(own[2]))
+
+    def fenced(keys: list[str], prefix: str) -> DataFrame:
+        quartiles = texts.groupBy(*keys).agg(
+            F.count("*").alias("n"), *(F.percentile(F.round(m, 3), [0.25, 0.75]).alias(m) for m in own))
+
+        def fence(measure: str, side: int) -> Column:
+            beyond, least = FENCES[measure]
+            spread = beyond * F.greatest(F.col(measure)[1] - F.col(measure)[0], F.lit(least))
+            return F.when(F.col("n") >= LEAST_TEXTS, F.col(measure)[1] + spread if side else F.col(measure)[0] - spread)
+
+        return quartiles.select(*keys, *(fence(m, side).alias(prefix + name) for m, side, name in zip(own, (0, 1, 0), _LIMITS)))
+
+    both = fenced(["language", "length_class"], "").join(fenced(["length_class"], "any_"), "length_class")
+    return both.select("language", "length_class", *(F.coalesce(x, "any_" + x).alias(x) for x in _LIMITS))
 
 
-def judged(docs: DataFrame, model: str, *, bands: Mapping[str, Band] = BANDS, other: Band = ANY, **columns) -> DataFrame:
+def judged(docs: DataFrame, model: str, *, bands: Mapping[str, Band] | None = None, other: Band = ANY, **columns) -> DataFrame:
     """``measured`` with ``base_failed`` (under 20 words, or over 30 % of the words in
-    repeated windows) and ``kept`` (not that, and every measure in its language's band).
-    A language without a band, or null, has the band ``other``."""
-    verdict = F.lit(False)
-    for name, band in bands.items():
-        verdict = verdict | ((F.col("language") == name) & _inside(band))
-    named = F.coalesce(F.col("language").isin(*bands), F.lit(False)) if bands else F.lit(False)
-    verdict = F.when(named, verdict).otherwise(_inside(other))
-    rows = measured(docs, model, **columns).withColumn("base_failed", base_failed())
-    return rows.withColumn("kept", ~F.col("base_failed") & verdict)
+    repeated windows) and ``kept`` (not that, and every measure within its limits).
+
+    The limits are those of ``limits`` over all rows, ``other`` where these are null and at
+    the ends they leave open; or, if given, fixed ``bands`` by language, and ``other`` for
+    a language without a band, or null.
+    """
+    rows = measured(docs, model, **columns)
+    if bands is not None:
+        verdict = F.lit(False)
+        for name, band in bands.items():
+            verdict = verdict | ((F.col("language") == name) & _inside(band))
+        named = F.coalesce(F.col("language").isin(*bands), F.lit(False)) if bands else F.lit(False)
+        verdict = F.when(named, verdict).otherwise(_inside(other))
+        rows = rows.withColumn("base_failed", base_failed())
+        return rows.withColumn("kept", ~F.col("base_failed") & verdict)
+
+    rows = frames.saved(rows, "fertility")
+    found = frames.saved(limits(rows), "fertility-limits").select(
+        F.col("language").alias("__language"), F.col("length_class").alias("__class"), *_LIMITS)
+    joined = rows.join(found, F.col("language").eqNullSafe(F.col("__language")) & (_length_class() == F.col("__class")), "left")
+
+    def limit(name: str, otherwise: float) -> Column:
+        return F.coalesce(F.col(name), F.lit(otherwise))
+
+    verdict = (F.col("chars_per_token").between(limit("least_chars", other.chars_per_token[0]), other.chars_per_token[1])
+               & F.col("fallback_share").between(other.fallback_share[0], limit("most_fallback", other.fallback_share[1]))
+               & _entropy_of_log().between(limit("least_entropy", other.entropy_of_log[0]), other.entropy_of_log[1]))
+    return joined.select(*rows.columns, base_failed().alias("base_failed"), (~base_failed() & verdict).alias("kept"))
