@@ -152,3 +152,20 @@ def test_edges(spark):
     assert ct.scored(llm_edges.empty(spark), F.lit(False)).count() == 0
     with pytest.raises(ValueError):
         ct.scored(docs, F.lit(False), depth=1)
+
+
+def test_default_depth_beats_the_word_model(spark):
+    rows = queries.op9_context_tree(spark, "/root/testdata/sf0.1").where("held_out")
+    tree, words = rows.agg(F.sum("score"), F.sum("base_score")).first()
+    assert tree > words
+
+
+def test_runs_are_whole_subtrees(monkeypatch):
+    monkeypatch.setattr(ct, "SUBTREES", 10)
+    code = np.random.default_rng(1).integers(0, 1 << 13, 200).astype(np.uint64)
+    runs = list(ct._subtrees(code, code.astype(float)))
+    assert len(runs) > 5 and sorted(np.concatenate([c for c, _ in runs]).tolist()) == sorted(code.tolist())
+    groups = [set((c >> np.uint64(8)).tolist()) for c, _ in runs]
+    assert sum(map(len, groups)) == len(set().union(*groups))
+    assert all((n == c).all() for c, n in runs)
+    assert not list(ct._subtrees(code[:0], np.zeros(0)))

@@ -28,9 +28,13 @@ from tillflow.llm import frames
 from tillflow.llm import text as tx
 
 #: Bytes of context. Every gram is a 64-bit code, so at most 7.
-DEPTH = 4
+DEPTH = 5
+#: Grams whose levels are held at a time, but for a larger subtree.
+SUBTREES = 1 << 18
 #: Text of one block; texts are not cut, so a longer one is a block alone.
 BLOCK_BYTES = 24 << 20
+#: Text of a block that is worked on at a time; a byte takes some hundred bytes of arrays.
+SLICE_BYTES = 1 << 18
 GRAM, WORD, END = 0, 1, 2
 
 _lgamma = np.frompyfunc(lgamma, 1, 1)
@@ -165,6 +169,17 @@ def _gathered(tables: Iterator[pa.RecordBatch]) -> tuple[np.ndarray, np.ndarray]
     return code, np.concatenate([n for _, n in parts])
 
 
+def _subtrees(code: np.ndarray, count: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The grams in runs of whole subtrees from depth 2 on."""
+    group = code >> np.uint64(8) & np.uint64(0xFFFF)
+    order = np.argsort(group, kind="stable")
+    code, count, group = code[order], count[order], group[order]
+    starts = np.flatnonzero(np.diff(group, prepend=group[:1] + np.uint64(1)))
+    cuts = starts[np.flatnonzero(np.diff(starts // SUBTREES, prepend=-1))]
+    for a, b in zip(cuts, [*cuts[1:], len(code)]):
+        yield code[a:b], count[a:b]
+
+
 def weighted_grams(counts: DataFrame, depth: int = DEPTH) -> DataFrame:
     """(code, log10_p) from (code, n), each code once; codes of count 0 are looked up
     only. Grams of the same last two context bytes lie in one partition, which holds all
@@ -175,8 +190,7 @@ def weighted_grams(counts: DataFrame, depth: int = DEPTH) -> DataFrame:
     parts = frames.saved(counts.select(F.col("code"), F.col("n")), "grams").repartition(group)
 
     def sums(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        code, n = _gathered(tables)
-        if len(code):
+        for code, n in _subtrees(*_gathered(tables)):
             level = _levels(code, n, depth, 2)[-1]
             node = (level.key >> np.uint64(8) & np.uint64(255)) << np.uint64(8) | level.key & np.uint64(255)
             distinct, which = np.unique(node, return_inverse=True)
@@ -190,8 +204,7 @@ def weighted_grams(counts: DataFrame, depth: int = DEPTH) -> DataFrame:
     top = _top(pair.column("pair").to_numpy()[order].view(np.uint64), pair.column("n").to_numpy()[order], below)
 
     def score(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        code, n = _gathered(tables)
-        if len(code):
+        for code, n in _subtrees(*_gathered(tables)):
             value = log10_probability(code, _levels(code, n, depth, 2), _above(code, top))
             yield pa.RecordBatch.from_arrays([pa.array(code.view(np.int64)), pa.array(value)], names=["code", "log10_p"])
 
@@ -265,7 +278,7 @@ def _entries(blocks: DataFrame, depth: int) -> DataFrame:
                     if now is not None:
                         yield from flush(now, tallies, ends)
                     now, tallies, ends = int(block[x]), [_Tally(), _Tally()], 0
-                for a, b, texts in tx.batches(table.column(0).slice(x, y - x)):
+                for a, b, texts in tx.batches(table.column(0).slice(x, y - x), SLICE_BYTES):
                     texts = texts.lowered()
                     learn = (~held[x + a:x + b]).astype(np.int64)
                     ends += int(learn.sum())
@@ -279,7 +292,11 @@ def _entries(blocks: DataFrame, depth: int) -> DataFrame:
 
 
 def _find(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray) -> np.ndarray:
-    return values[np.searchsorted(keys, wanted)]
+    """The values of wanted keys, looked up in order of the keys: these are more than a cache holds."""
+    order = np.argsort(wanted)
+    found = np.empty(len(wanted), values.dtype)
+    found[order] = values[np.searchsorted(keys, wanted[order])]
+    return found
 
 
 def scored(docs: DataFrame, held_out: Column, *, key: str = "doc_id", text: str = "text", depth: int = DEPTH) -> DataFrame:
@@ -326,10 +343,11 @@ def scored(docs: DataFrame, held_out: Column, *, key: str = "doc_id", text: str
         for k in (GRAM, WORD):
             own, at = np.unique(keys[kind == k].view(np.uint64), return_index=True)
             looked.append((own, value[kind == k][at]))
+        del kind, keys, value
         base = np.log10(n_all + v_all + 1.0)
         end = np.log10(ends + 1.0)
         out = [[] for _ in range(5)]
-        for _, _, texts in tx.batches(texts_of.column("text")):
+        for _, _, texts in tx.batches(texts_of.column("text"), SLICE_BYTES):
             n, texts = len(texts), texts.lowered()
             doc, code = grams(texts, depth)
             score = np.bincount(doc, weights=_find(*looked[GRAM], code), minlength=n)
