@@ -112,3 +112,13 @@ SELECT docs.doc_id, docs.source, CASE WHEN docs.text IS NULL THEN NULL ELSE kept
   coalesce(len(docs.lines), 0)::BIGINT AS n_lines, coalesce(kept.n_dropped, 0)::BIGINT AS n_dropped
 FROM docs LEFT JOIN kept USING (r)
 """
+
+OP13 = r"""
+WITH docs AS (
+  SELECT doc_id, length(coalesce(text, '')) AS points,
+    sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')) AS text_sha256
+  FROM documents)
+SELECT doc_id, first_value(doc_id) OVER same AS keep_id, count(*) OVER (PARTITION BY text_sha256) AS group_size,
+  row_number() OVER same = 1 AS kept, text_sha256
+FROM docs WINDOW same AS (PARTITION BY text_sha256 ORDER BY points DESC, doc_id NULLS LAST)
+"""
