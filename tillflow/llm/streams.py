@@ -15,9 +15,11 @@ STORE_MB = 256
 
 
 def session(spark: SparkSession) -> SparkSession:
-    """A session of its own whose state lies in RocksDB, on disk, with its memory bounded."""
+    """A session of its own whose state lies in RocksDB, on disk, with its memory bounded.
+    A store must not allocate space in advance: that is 4 MB for each partition of the state."""
     own = child(spark)
     own.conf.set("spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage", "true")
+    own.conf.set("spark.sql.streaming.stateStore.rocksdb.allowFAllocate", "false")
     own.conf.set("spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB", str(STORE_MB))
     return own
 
