@@ -122,3 +122,42 @@ SELECT doc_id, first_value(doc_id) OVER same AS keep_id, count(*) OVER (PARTITIO
   row_number() OVER same = 1 AS kept, text_sha256
 FROM docs WINDOW same AS (PARTITION BY text_sha256 ORDER BY points DESC, doc_id NULLS LAST)
 """
+
+OP12 = r"""
+WITH words AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text, min(doc_id) OVER (PARTITION BY coalesce(text, '')) AS first,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
+  FROM documents),
+marks AS (
+  SELECT doc_id, coalesce(bool_or(quality = 1), false) AS good, coalesce(bool_or(toxic = 1), false) AS toxic
+  FROM labels GROUP BY doc_id),
+masks AS (
+  SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic, [
+    CASE WHEN len(words) < 200 THEN 'A' END,
+    CASE WHEN 100 * len(list_distinct(words)) < 50 * len(words) THEN 'B' END,
+    CASE WHEN 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 3 * length(text) THEN 'C' END,
+    CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 'D' END,
+    CASE WHEN words.doc_id > first THEN 'E' END] AS slots
+  FROM words LEFT JOIN marks USING (doc_id)),
+counts AS (
+  SELECT part, good, toxic, list_filter(slots, lambda x: x IS NOT NULL) AS fails, count(*) AS n FROM masks GROUP BY ALL),
+letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+orders AS (
+  SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM letters a, letters b, letters c, letters d, letters e
+  WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+steps AS (
+  SELECT *, unnest([1, 2, 3, 4, 5])::INT AS step FROM orders),
+found AS (
+  SELECT part, good, toxic, n, filter_order, step, list_contains(fails, substr(filter_order, step, 1)) AS own,
+    len(fails) AS failed, list_bool_or([false] || list_transform(fails, lambda x: instr(filter_order, x) < step)) AS before
+  FROM counts, steps)
+SELECT part, filter_order, step,
+  sum(CASE WHEN NOT own AND NOT before THEN n ELSE 0 END)::BIGINT AS kept,
+  sum(CASE WHEN own AND NOT before THEN n ELSE 0 END)::BIGINT AS removed,
+  sum(CASE WHEN own AND before THEN n ELSE 0 END)::BIGINT AS redundant,
+  sum(CASE WHEN own AND failed = 1 THEN n ELSE 0 END)::BIGINT AS unique_fails,
+  sum(CASE WHEN own AND NOT before AND good THEN n ELSE 0 END)::BIGINT AS good_lost,
+  sum(CASE WHEN own AND NOT before AND toxic THEN n ELSE 0 END)::BIGINT AS toxic_lost,
+  sum(CASE WHEN own THEN n * 120 // failed ELSE 0 END)::BIGINT AS shapley
+FROM found GROUP BY part, filter_order, step
+"""

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillflow.llm import context_tree, curriculum, dart_minhash, fertility, frames, grid_join, nbsvm, oracles, pieces, sharding, site_lines, stream_dedup, token_files
+from tillflow.llm import context_tree, curriculum, dart_minhash, fertility, filter_audit, frames, grid_join, nbsvm, oracles, pieces, sharding, site_lines, stream_dedup, token_files
 
 #: Sixteen shards of equal weight: two regions of two racks of four.
 REGIONS = (((1.0,) * 4,) * 2,) * 2
@@ -78,6 +78,11 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_back(manifest).withColumnRenamed("key", "doc_id")
 
 
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = filter_audit.counted(spark, f"{sf_dir}/documents.parquet", frames.table(spark, sf_dir, "labels"))
+    return filter_audit.interactions(counts)
+
+
 def op13_stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = stream_dedup.deduplicated(spark, f"{sf_dir}/documents.parquet")
     return found.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
@@ -86,6 +91,6 @@ def op13_stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_hash_tree_sharding, op2_dart_minhash_dedup, op3_site_line_dedup, op4_sentencepiece, op5_curriculum_mixing,
     op6_epsilon_grid_join, op7_nbsvm_quality, op8_tokenizer_fertility, op9_context_tree, op10_token_files,
-    op13_stream_dedup)}
+    op12_filter_audit, op13_stream_dedup)}
 ORACLES = {"op1_hash_tree_sharding": oracles.OP1, "op3_site_line_dedup": oracles.OP3, "op5_curriculum_mixing": oracles.OP5,
-           "op13_stream_dedup": oracles.OP13}
+           "op12_filter_audit": oracles.OP12, "op13_stream_dedup": oracles.OP13}
