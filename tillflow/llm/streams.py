@@ -10,6 +10,8 @@ from tillflow.session import child
 
 #: Bytes of input that a micro-batch has for each core: enough to keep all of them busy.
 BYTES_A_CORE = 32 << 20
+#: What is left of a text's bytes in a row of digests and masks, about.
+NARROW = 64
 #: Memory of all state stores of an executor together; what is beyond lies on its disk.
 STORE_MB = 256
 
@@ -37,5 +39,6 @@ def files(spark: SparkSession, path: str, batch_bytes: int | None = None) -> Dat
 
 
 def written(spark: SparkSession, path: str, schema: T.StructType, batch_bytes: int | None = None) -> DataFrame:
-    """What another stream has written to ``path``, as a stream."""
-    return spark.readStream.schema(schema).options(**_batch(spark, batch_bytes)).parquet(path)
+    """The narrow rows that were made of a table and written to ``path``, as a stream."""
+    size = batch_bytes or max(BYTES_A_CORE * spark.sparkContext.defaultParallelism // NARROW, 1)
+    return spark.readStream.schema(schema).options(**_batch(spark, size)).parquet(path)
