@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillflow.llm import context_tree, curriculum, dart_minhash, fertility, filter_audit, frames, grid_join, nbsvm, oracles, pieces, sharding, site_lines, stream_dedup, token_files
+from tillflow.llm import context_tree, curriculum, dart_minhash, fertility, filter_audit, frames, grid_join, nbsvm, oracles, periodic_runs, pieces, sharding, site_lines, stream_dedup, token_files
 
 #: Sixteen shards of equal weight: two regions of two racks of four.
 REGIONS = (((1.0,) * 4,) * 2,) * 2
@@ -78,6 +78,30 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_back(manifest).withColumnRenamed("key", "doc_id")
 
 
+def _periodic(docs: DataFrame) -> DataFrame:
+    """The documents, those of every tenth checksum with a periodic tail."""
+    words = r"[^\x20\x09-\x0D]+"
+    checksum = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    drawn = docs.select("doc_id", "text", (checksum % 10 == 0).alias("tenth"), F.floor(checksum / 10).alias("g"),
+                        F.when(checksum % 10 == 0, F.regexp_extract_all("text", F.lit(words), F.lit(0))).alias("words"))
+    drawn = drawn.withColumn("n", F.size("words")).withColumn("a", F.expr("IF(n > 0, g % n, 0)"))
+    drawn = drawn.withColumn("p", F.expr("CAST(1 + (n - a) div (3 + g % 8) AS INT)"))
+    tail = "slice(flatten(array_repeat(slice(words, CAST(a AS INT) + 1, p), CAST((n - a) div p AS INT) + 1)), 1, CAST(n - a AS INT))"
+    made = F.expr(f"array_join(concat(slice(words, 1, CAST(a AS INT)), {tail}), ' ')")
+    return drawn.select("doc_id", F.when(F.col("tenth") & (F.col("n") > 0), made).otherwise(F.col("text")).alias("text"))
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.collapsed(_periodic(frames.table(spark, sf_dir)))
+    greatest = F.array_max(F.transform("runs", lambda r: F.struct(r["length"], -r["start"], -r["period"])))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    found = found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), greatest.alias("g"),
+                         F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+    start, length, period = -F.col("g")["col2"], F.col("g")["length"], -F.col("g")["col3"]
+    return found.select("doc_id", "n_runs", start.alias("start"), length.alias("length"), period.alias("period"),
+                        F.floor(1000 * length / period).alias("exponent_milli"), "runs_sha256", "collapsed_sha256")
+
+
 def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = filter_audit.counted(spark, f"{sf_dir}/documents.parquet", frames.table(spark, sf_dir, "labels"))
     return filter_audit.interactions(counts)
@@ -91,6 +115,6 @@ def op13_stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_hash_tree_sharding, op2_dart_minhash_dedup, op3_site_line_dedup, op4_sentencepiece, op5_curriculum_mixing,
     op6_epsilon_grid_join, op7_nbsvm_quality, op8_tokenizer_fertility, op9_context_tree, op10_token_files,
-    op12_filter_audit, op13_stream_dedup)}
+    op11_periodic_runs, op12_filter_audit, op13_stream_dedup)}
 ORACLES = {"op1_hash_tree_sharding": oracles.OP1, "op3_site_line_dedup": oracles.OP3, "op5_curriculum_mixing": oracles.OP5,
            "op12_filter_audit": oracles.OP12, "op13_stream_dedup": oracles.OP13}

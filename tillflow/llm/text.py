@@ -63,6 +63,11 @@ def _power(base: int, n: int) -> np.ndarray:
     return held[:n]
 
 
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first n powers of the base of hashes of spans, and of its inverse."""
+    return _power(_BASE, n), _power(pow(_BASE, -1, 1 << 64), n)
+
+
 def distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The keys in order, each once, and how often each occurs."""
     keys = np.sort(keys)
