@@ -15,6 +15,9 @@ import tillflow
 from tillflow.session import shared_dir
 
 BLOCKS = 1024
+#: Bytes of rows that Spark hands to Python at once; its own 64 MB are held several times
+#: over, by the JVM and by the worker.
+ARROW_BYTES = 8 << 20
 
 
 def saved(df: DataFrame, name: str) -> DataFrame:
@@ -26,7 +29,9 @@ def saved(df: DataFrame, name: str) -> DataFrame:
 
 
 def ship(spark: SparkSession) -> None:
-    """Gives the executors' Python this package, as ``--py-files`` does, once an application."""
+    """Gives the executors' Python this package, as ``--py-files`` does, once an application,
+    and the session small Arrow batches."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", f"{ARROW_BYTES}b")
     sc, root = spark.sparkContext, Path(tillflow.__file__).parent
     if getattr(sc, "_tillflow_shipped", False) or not root.is_dir():
         return

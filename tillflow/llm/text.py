@@ -10,6 +10,7 @@ lines and windows are identified by 64-bit hashes.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from functools import cached_property
 
@@ -58,7 +59,7 @@ def _power(base: int, n: int) -> np.ndarray:
         held = np.full(size, base, np.uint64)
         held[0] = 1
         held = np.multiply.accumulate(held)
-        if size <= 4 * SLICE_BYTES:
+        if size <= 2 * SLICE_BYTES:
             _powers[base] = held
     return held[:n]
 
@@ -190,6 +191,15 @@ class Words:
         return mix(h[at]), at
 
 
+_trim = getattr(ctypes.CDLL(None), "malloc_trim", lambda _: 0)
+
+
+def give_back() -> None:
+    """Free memory to the system: a worker lives on, and what it keeps is missing elsewhere."""
+    pa.default_memory_pool().release_unused()
+    _trim(0)
+
+
 def batches(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int, Texts]]:
     """The column in runs of about ``limit`` bytes; a longer text is a run alone. A run
     is good until the next one is asked for."""
@@ -208,4 +218,4 @@ def batches(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, i
         yield first, last, texts
         texts.release()
         first = last
-    pa.default_memory_pool().release_unused()
+    give_back()
