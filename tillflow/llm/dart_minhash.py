@@ -16,6 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -187,7 +188,7 @@ def signed(texts: DataFrame, *, weights: str = "count", words: int = WORDS, band
     def run(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in tables:
             nodes = table.column(0)
-            for a, b, batch in tx.batches(table.column(1), 2 << 20):
+            for a, b, batch in tx.batches(table.column(1)):
                 doc, element, weight = shingles(batch, words, weights)
                 total = np.bincount(doc, weights=weight, minlength=len(batch))
                 full = np.flatnonzero(total > 0)
@@ -220,6 +221,17 @@ def _most_apart(coordinates: int, at_least: float) -> int:
     return int(coordinates * (1 - same) + DEVIATIONS * math.sqrt(coordinates * same * (1 - same)))
 
 
+def _runs_of_bytes(table: pa.RecordBatch, columns: tuple[int, ...], limit: int = 1 << 20) -> Iterator[tuple[int, int]]:
+    """Runs of rows whose texts in these columns have about that many bytes; a longer row alone."""
+    size = sum(np.asarray(pc.fill_null(pc.binary_length(table.column(c)), 0)).astype(np.int64) for c in columns)
+    ends, first = np.cumsum(size), 0
+    while first < len(ends):
+        before = ends[first] - size[first]
+        last = max(int(np.searchsorted(ends, before + limit, "right")), first + 1)
+        yield first, last
+        first = last
+
+
 def similarity(pairs: DataFrame, *, weights: str = "count", words: int = WORDS) -> DataFrame:
     """(a, b, similarity): exact weighted Jaccard of rows (a, b, text_a, text_b)."""
     schema = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType()),
@@ -227,8 +239,8 @@ def similarity(pairs: DataFrame, *, weights: str = "count", words: int = WORDS)
 
     def run(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in tables:
-            for first in range(0, table.num_rows, 256):
-                part = table.slice(first, 256)
+            for first, last in _runs_of_bytes(table, (2, 3)):
+                part = table.slice(first, last - first)
                 sides = []
                 for column in (2, 3):
                     doc, key, weight = [], [], []
@@ -292,7 +304,10 @@ def classes(docs: DataFrame, *, key: str = "doc_id", text: str = "text", at_leas
     star = slots.join(leaders, "bucket").select("bucket", "node", F.col("top.node").alias("leader"))
     star = frames.saved(star, "stars")
 
-    texts = base.join(central.select("node"), "node", "left_semi").groupBy("node").agg(F.first("text").alias("text"))
+    # One row stands for all copies before texts meet: rows are dealt by text and key.
+    heads = ids.join(central.select("node"), "node", "left_semi").select(F.col("node").alias("__node"), F.col("first_id").alias("__id"))
+    texts = base.join(heads, (F.col("node") == F.col("__node")) & F.col("doc_id").eqNullSafe(F.col("__id")))
+    texts = texts.select("node", "text").dropDuplicates(["node"])
     texts = frames.saved(texts, "candidate-texts")
     spokes = star.where("node <> leader").select(F.col("node").alias("a"), F.col("leader").alias("b")).distinct()
     told = frames.saved(similarity(_with_texts(spokes, texts), weights=weights, words=words), "spokes")
