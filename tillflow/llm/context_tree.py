@@ -20,7 +20,7 @@ from math import lgamma, log, pi
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -315,24 +315,21 @@ def scored(docs: DataFrame, held_out: Column, *, key: str = "doc_id", text: str
     rows = docs.select(F.col(key).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"),
                        F.coalesce(held_out, F.lit(False)).alias("held_out"))
     blocks = _in_blocks(rows)
-    same = Window.partitionBy("kind", "key")
-    entries = _entries(blocks, depth).select(
-        "block", "kind", "key", F.sum("n").over(same).alias("n"),
-        (F.row_number().over(same.orderBy("block")) == 1).alias("first"))
-    entries = frames.saved(entries, "text-entries")
+    entries = frames.saved(_entries(blocks, depth), "text-entries")
+    counts = frames.saved(entries.groupBy("kind", "key").agg(F.sum("n").alias("n")), "text-counts")
 
-    totals = {r["kind"]: r for r in entries.where("first").groupBy("kind").agg(
+    totals = {r["kind"]: r for r in counts.groupBy("kind").agg(
         F.sum("n").alias("tokens"), F.count(F.when(F.col("n") > 0, 1)).alias("distinct")).collect()}
     n_of = lambda kind, what: int(totals[kind][what]) if kind in totals else 0
     ends = n_of(END, "tokens")
     n_all, v_all = n_of(WORD, "tokens") + ends, n_of(WORD, "distinct") + (ends > 0)
 
-    known = entries.where((F.col("kind") == GRAM) & F.col("first")).select(F.col("key").alias("code"), "n")
-    known = frames.saved(weighted_grams(known, depth), "gram-probabilities")
-    values = entries.where(F.col("kind") == GRAM).join(known, F.col("key") == F.col("code")).select(
-        "block", "kind", "key", F.col("log10_p").alias("value"))
-    values = values.union(entries.where(F.col("kind") == WORD).select(
-        "block", "kind", "key", F.col("n").cast("double").alias("value")))
+    known = frames.saved(weighted_grams(counts.where(F.col("kind") == GRAM).select(F.col("key").alias("code"), "n"), depth),
+                         "gram-probabilities")
+    found = known.select(F.lit(GRAM).alias("kind"), F.col("code").alias("key"), F.col("log10_p").alias("value")).union(
+        counts.where(F.col("kind") == WORD).select("kind", "key", F.col("n").cast("double")))
+    values = entries.where(F.col("kind") != END).select("block", "kind", "key").join(found, ["kind", "key"]).select(
+        "block", "kind", "key", "value")
 
     names = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte"]
     kinds = [docs.schema[key].dataType, T.BooleanType(), *[T.LongType()] * 3, *[T.DoubleType()] * 3]
