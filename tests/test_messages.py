@@ -117,6 +117,47 @@ def test_completing_changes_nothing_else(spark, given, want):
     assert json.loads(row.value) == want
 
 
+ALL_LEAVES = '"tran_card_type":["Visa","MasterCard","Maestro"],"product_id":"PID-001","tran_amount":150.5'
+CARDS = '"tran_card_type":["Visa","MasterCard","Maestro"]'
+
+
+@pytest.mark.parametrize("given, want", [
+    ("{}", f'{{"tran_detail":{{{ALL_LEAVES}}}}}'), (" { } \n", f' {{ "tran_detail":{{{ALL_LEAVES}}}}} \n'),
+    ('{"a":1e400,"b":0.1234567890123456789012345678901234567890,"c":1.10,"d":123456789012345678901234567890}',
+     f'{{"a":1e400,"b":0.1234567890123456789012345678901234567890,"c":1.10,"d":123456789012345678901234567890,"tran_detail":{{{ALL_LEAVES}}}}}'),
+    ('{"z":-0.0,"a":"\\u00e9\\/ $1 \\\\","m":{ } }\t', f'{{"z":-0.0,"a":"\\u00e9\\/ $1 \\\\","m":{{ }} ,"tran_detail":{{{ALL_LEAVES}}}}}\t'),
+    ('{"tran_detail"\n:\tnull,"b":[1 , 2]}', f'{{"tran_detail"\n:\t{{{ALL_LEAVES}}},"b":[1 , 2]}}'),
+    ('{"a":{"tran_detail":null},"t":"\\"tran_detail\\":null","tran_detail":null}',
+     f'{{"a":{{"tran_detail":null}},"t":"\\"tran_detail\\":null","tran_detail":{{{ALL_LEAVES}}}}}'),
+    ('{"a":{"tran_detail":{"product_id":1}},"tran_detail":{ "product_id":7.0}}',
+     f'{{"a":{{"tran_detail":{{"product_id":1}}}},"tran_detail":{{{CARDS},"tran_amount":150.5, "product_id":7.0}}}}'),
+    ('{"product_id":null,"tran_detail":{"product_id" : null,"x":{"product_id":null},"tran_amount":2,"tran_card_type":[]},"product":null}',
+     '{"product_id":null,"tran_detail":{"product_id" : "PID-001","x":{"product_id":null},"tran_amount":2,"tran_card_type":[]},"product":null}'),
+    ('{"tran_detail":{"x":"{\\"product_id\\":null}","product_id":null,"tran_amount":null,"tran_card_type":null}}',
+     f'{{"tran_detail":{{"x":"{{\\"product_id\\":null}}","product_id":"PID-001","tran_amount":150.5,{CARDS}}}}}'),
+    ('{"tran_detail":[1.50]}', '{"tran_detail":[1.50]}'), ('{"tran_detail":{"tran_amount":1e0,"product_id":"","tran_card_type":0}}',) * 2])
+def test_completing_keeps_every_other_byte(spark, given, want):
+    (row,) = publish.completed_messages(msg.decode(topic(spark, [given]))).collect()
+    assert row.value == want
+    assert not {"tran_card_type", "product_id", "tran_amount"} - set(json.loads(want)["tran_detail"]) or given == want
+
+
+def test_what_cannot_be_patched_is_refused_and_complete_escapes_pass(spark):
+    escaped = '{"tran\\u005fdetail":%s}'
+    texts = [escaped % "null", escaped % '{"tran_amount":1}', escaped % '{"tran_amount":1,"product_id":2,"tran_card_type":[]}',
+             '{"a":1,"a":2}', '{"tran_detail":{"tran_amount":1,"tran_amount":2}}']
+    decoded = msg.decode(topic(spark, texts))
+    assert [r.value for r in publish.completed_messages(decoded).collect()] == [texts[2]]
+    reasons = {r.value: r.reject_reason for r in publish.refused_messages(decoded).collect()}
+    assert reasons == {texts[0]: "escaped name", texts[1]: "escaped name", texts[3]: "malformed", texts[4]: "malformed"}
+
+
+def test_keys_go_along(spark):
+    decoded = msg.decode(topic(spark, ['{"a":1}']).withColumn("key", F.lit("k").cast("binary")))
+    (row,) = publish.completed_messages(decoded).collect()
+    assert bytes(row.key) == b"k"
+
+
 def test_identity_without_positions_is_the_payload(spark, tmp_path):
     payload = '{"results":[{"user":{"username":"a"}}]}'
     (tmp_path / "in").mkdir()

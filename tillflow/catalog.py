@@ -265,6 +265,30 @@ def publish_damaged(spark, sf_dir):
         F.count_if(F.col("value").contains('"registered":"x')).alias("mistyped"))
 
 
+_CARDS = '"tran_card_type":["Visa","MasterCard","Maestro"]'
+_FILL = f'{_CARDS},"product_id":"PID-001","tran_amount":150.5'
+# What becomes of ``workload.VERBATIM_DETAILS``, in their order.
+_PATCHED = (
+    f' ,"tran_detail":{{{_FILL}}}', f', "tran_detail" : {{{_FILL}}} ', f',"tran_detail":{{{_FILL} }} ',
+    f', "tran_detail" :\t{{{_CARDS},"tran_amount":150.5,"product_id": "PID-001" , "x":0.10}} ',
+    workload.VERBATIM_DETAILS[4] + " ", workload.VERBATIM_DETAILS[5] + " ", f',"tran_detail":{{{_CARDS},"product_id":"PID-001","tran_amount":1E5}} ',
+    f',"tran_detail":{{"product_id":"PID-001",{_CARDS},"own":{{"tran_amount":null}},"tran_amount":150.5}} ')
+
+
+# SNK-6, PRJ-11: published messages, byte for byte, under their own keys
+@query("publish_exact", f"""WITH {SALES} SELECT CAST(o_custkey AS VARCHAR) AS key_text, md5(value) AS value_md5,
+  CAST(strlen(value) AS INTEGER) AS value_bytes FROM (SELECT o_custkey, '{workload.VERBATIM}' || o_orderkey || '"' ||
+  ([{", ".join(f"'{d}'" for d in _PATCHED)}])[o_orderkey % 8 + 1] || '}} ' AS value FROM sales)""")
+def publish_exact(spark, sf_dir):
+    layout = pipelines.Layout(shared_dir(spark, "publish-exact"))
+    published = f"{layout.root}/published"
+    raw = workload.staged_stream(spark, sf_dir, workload.verbatim_topic)
+    drain(pipelines.publish_pipeline(raw, layout, "parquet", AVAILABLE_NOW, path=published))
+    return spark.read.schema("key binary, value string").parquet(published).select(
+        F.col("key").cast("string").alias("key_text"), F.md5(F.col("value").cast("binary")).alias("value_md5"),
+        F.octet_length("value").alias("value_bytes"))
+
+
 _REASON = """CASE o_orderkey % 8 WHEN 0 THEN 'malformed' WHEN 1 THEN 'empty results'
   WHEN 2 THEN 'no results' WHEN 3 THEN 'mistyped field' WHEN 4 THEN 'null payload'
   WHEN 6 THEN 'malformed' END"""

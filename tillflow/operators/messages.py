@@ -22,14 +22,14 @@ DEFAULT_PRODUCT = "PID-001"
 
 
 def decode(raw: DataFrame) -> DataFrame:
-    """Payload as text, with the message's origin and identity.
+    """Payload as text, with the message's key, origin and identity.
 
     The identity is the source position. A source without positions (plain
     files) identifies a message by the digest of its payload.
     """
     at = F.concat_ws(":", "topic", "partition", "offset")
     return raw.select(
-        "topic", "partition", "offset",
+        "key", "topic", "partition", "offset",
         F.col("timestamp").alias("ingest_ts"),
         F.when(F.col("offset").isNotNull(), at)
          .otherwise(F.md5(F.col("value").cast("binary"))).alias("message_id"),

@@ -215,11 +215,13 @@ def publish_pipeline(raw: DataFrame, layout: Layout, fmt: str, trigger: dict = E
                      tuning: Tuning = Tuning(), **options: str) -> list[StreamingQuery]:
     """Messages completed with default transaction details, onto the next topic
     (``kafka`` with ``kafka_options``) or into files; those that cannot be completed
-    into the quarantine, by a query of their own."""
+    into the quarantine, by a query of their own. Keys go along, but for ``text`` files,
+    which have no place for them."""
     _refuse_lost_checkpoints(raw, layout, {
         layout.quarantine: "quarantine", **({options["path"]: "publish"} if "path" in options else {})})
     decoded = decode(raw)
-    return [start_format(completed_messages(decoded), fmt, "publish", layout.checkpoints, trigger, **options),
+    messages = completed_messages(decoded)
+    return [start_format(messages.select("value") if fmt == "text" else messages, fmt, "publish", layout.checkpoints, trigger, **options),
             _start_refused(refused_messages(decoded), layout, trigger, tuning)]
 
 

@@ -1,16 +1,24 @@
-"""Messages to a topic: the preparing end of the flow."""
+"""Messages to a topic: the preparing end of the flow.
+
+A message is completed as text: what is missing is put in, every other byte stays.
+"""
 
 from __future__ import annotations
 
 import json
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillflow.operators.messages import DEFAULT_AMOUNT, DEFAULT_CARDS, DEFAULT_PRODUCT
 
-_DEFAULTS = {"tran_card_type": list(DEFAULT_CARDS), "product_id": DEFAULT_PRODUCT, "tran_amount": DEFAULT_AMOUNT}
+# Fixed value: the field that holds the transaction's details.
+DETAIL = "tran_detail"
+_DEFAULTS = {leaf: json.dumps(value, separators=(",", ":")) for leaf, value in {
+    "tran_card_type": list(DEFAULT_CARDS), "product_id": DEFAULT_PRODUCT, "tran_amount": DEFAULT_AMOUNT}.items()}
+_ALL = "{" + ",".join(f'"{leaf}":{text}' for leaf, text in _DEFAULTS.items()) + "}"
 
 
 def payload(rows: DataFrame, columns: Iterable[str] | None = None, key: Column | None = None) -> DataFrame:
@@ -19,36 +27,104 @@ def payload(rows: DataFrame, columns: Iterable[str] | None = None, key: Column |
     return rows.select(value) if key is None else rows.select(key.alias("key"), value)
 
 
-def _completed(value: str) -> Column:
-    """The JSON object in column ``value`` with the missing leaves of its transaction
-    detail; NULL if it is none. All else stays: fields of any name, mistyped ones, NULLs.
-    A detail that is itself no object is left alone."""
-    message = f"try_cast(try_parse_json({value}) AS map<string, variant>)"
-    detail = f"try_variant_get(try_parse_json({value}), '$.tran_detail', 'map<string, variant>')"
-    given = f"coalesce({detail}, cast(map() AS map<string, variant>))"
-    leaves = ", ".join(f"'{leaf}', parse_json('{json.dumps(default)}')" for leaf, default in _DEFAULTS.items())
-    missing = f"map_filter(map({leaves}), (k, x) -> NOT map_contains_key({given}, k) OR is_variant_null(try_element_at({given}, k)))"
-    kept = f"map_filter({given}, (k, x) -> NOT map_contains_key({missing}, k))"
-    others = f"map_filter({message}, (k, x) -> k <> 'tran_detail')"
-    filled = f"map_concat({others}, map('tran_detail', to_variant_object(map_concat({missing}, {kept}))))"
-    has = f"try_element_at({message}, 'tran_detail')"
-    fillable = f"({detail} IS NOT NULL OR {has} IS NULL OR is_variant_null({has}))"
-    return F.expr(f"to_json(CASE WHEN {fillable} THEN {filled} ELSE {message} END, map('ignoreNullFields', 'false'))")
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, wherever the optimizer moves it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _at(value: Column, path: str) -> Column:
+    """What stands at a path of a parsed message; NULL if nothing does."""
+    return F.try_variant_get(value, path, "variant")
+
+
+def _size(value: Column) -> Column:
+    """The number of fields of an object; NULL for anything else."""
+    return F.cardinality(value.try_cast("map<string, variant>"))
+
+
+def _patched(text: Column, pattern: str, new: Callable[[Column], Column], holds: Callable[[Column], Column]) -> Column:
+    """The text with ``new`` of a match of the pattern in place of that match: the first one
+    after which ``holds`` is true of the detail; NULL without any. What looks like the field
+    may stand in a string or in another object, and only the parsed result tells which one
+    is the field."""
+    def tries(matches: Column) -> Column:
+        def one(i: Column) -> Column:
+            parts = F.array_append(F.transform(matches, lambda m, j: F.when(j == i, new(m)).otherwise(m)), F.lit(""))
+            return F.array_join(F.zip_with(F.split(text, pattern, -1), parts, lambda x, y: F.concat(x, y)), "")
+        return F.when(F.size(matches) > 0, F.transform(F.sequence(F.lit(0), F.size(matches) - 1), one))
+
+    fits = F.filter(_let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), tries),
+                    lambda x: _let(_at(F.try_parse_json(x), f"$.{DETAIL}"), holds))
+    return F.get(fits, F.lit(0))
+
+
+def _every_leaf(test: Callable[[Column], Column]) -> Callable[[Column], Column]:
+    def holds(detail: Column) -> Column:
+        tests = (F.coalesce(test(_at(detail, f"$.{leaf}")), F.lit(False)) for leaf in _DEFAULTS)
+        return reduce(Column.__and__, tests)
+    return holds
+
+
+def _in_place_of_null(default: str) -> Callable[[Column], Column]:
+    return lambda match: F.replace(match, F.lit("null"), F.lit(default))
+
+
+_FIELD = rf'"{DETAIL}"\s*:\s*'
+
+
+def _with_detail(text: Column) -> Column:
+    """The message with a whole detail, if it has none or a null."""
+    def put(message: Column) -> Column:
+        detail = _at(message, f"$.{DETAIL}")
+        last = F.concat(F.when(_size(message) > 0, ",").otherwise(""), F.lit(f'"{DETAIL}":{_ALL}}}$1'))
+        return (F.when(detail.isNull(), F.regexp_replace(text, F.lit(r"\}(\s*)\z"), last))
+                .when(F.is_variant_null(detail), _patched(text, _FIELD + "null", _in_place_of_null(_ALL), _every_leaf(Column.isNotNull)))
+                .otherwise(text))
+    return _let(F.try_parse_json(text), put)
+
+
+def _with_absent_leaves(text: Column) -> Column:
+    """The leaves that the detail lacks, at once, behind its brace."""
+    def put(detail: Column) -> Column:
+        absent = F.array_compact(F.array(*(F.when(_at(detail, f"$.{leaf}").isNull(), f'"{leaf}":{default}')
+                                           for leaf, default in _DEFAULTS.items())))
+        fields = F.concat(F.array_join(absent, ","), F.when(_size(detail) > 0, ",").otherwise(""))
+        return F.when(_size(detail).isNotNull() & (F.size(absent) > 0), _patched(
+            text, _FIELD + r"\{", lambda m: F.concat(m, fields), _every_leaf(Column.isNotNull))).otherwise(text)
+    return _let(_at(F.try_parse_json(text), f"$.{DETAIL}"), put)
+
+
+def _with_leaf(leaf: str, default: str) -> Callable[[Column], Column]:
+    """A leaf that is null."""
+    null = lambda detail: F.coalesce(F.is_variant_null(_at(detail, f"$.{leaf}")), F.lit(False))
+    return lambda text: F.when(null(_at(F.try_parse_json(text), f"$.{DETAIL}")), _patched(
+        text, rf'"{leaf}"\s*:\s*null', _in_place_of_null(default), lambda detail: ~null(detail) & _at(detail, f"$.{leaf}").isNotNull())).otherwise(text)
 
 
 def completed(decoded: DataFrame) -> DataFrame:
     """Decoded messages with ``completed``, the payload with default transaction
-    details, and ``reject_reason`` where it cannot be completed."""
-    rows = decoded.withColumn("completed", _completed("value"))
-    reason = (F.when(F.col("value").isNull(), "null payload")
-              .when(F.col("completed").isNull() & F.expr("try_parse_json(value) IS NULL"), "malformed")
-              .when(F.col("completed").isNull(), "no object"))
+    details, and ``reject_reason`` where it cannot be completed.
+
+    A leaf that is missing or null gets its default, a missing or null detail all of them.
+    Only that text is put in: at the end of the message, at the beginning of the detail,
+    or in place of the null. Numbers of any size, white space, escapes, the order of fields
+    and fields of any name keep their bytes; a message that lacks nothing is untouched, as
+    is one whose detail is itself no object. What is no JSON object, or has a key twice, is
+    refused, and so is a message whose gap would have to be found under an escaped name.
+    """
+    value = F.col("value")
+    steps = [_with_detail, _with_absent_leaves, *(_with_leaf(*item) for item in _DEFAULTS.items())]
+    text = reduce(_let, steps, value)
+    rows = decoded.withColumn("completed", F.when(_size(F.try_parse_json(value)).isNotNull(), text))
+    reason = (F.when(value.isNull(), "null payload").when(F.try_parse_json(value).isNull(), "malformed")
+              .when(_size(F.try_parse_json(value)).isNull(), "no object").when(F.col("completed").isNull(), "escaped name"))
     return rows.withColumn("reject_reason", reason)
 
 
 def completed_messages(decoded: DataFrame) -> DataFrame:
-    """The ``value`` of every message that could be completed, ready to publish."""
-    return completed(decoded).where(F.col("reject_reason").isNull()).select(F.col("completed").alias("value"))
+    """``key`` and ``value`` of every message that could be completed, ready to publish. The
+    key is the message's own: it decides the partition, and so the order, that it keeps."""
+    return completed(decoded).where(F.col("reject_reason").isNull()).select("key", F.col("completed").alias("value"))
 
 
 def refused_messages(decoded: DataFrame) -> DataFrame:

@@ -159,6 +159,24 @@ def damaged_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _as_topic(sales(spark, sf_dir), value)
 
 
+# What stands before a message's detail in ``verbatim_topic``: numbers that no type holds,
+# odd white space, and texts and objects that look like the detail.
+VERBATIM = ('{ "n" : 1e400, "big":123456789012345678901234567890123456789012, "d":1.10,"decoy" : {"tran_detail":null,'
+            '"product_id" : null}, "s":"\\"tran_detail\\":{ é","seed":"')
+VERBATIM_DETAILS = (
+    "", ', "tran_detail" : null', ',"tran_detail":{ }', ', "tran_detail" :\t{"product_id": null , "x":0.10}',
+    ',"tran_detail":{"tran_amount":1.10,"product_id":"P","tran_card_type":[ ]}', ',"tran_detail":"text"',
+    ',"tran_detail":{"tran_amount":1E5}', ',"tran_detail":{"tran_card_type":null,"own":{"tran_amount":null},"tran_amount":null}')
+
+
+def verbatim_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One message per order, written by hand; by ``o_orderkey % 8`` its detail is one of
+    ``VERBATIM_DETAILS``."""
+    detail = F.get(F.array(*map(F.lit, VERBATIM_DETAILS)), (F.col("o_orderkey") % 8).cast("int"))
+    value = F.concat(F.lit(VERBATIM), F.col("o_orderkey").cast("string"), F.lit('"'), detail, F.lit(" } "))
+    return _as_topic(sales(spark, sf_dir), value)
+
+
 def event_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events as published records."""
     events = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value")
