@@ -23,7 +23,7 @@ from tillflow.schema import FLAT, HOT, HOT_KEY, TOPIC
 from tillflow.session import child, shared_dir
 from tillflow.sources import stored
 from tillflow.sources.epochs import read_epochs
-from tillflow.sources.topics import text_files
+from tillflow.sources.topics import once, text_files
 from tillflow.streaming import sinks
 from tillflow.streaming.run import AVAILABLE_NOW, drain
 
@@ -437,6 +437,24 @@ def _register_totals(short: str, collection: str) -> None:
         return serving.latest_totals(stored.read_collection(spark, path, collection), collection)
 
 
+# SRC-1, SNK-6, STR-6: a topic delivered twice, its doubles dropped, in every total …
+@query("stream_once_sales", _total_sql(_SHORT["year_country_sales"], ORDERS_ENRICHED))
+def stream_once_sales(spark, sf_dir):
+    name = _SHORT["year_country_sales"]
+    layout = pipelines.Layout(shared_dir(spark, "once"))
+    raw = once(workload.staged_stream(spark, sf_dir, times=2))
+    drain([pipelines.start_collection(raw, layout, name, trigger=AVAILABLE_NOW)])
+    return serving.latest_totals(stored.read_collection(spark, layout.collection(name), name), name)
+
+
+# … and in the archive
+@query("stream_once_archive", f"{ORDERS_ENRICHED} SELECT {_ARCHIVE} FROM enriched")
+def stream_once_archive(spark, sf_dir):
+    layout = pipelines.Layout(shared_dir(spark, "once"))
+    drain([pipelines.start_archive(once(workload.staged_stream(spark, sf_dir, times=2)), layout, AVAILABLE_NOW)])
+    return stored.read_archive(spark, layout.archive)
+
+
 _runs: dict[tuple[str, str], pipelines.Layout] = {}
 
 

@@ -40,6 +40,7 @@ def _parser() -> argparse.ArgumentParser:
         job.add_argument("--ignore-data-loss", action="store_true")
         job.add_argument("--max-offsets-per-trigger", type=int)
         job.add_argument("--min-partitions", type=int)
+        job.add_argument("--drop-doubles-within", metavar="TIME", help="drop messages delivered again, as '1 hour'")
         job.add_argument("--once", action="store_true", help="process what is there, then stop")
         if name in ("main", "separate", "keyed"):
             job.add_argument("--mode", choices=("draw", "passthrough"), default="draw")
@@ -104,6 +105,8 @@ def _targets(args: argparse.Namespace) -> pipelines.Targets:
 
 def _stream(spark: SparkSession, args: argparse.Namespace) -> None:
     raw = _source(spark, args)
+    if args.drop_doubles_within:
+        raw = topics.once(raw, args.drop_doubles_within)
     layout = pipelines.Layout(args.root, args.checkpoints)
     trigger = AVAILABLE_NOW if args.once else EVERY_5_SECONDS
     tuning = sinks.Tuning(**{name: getattr(args, name) for name in vars(sinks.Tuning())})

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,18 +21,31 @@ DEFAULT_AMOUNT = 150.5
 DEFAULT_PRODUCT = "PID-001"
 
 
+# The header that carries a message's identity onto the topic it is published to.
+ID_HEADER = "message_id"
+
+
+def identity(raw: DataFrame) -> Column:
+    """What a topic row is known by: the header it was published with, if the source hands
+    out headers and it has one; else its position; else the digest of its payload."""
+    at = F.concat_ws(":", "topic", "partition", "offset")
+    own = F.when(F.col("offset").isNotNull(), at).otherwise(F.md5(F.col("value").cast("binary")))
+    if "headers" not in raw.columns:
+        return own
+    given = F.get(F.filter("headers", lambda h: h["key"] == ID_HEADER), F.lit(0))
+    return F.coalesce(given["value"].cast("string"), own)
+
+
 def decode(raw: DataFrame) -> DataFrame:
     """Payload as text, with the message's key, origin and identity.
 
     The identity is the source position. A source without positions (plain
     files) identifies a message by the digest of its payload.
     """
-    at = F.concat_ws(":", "topic", "partition", "offset")
     return raw.select(
         "key", "topic", "partition", "offset",
         F.col("timestamp").alias("ingest_ts"),
-        F.when(F.col("offset").isNotNull(), at)
-         .otherwise(F.md5(F.col("value").cast("binary"))).alias("message_id"),
+        identity(raw).alias("message_id"),
         F.col("value").cast("string").alias("value"),
     )
 

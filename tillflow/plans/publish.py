@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillflow.operators.messages import DEFAULT_AMOUNT, DEFAULT_CARDS, DEFAULT_PRODUCT
+from tillflow.operators.messages import DEFAULT_AMOUNT, DEFAULT_CARDS, DEFAULT_PRODUCT, ID_HEADER
 
 # Fixed value: the field that holds the transaction's details.
 DETAIL = "tran_detail"
@@ -122,9 +122,13 @@ def completed(decoded: DataFrame) -> DataFrame:
 
 
 def completed_messages(decoded: DataFrame) -> DataFrame:
-    """``key`` and ``value`` of every message that could be completed, ready to publish. The
-    key is the message's own: it decides the partition, and so the order, that it keeps."""
-    return completed(decoded).where(F.col("reject_reason").isNull()).select("key", F.col("completed").alias("value"))
+    """``key``, ``value`` and ``headers`` of every message that could be completed, ready to
+    publish. The key is the message's own: it decides the partition, and so the order, that
+    it keeps. A header carries its identity: publishing is at least once, and readers tell
+    doubles by it (``sources.topics.once``)."""
+    header = F.struct(F.lit(ID_HEADER).alias("key"), F.col("message_id").cast("binary").alias("value"))
+    return completed(decoded).where(F.col("reject_reason").isNull()).select(
+        "key", F.col("completed").alias("value"), F.array(header).alias("headers"))
 
 
 def refused_messages(decoded: DataFrame) -> DataFrame:

@@ -35,6 +35,9 @@ TOPIC = struct(
     offset=T.LongType(), timestamp=T.TimestampType(), timestampType=T.IntegerType(),
 )
 
+# Headers of a message; sources hand them out on request.
+HEADERS = T.StructField("headers", T.ArrayType(struct(key=TEXT, value=T.BinaryType())))
+
 # Where each flat column lives in an exploded message, in the
 # order of the flat row.
 FLAT_PATHS = {

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tillflow.schema import TOPIC
+from tillflow.operators.messages import identity
+from tillflow.schema import HEADERS, TOPIC
 
 
 def kafka_topic(
@@ -38,13 +40,32 @@ def kafka_topic(
     return spark.readStream.format("kafka").options(**settings).load()
 
 
-def topic_files(spark: SparkSession, path: str, streaming: bool = True, **options: str) -> DataFrame:
+def topic_files(spark: SparkSession, path: str, streaming: bool = True, headers: bool = False, **options: str) -> DataFrame:
     """A topic exported to Parquet files, positions included.
 
-    ``maxFilesPerTrigger`` and ``maxBytesPerTrigger`` bound a micro-batch.
+    ``maxFilesPerTrigger`` and ``maxBytesPerTrigger`` bound a micro-batch. ``headers`` also
+    reads the messages' headers, as the option ``includeHeaders`` of a Kafka topic does.
     """
     reader = spark.readStream if streaming else spark.read
-    return reader.schema(TOPIC).options(**options).parquet(path)
+    schema = T.StructType([*TOPIC.fields, HEADERS]) if headers else TOPIC
+    return reader.schema(schema).options(**options).parquet(path)
+
+
+def once(raw: DataFrame, within: str = "1 hour") -> DataFrame:
+    """The topic without messages that it delivers again ``within`` that time: the first
+    of each identity (see ``operators.messages.identity``) passes.
+
+    Delivery and publishing are at least once, so restarts repeat messages. The time is
+    that of processing, not the producer's: no message is ever late, so none is lost,
+    whatever times the messages carry, and the state holds the identities of that time
+    only. On a batch every later double goes.
+    """
+    seen = raw.select("*", identity(raw).alias("__id"), F.current_timestamp().alias("__seen"))
+    if raw.isStreaming:
+        seen = seen.withWatermark("__seen", within).dropDuplicatesWithinWatermark(["__id"])
+    else:
+        seen = seen.dropDuplicates(["__id"])
+    return seen.drop("__id", "__seen")
 
 
 def text_files(spark: SparkSession, path: str, topic: str, streaming: bool = True, **options: str) -> DataFrame:

@@ -183,21 +183,21 @@ def event_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return payload(events, key=F.col("user_id").cast("string"))
 
 
-_staged: dict[tuple[str, str, str], tuple[str, int]] = {}
+_staged: dict[tuple, tuple[str, int]] = {}
 
 # A staged topic comes in this many deliveries, one after the other by offset; a
 # micro-batch takes one.
 DELIVERIES = 3
 
 
-def _stage(spark: SparkSession, sf_dir: str, build) -> tuple[str, int]:
-    place = (spark.sparkContext.applicationId, sf_dir, build.__name__)
+def _stage(spark: SparkSession, sf_dir: str, build, times: int = 1) -> tuple[str, int]:
+    place = (spark.sparkContext.applicationId, sf_dir, build.__name__, times)
     if place not in _staged:
         path = shared_dir(spark, build.__name__)
         orders, last = table(spark, sf_dir, "orders").agg(F.count(F.lit(1)), F.max("o_orderkey")).first()
         files = -(-orders // (DELIVERIES * 1_000_000)) or 1
         offsets = (last or 0) // PARTITIONS + 1
-        for number in range(DELIVERIES):
+        for number in [*range(DELIVERIES)] * times:
             delivery = build(spark, sf_dir).where(F.expr(f"`offset` * {DELIVERIES} div {offsets} = {number}"))
             delivery.repartition(files).write.mode("append").parquet(path)
         _staged[place] = path, files
@@ -210,8 +210,9 @@ def stage(spark: SparkSession, sf_dir: str, build=order_topic) -> str:
     return _stage(spark, sf_dir, build)[0]
 
 
-def staged_stream(spark: SparkSession, sf_dir: str, build=order_topic) -> DataFrame:
+def staged_stream(spark: SparkSession, sf_dir: str, build=order_topic, times: int = 1) -> DataFrame:
     """The staged topic as a stream, a delivery to a micro-batch: the source takes files
-    in the order of their time, and every delivery has as many."""
-    path, files = _stage(spark, sf_dir, build)
+    in the order of their time, and every delivery has as many. ``times`` delivers the
+    whole topic again."""
+    path, files = _stage(spark, sf_dir, build, times)
     return topic_files(spark, path, maxFilesPerTrigger=str(files))
