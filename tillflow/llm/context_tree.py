@@ -190,6 +190,7 @@ def weighted_grams(counts: DataFrame, depth: int = DEPTH) -> DataFrame:
     parts = frames.saved(counts.select(F.col("code"), F.col("n")), "grams").repartition(group)
 
     def sums(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tx.forget()
         for code, n in _subtrees(*_gathered(tables)):
             level = _levels(code, n, depth, 2)[-1]
             node = (level.key >> np.uint64(8) & np.uint64(255)) << np.uint64(8) | level.key & np.uint64(255)
@@ -204,6 +205,7 @@ def weighted_grams(counts: DataFrame, depth: int = DEPTH) -> DataFrame:
     top = _top(pair.column("pair").to_numpy()[order].view(np.uint64), pair.column("n").to_numpy()[order], below)
 
     def score(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tx.forget()
         for code, n in _subtrees(*_gathered(tables)):
             value = log10_probability(code, _levels(code, n, depth, 2), _above(code, top))
             yield pa.RecordBatch.from_arrays([pa.array(code.view(np.int64)), pa.array(value)], names=["code", "log10_p"])
@@ -217,6 +219,7 @@ def _in_blocks(docs: DataFrame) -> DataFrame:
     schema = T.StructType([*docs.schema.fields, T.StructField("block", T.LongType())])
 
     def run(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tx.forget()
         block, held = TaskContext.get().partitionId() << 24, 0
         for table in tables:
             for a, b, texts in tx.batches(table.column(1)):
@@ -269,6 +272,7 @@ def _entries(blocks: DataFrame, depth: int) -> DataFrame:
                  pa.array(keys.view(np.int64)), pa.array(n.astype(np.int64))], names=["block", "kind", "key", "n"])
 
     def run(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tx.forget()
         now, tallies, ends = None, [], 0
         for table in tables:
             held, block = (table.column(c).to_numpy(zero_copy_only=False) for c in (1, 2))

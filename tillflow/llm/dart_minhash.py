@@ -186,6 +186,7 @@ def signed(texts: DataFrame, *, weights: str = "count", words: int = WORDS, band
            rows: int = ROWS) -> DataFrame:
     """node, n (total weight), bands, sketch of (node, text) rows that have words."""
     def run(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tx.forget()
         for table in tables:
             nodes = table.column(0)
             for a, b, batch in tx.batches(table.column(1)):
@@ -205,6 +206,7 @@ def sketched(texts: DataFrame, coordinates: int = LONG, *, weights: str = "count
     schema = T.StructType([T.StructField("node", T.LongType()), T.StructField("long_sketch", T.ArrayType(T.LongType()))])
 
     def run(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tx.forget()
         for table in tables:
             for a, b, batch in tx.batches(table.column(1)):
                 doc, element, weight = shingles(batch, words, weights)
@@ -238,6 +240,7 @@ def similarity(pairs: DataFrame, *, weights: str = "count", words: int = WORDS)
                            T.StructField("similarity", T.DoubleType())])
 
     def run(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tx.forget()
         for table in tables:
             for first, last in _runs_of_bytes(table, (2, 3)):
                 part = table.slice(first, last - first)

@@ -177,6 +177,7 @@ def _counted(rows: DataFrame, fraction: float) -> DataFrame:
     class, one (feature -1) with the rows by class, and the features of the rows whose
     draw is below ``fraction``."""
     def run(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tx.forget()
         counts, totals = np.zeros((2, DIMENSIONS), np.int64), np.zeros(2, np.int64)
         names = _COUNTED.names
         types = [pa.int32(), pa.int64(), pa.int64(), pa.float64(), pa.int32(), pa.list_(pa.int32())]
@@ -243,6 +244,7 @@ def scored(docs: DataFrame, model: Model, *, key: str = "doc_id", text: str = "t
     schema = T.StructType([T.StructField("doc_id", docs.schema[key].dataType), T.StructField("score", T.DoubleType())])
 
     def run(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tx.forget()
         for table in tables:
             for a, b, texts in tx.batches(table.column(1)):
                 yield pa.RecordBatch.from_arrays([table.column(0).slice(a, b - a), pa.array(model.scores(texts))],
@@ -256,6 +258,7 @@ def accepted(docs: DataFrame, model: Model, *, text: str = "text", threshold: fl
     at = docs.columns.index(text)
 
     def run(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tx.forget()
         for table in tables:
             scores = [model.scores(texts) for _, _, texts in tx.batches(table.column(at))]
             if scores:

@@ -164,6 +164,9 @@ def loaded(path: str, threads: int):
     return encode, returns, vocab.SpanIds(encode, test=returns) if exact else None
 
 
+tx.kept += [loaded.cache_clear, _tokenizer.cache_clear]
+
+
 def encode_texts(texts: tx.Texts, path: str, threads: int = 2) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """All ids of a batch, how many each text has, and whether they decode to the text.
 

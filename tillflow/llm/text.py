@@ -11,7 +11,7 @@ lines and windows are identified by 64-bit hashes.
 from __future__ import annotations
 
 import ctypes
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import cached_property
 
 import numpy as np
@@ -191,6 +191,17 @@ class Words:
         return mix(h[at]), at
 
 
+#: What operators keep in a worker between tasks, as functions that drop it.
+kept: list[Callable[[], None]] = []
+
+
+def forget() -> None:
+    """Drop what other operators have kept: a worker goes on with the next stage."""
+    for drop in kept:
+        drop()
+    give_back()
+
+
 _trim = getattr(ctypes.CDLL(None), "malloc_trim", lambda _: 0)
 
 
