@@ -171,6 +171,19 @@ def stream_raw_passthrough(spark, sf_dir):
     return _raw_columns(read_epochs(spark, f"{root}/raw", TOPIC))
 
 
+# SRC-3: offsets that a stream never got, from the intervals of its micro-batches
+@query("offset_gaps", f"""WITH {SALES}, kept AS (
+  SELECT DISTINCT part, pos_offset FROM sales
+  WHERE NOT (pos_offset % 50 = 7 OR pos_offset % 400 BETWEEN 120 AND 180 OR pos_offset % 61 = part)),
+  next AS (SELECT part, pos_offset, lead(pos_offset) OVER (PARTITION BY part ORDER BY pos_offset) AS following FROM kept)
+  SELECT 'commerce' AS topic, part AS partition, pos_offset + 1 AS "first", following - 1 AS "last",
+    following - pos_offset - 1 AS offsets FROM next WHERE following > pos_offset + 1""")
+def offset_gaps(spark, sf_dir):
+    layout = pipelines.Layout(shared_dir(spark, "offsets"))
+    drain([pipelines.start_offsets(workload.staged_stream(spark, sf_dir, workload.holed_topic, times=2), layout, AVAILABLE_NOW)])
+    return stored.read_gaps(spark, layout.offsets)
+
+
 # PRJ-1..3, PRJ-6, SCL-1
 @query("decode_parse", f"""WITH {SALES} SELECT message_id, part AS partition, pos_offset AS "offset",
   n_name AS nationality, CAST(o_orderkey AS VARCHAR) AS seed, '1.1' AS version,

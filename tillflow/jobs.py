@@ -15,7 +15,7 @@ from tillflow.sources import stored, topics
 from tillflow.streaming import sinks
 from tillflow.streaming.run import AVAILABLE_NOW, EVERY_5_SECONDS, await_any, drain
 
-STREAMS = ("main", "separate", "keyed", "raw", "publish")
+STREAMS = ("main", "separate", "keyed", "raw", "publish", "offsets")
 
 
 def _pairs(items: list[str]) -> dict[str, str]:
@@ -72,6 +72,9 @@ def _parser() -> argparse.ArgumentParser:
     answer = sql.add_mutually_exclusive_group(required=True)
     answer.add_argument("--out", help="folder for the whole answer, as JSON")
     answer.add_argument("--rows", type=int, metavar="N", help="print the first N rows instead, and whether there are more")
+    gaps = jobs.add_parser("gaps", help="offsets that the job 'offsets' never saw, as JSON")
+    gaps.add_argument("--root", required=True)
+    gaps.add_argument("--out", required=True)
     compact = jobs.add_parser("compact", help="fold the finished epochs of a pipeline, running or stopped")
     compact.add_argument("--root", required=True)
     vacuum = jobs.add_parser("vacuum", help="delete what folding has replaced, once no reader needs it")
@@ -120,6 +123,8 @@ def _stream(spark: SparkSession, args: argparse.Namespace) -> None:
                                            defaults=args.defaults, tuning=tuning)
     elif args.job == "raw":
         queries = pipelines.raw_pipeline(raw, layout, trigger=trigger, tuning=tuning)
+    elif args.job == "offsets":
+        queries = [pipelines.start_offsets(raw, layout, trigger)]
     elif args.to_files:
         queries = pipelines.publish_pipeline(raw, layout, "text", trigger, tuning, path=args.to_files)
     else:
@@ -163,6 +168,10 @@ def main(argv: list[str] | None = None) -> None:
         _serve(spark, args)
     elif args.job == "history":
         _history(spark, args)
+    elif args.job == "gaps":
+        layout = pipelines.Layout(args.root)
+        stored.require_root(spark, layout.root)
+        stored.read_gaps(spark, layout.offsets).write.mode("overwrite").json(args.out)
     elif args.job == "compact":
         history.compact(spark, pipelines.Layout(args.root))
     else:

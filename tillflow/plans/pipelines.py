@@ -11,6 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tillflow.operators.enrich import hot_rows
 from tillflow.operators.messages import decode
+from tillflow.operators.offsets import intervals
 from tillflow.operators.totals import COLLECTIONS, SHARED, all_totals, needed, pick, total
 from tillflow.plans.publish import completed_messages, refused_messages
 from tillflow.plans.rows import ALL, audited_transactions, transactions
@@ -47,6 +48,11 @@ class Layout:
     def null_keys(self) -> str:
         return f"{self.root}/null_keys"
 
+    @property
+    def offsets(self) -> str:
+        """The intervals of offsets that arrived."""
+        return f"{self.root}/offsets"
+
     @property
     def collections(self) -> str:
         """All collections of one aggregate, written together."""
@@ -120,6 +126,15 @@ def start_hot(raw: DataFrame, layout: Layout, targets: Targets = Targets(), trig
     return start(transactions(raw, HOT, mode, defaults), sink, "hot", layout.checkpoints, trigger)
 
 
+def start_offsets(raw: DataFrame, layout: Layout, trigger: dict = EVERY_5_SECONDS) -> StreamingQuery:
+    """The intervals of offsets of every micro-batch; ``stored.read_gaps`` tells what is
+    missing. Reads no payload, so it is cheap beside any pipeline."""
+    _refuse_lost_checkpoints(raw, layout, {layout.offsets: "offsets"})
+    files = sinks.epoch_files(layout.offsets, files=1)
+    rows = raw.select("topic", "partition", "offset")
+    return start(rows, lambda batch, epoch: files(intervals(batch), epoch), "offsets", layout.checkpoints, trigger)
+
+
 def start_quarantine(raw: DataFrame, layout: Layout, trigger: dict = EVERY_5_SECONDS,
                      tuning: Tuning = Tuning()) -> StreamingQuery:
     """The messages that yield no row or lost a mistyped field, with their payload."""

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillflow.operators.keyed import WRITES, last_write
+from tillflow.operators.offsets import INTERVALS, gaps
 from tillflow.operators.totals import COLLECTIONS, SHARED
 from tillflow.schema import ARCHIVE_ROW, HOT_KEY, HOT_ROW, struct
 from tillflow.sources.epochs import BATCH, EpochLog, Folder, read_epochs
@@ -87,6 +88,11 @@ def read_quarantine(spark: SparkSession, path: str) -> DataFrame:
     return read_epochs(spark, path, _QUARANTINE_ROW)
 
 
+def read_gaps(spark: SparkSession, path: str) -> DataFrame:
+    """The offsets that no micro-batch got (see ``operators.offsets``)."""
+    return gaps(read_epochs(spark, path, INTERVALS).select(*INTERVALS.names))
+
+
 def require_root(spark: SparkSession, root: str) -> None:
     """For commands over a pipeline's root: a mistyped one must not look empty."""
     if not Folder(spark, root).exists():

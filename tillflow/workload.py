@@ -177,6 +177,12 @@ def verbatim_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _as_topic(sales(spark, sf_dir), value)
 
 
+def holed_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``order_topic`` without some of its offsets, alone and in a row."""
+    lost = (F.col("offset") % 50 == 7) | (F.col("offset") % 400).between(120, 180) | (F.col("offset") % 61 == F.col("partition"))
+    return order_topic(spark, sf_dir).where(~lost)
+
+
 def event_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events as published records."""
     events = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value")
