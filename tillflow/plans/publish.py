@@ -47,14 +47,16 @@ def _patched(text: Column, pattern: str, new: Callable[[Column], Column], holds:
     after which ``holds`` is true of the detail; NULL without any. What looks like the field
     may stand in a string or in another object, and only the parsed result tells which one
     is the field."""
-    def tries(matches: Column) -> Column:
+    def tries(found: Column) -> Column:
+        matches, around = found["matches"], found["around"]
+
         def one(i: Column) -> Column:
             parts = F.array_append(F.transform(matches, lambda m, j: F.when(j == i, new(m)).otherwise(m)), F.lit(""))
-            return F.array_join(F.zip_with(F.split(text, pattern, -1), parts, lambda x, y: F.concat(x, y)), "")
+            return F.array_join(F.zip_with(around, parts, lambda x, y: F.concat(x, y)), "")
         return F.when(F.size(matches) > 0, F.transform(F.sequence(F.lit(0), F.size(matches) - 1), one))
 
-    fits = F.filter(_let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), tries),
-                    lambda x: _let(_at(F.try_parse_json(x), f"$.{DETAIL}"), holds))
+    found = F.struct(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("matches"), F.split(text, pattern, -1).alias("around"))
+    fits = F.filter(_let(found, tries), lambda x: _let(_at(F.try_parse_json(x), f"$.{DETAIL}"), holds))
     return F.get(fits, F.lit(0))
 
 
@@ -72,33 +74,50 @@ def _in_place_of_null(default: str) -> Callable[[Column], Column]:
 _FIELD = rf'"{DETAIL}"\s*:\s*'
 
 
-def _with_detail(text: Column) -> Column:
-    """The message with a whole detail, if it has none or a null."""
-    def put(message: Column) -> Column:
-        detail = _at(message, f"$.{DETAIL}")
-        last = F.concat(F.when(_size(message) > 0, ",").otherwise(""), F.lit(f'"{DETAIL}":{_ALL}}}$1'))
-        return (F.when(detail.isNull(), F.regexp_replace(text, F.lit(r"\}(\s*)\z"), last))
-                .when(F.is_variant_null(detail), _patched(text, _FIELD + "null", _in_place_of_null(_ALL), _every_leaf(Column.isNotNull)))
-                .otherwise(text))
-    return _let(F.try_parse_json(text), put)
+def _with_detail(text: Column, fields: Column, detail: Column) -> Column:
+    """The message with a whole detail, where it has none or a null."""
+    last = F.concat(F.when(fields > 0, ",").otherwise(""), F.lit(f'"{DETAIL}":{_ALL}}}$1'))
+    return (F.when(detail.isNull(), F.regexp_replace(text, F.lit(r"\}(\s*)\z"), last))
+            .otherwise(_patched(text, _FIELD + "null", _in_place_of_null(_ALL), _every_leaf(Column.isNotNull))))
 
 
-def _with_absent_leaves(text: Column) -> Column:
-    """The leaves that the detail lacks, at once, behind its brace."""
-    def put(detail: Column) -> Column:
-        absent = F.array_compact(F.array(*(F.when(_at(detail, f"$.{leaf}").isNull(), f'"{leaf}":{default}')
-                                           for leaf, default in _DEFAULTS.items())))
+def _with_absent_leaves(text: Column, detail: Column) -> Column:
+    """The leaves that the detail, an object, lacks, at once, behind its brace."""
+    def put(absent: Column) -> Column:
         fields = F.concat(F.array_join(absent, ","), F.when(_size(detail) > 0, ",").otherwise(""))
-        return F.when(_size(detail).isNotNull() & (F.size(absent) > 0), _patched(
+        return F.when(F.size(absent) > 0, _patched(
             text, _FIELD + r"\{", lambda m: F.concat(m, fields), _every_leaf(Column.isNotNull))).otherwise(text)
-    return _let(_at(F.try_parse_json(text), f"$.{DETAIL}"), put)
+    return _let(F.array_compact(F.array(*(F.when(_at(detail, f"$.{leaf}").isNull(), f'"{leaf}":{default}')
+                                          for leaf, default in _DEFAULTS.items()))), put)
 
 
-def _with_leaf(leaf: str, default: str) -> Callable[[Column], Column]:
-    """A leaf that is null."""
+def _with_leaf(leaf: str, default: str, detail: Column) -> Callable[[Column], Column]:
+    """A leaf that is null in the message's own detail; no other step touches it."""
     null = lambda detail: F.coalesce(F.is_variant_null(_at(detail, f"$.{leaf}")), F.lit(False))
-    return lambda text: F.when(null(_at(F.try_parse_json(text), f"$.{DETAIL}")), _patched(
-        text, rf'"{leaf}"\s*:\s*null', _in_place_of_null(default), lambda detail: ~null(detail) & _at(detail, f"$.{leaf}").isNotNull())).otherwise(text)
+    return lambda text: F.when(null(detail), _patched(
+        text, rf'"{leaf}"\s*:\s*null', _in_place_of_null(default), lambda now: ~null(now) & _at(now, f"$.{leaf}").isNotNull())).otherwise(text)
+
+
+def _complete(text: Column, fields: Column, detail: Column) -> Column:
+    """The text of a message of so many fields that holds this detail, with all that it
+    lacks put in; NULL if that is not possible. Only what is put in is parsed again."""
+    leaves = reduce(_let, [_with_leaf(*item, detail) for item in _DEFAULTS.items()], _with_absent_leaves(text, detail))
+    return (F.when(detail.isNull() | F.is_variant_null(detail), _with_detail(text, fields, detail))
+            .when(_size(detail).isNotNull(), leaves).otherwise(text))
+
+
+def _outcome(value: Column) -> Column:
+    """``completed`` and ``reject_reason`` of a payload."""
+    def of(message: Column) -> Column:
+        def reason(text: Column, fields: Column) -> Column:
+            return (F.when(value.isNull(), "null payload").when(message.isNull(), "malformed")
+                    .when(fields.isNull(), "no object").when(text.isNull(), "escaped name"))
+
+        def with_text(fields: Column) -> Column:
+            text = F.when(fields.isNotNull(), _let(_at(message, f"$.{DETAIL}"), lambda detail: _complete(value, fields, detail)))
+            return _let(text, lambda text: F.struct(text.alias("completed"), reason(text, fields).alias("reject_reason")))
+        return _let(_size(message), with_text)
+    return _let(F.try_parse_json(value), of)
 
 
 def completed(decoded: DataFrame) -> DataFrame:
@@ -112,13 +131,11 @@ def completed(decoded: DataFrame) -> DataFrame:
     is one whose detail is itself no object. What is no JSON object, or has a key twice, is
     refused, and so is a message whose gap would have to be found under an escaped name.
     """
-    value = F.col("value")
-    steps = [_with_detail, _with_absent_leaves, *(_with_leaf(*item) for item in _DEFAULTS.items())]
-    text = reduce(_let, steps, value)
-    rows = decoded.withColumn("completed", F.when(_size(F.try_parse_json(value)).isNotNull(), text))
-    reason = (F.when(value.isNull(), "null payload").when(F.try_parse_json(value).isNull(), "malformed")
-              .when(_size(F.try_parse_json(value)).isNull(), "no object").when(F.col("completed").isNull(), "escaped name"))
-    return rows.withColumn("reject_reason", reason)
+    # Exploded, so that it is worked out once a message: a filter on a computed column is
+    # moved below it and takes a copy of the computation along. Outer, or Catalyst infers
+    # such a filter by itself.
+    outcome = F.explode_outer(F.array(_outcome(F.col("value")))).alias("__outcome")
+    return decoded.select("*", outcome).select("*", "__outcome.*").drop("__outcome")
 
 
 def completed_messages(decoded: DataFrame) -> DataFrame:
