@@ -43,6 +43,8 @@ class EpochFiles:
     Every partition of the batch writes files of its own, which at one epoch in a
     few seconds is far too many. ``rows_per_file`` lets that many rows share a file (per
     directory); the caller hands over how many there are at most, or they are counted.
+    ``read`` tells how many rows they are picked from: where few files would make each task
+    read many more than it writes, the rows are dealt to them instead.
     ``files`` is for batches known to be small.
     """
 
@@ -51,22 +53,24 @@ class EpochFiles:
         self.path, self.fmt, self.partition_by = path, fmt, partition_by
         self.rows_per_file, self.files, self.options = rows_per_file, files, options
 
-    def __call__(self, batch: DataFrame, epoch: int, rows: int | None = None) -> None:
+    def __call__(self, batch: DataFrame, epoch: int, rows: int | None = None, read: int = 0) -> None:
         log = EpochLog(batch.sparkSession, self.path)
         last = log.finished
         if last is not None and epoch <= last:
             return
         if rows != 0:
-            self._write(batch, epoch, rows)
+            self._write(batch, epoch, rows, read)
         log.finish(epoch)
 
-    def _write(self, batch: DataFrame, epoch: int, rows: int | None) -> None:
+    def _write(self, batch: DataFrame, epoch: int, rows: int | None, read: int) -> None:
         if self.files is not None:
             # Not coalesce: that would also narrow the aggregate the batch comes from.
             batch = batch.repartition(self.files)
         elif self.rows_per_file is not None:
             rows = batch.count() if rows is None else rows
-            batch = batch.coalesce(1 + rows // self.rows_per_file)
+            files = 1 + rows // self.rows_per_file
+            picked = read > 2 * files * self.rows_per_file
+            batch = batch.repartition(files) if picked else batch.coalesce(files)
         writer = batch.write.format(self.fmt).mode("overwrite").options(**self.options)
         if self.partition_by:
             writer = writer.partitionBy(*self.partition_by)
@@ -76,10 +80,11 @@ class EpochFiles:
 epoch_files = EpochFiles
 
 
-def send(sink: Sink, batch: DataFrame, epoch: int, rows: int | None) -> None:
-    """Hand a batch over, with its number of rows where the sink has a use for it."""
+def send(sink: Sink, batch: DataFrame, epoch: int, rows: int | None, read: int = 0) -> None:
+    """Hand a batch over, with its number of rows, and of those it is picked from, where
+    the sink has a use for them."""
     if isinstance(sink, EpochFiles):
-        sink(batch, epoch, rows)
+        sink(batch, epoch, rows, read)
     elif rows != 0:
         sink(batch, epoch)
 
@@ -197,14 +202,14 @@ def fan_out(archive: Sink, hot: Callable[..., None], quarantine: Sink) -> Sink:
     def write(batch: DataFrame, epoch: int) -> None:
         with cached(batch) as rows:
             is_user = F.col("pos").isNotNull()
-            n, refused = rows.agg(
-                F.count_if(is_user),
+            read, n, refused = rows.agg(
+                F.count(F.lit(1)), F.count_if(is_user),
                 F.count_if(_rejected()) + F.count_if(is_user & F.col(HOT_KEY).isNull())).first()
             users = rows.where(is_user)
-            send(archive, users.select(*ARCHIVE, "tran_year"), epoch, n)
+            send(archive, users.select(*ARCHIVE, "tran_year"), epoch, n, read)
             hot(users, epoch, n)
             send(quarantine, rejected_messages(rows).unionByName(
-                null_keys(users.select(*HOT, *ARRIVAL))), epoch, refused)
+                null_keys(users.select(*HOT, *ARRIVAL))), epoch, refused, read)
     return write
 
 
