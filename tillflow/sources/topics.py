@@ -40,12 +40,24 @@ def kafka_topic(
     return spark.readStream.format("kafka").options(**settings).load()
 
 
+# A task reads so many bytes of topic files. Messages of one kind shrink to a tenth in
+# Parquet, and the rows made from them are larger than they: a task of Spark's 128 MB would
+# hold gigabytes of a micro-batch.
+SPLIT_BYTES = 8 << 20
+
+
 def topic_files(spark: SparkSession, path: str, streaming: bool = True, headers: bool = False, **options: str) -> DataFrame:
     """A topic exported to Parquet files, positions included.
 
     ``maxFilesPerTrigger`` and ``maxBytesPerTrigger`` bound a micro-batch. ``headers`` also
     reads the messages' headers, as the option ``includeHeaders`` of a Kafka topic does.
+    A stream's tasks read ``SPLIT_BYTES`` each, or a file's row group if that is larger; the
+    session keeps that setting, unless it has a smaller one.
     """
+    if streaming:
+        split = spark.conf.get("spark.sql.files.maxPartitionBytes")
+        if spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(split) > SPLIT_BYTES:
+            spark.conf.set("spark.sql.files.maxPartitionBytes", str(SPLIT_BYTES))
     reader = spark.readStream if streaming else spark.read
     schema = T.StructType([*TOPIC.fields, HEADERS]) if headers else TOPIC
     return reader.schema(schema).options(**options).parquet(path)

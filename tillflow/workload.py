@@ -8,6 +8,9 @@ because nothing downstream depends on the join's partitioning.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,6 +18,7 @@ from tillflow.operators.messages import DEFAULT_CARDS, DEFAULT_PRODUCT
 from tillflow.plans.publish import payload
 from tillflow.schema import TOPIC
 from tillflow.session import shared_dir
+from tillflow.sources.epochs import Folder
 from tillflow.sources.topics import topic_files
 
 # Fixed value: the topic's name.
@@ -39,6 +43,14 @@ def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
             .join(nation, customer.c_nationkey == nation.n_nationkey))
 
 
+def _of_sales(build: Callable[[DataFrame], DataFrame]) -> Callable[..., DataFrame]:
+    """A topic made from the rows of ``sales``, all of them or those handed over."""
+    @wraps(build)
+    def topic(spark: SparkSession, sf_dir: str, rows: DataFrame | None = None) -> DataFrame:
+        return build(sales(spark, sf_dir) if rows is None else rows)
+    return topic
+
+
 def _tagged(tag: str) -> Column:
     return F.concat(F.lit(f"{tag}-"), F.col("c_custkey").cast("string")).alias(tag)
 
@@ -108,15 +120,17 @@ def _json(columns: list[Column]) -> Column:
     return F.to_json(F.struct(*columns))
 
 
-def order_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
+@_of_sales
+def order_topic(rows: DataFrame) -> DataFrame:
     """One message per order, with one user."""
-    return _as_topic(sales(spark, sf_dir), _json(_envelope(F.array(_user(0)), _detail())))
+    return _as_topic(rows, _json(_envelope(F.array(_user(0)), _detail())))
 
 
-def party_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
+@_of_sales
+def party_topic(rows: DataFrame) -> DataFrame:
     """One message per order, with ``o_orderkey % 4`` whole users (none, too)."""
     users = F.slice(F.array(*map(_whole_user, range(3))), F.lit(1), (F.col("o_orderkey") % 4).cast("int"))
-    return _as_topic(sales(spark, sf_dir), _json(_envelope(users, _detail())))
+    return _as_topic(rows, _json(_envelope(users, _detail())))
 
 
 def crowd_topic(spark: SparkSession, sf_dir: str, users: int = 10) -> DataFrame:
@@ -129,7 +143,8 @@ def crowd_topic(spark: SparkSession, sf_dir: str, users: int = 10) -> DataFrame:
     return _as_topic(packed, _json(_envelope(F.col("who"), _detail())))
 
 
-def partial_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
+@_of_sales
+def partial_topic(rows: DataFrame) -> DataFrame:
     """One message per order; by ``o_orderkey % 4`` it lacks nothing, the cards,
     product and amount, or the whole transaction detail."""
     case = F.col("o_orderkey") % 4
@@ -137,11 +152,12 @@ def partial_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
         tran_card_type=F.when(case != 1, F.array(*map(F.lit, DEFAULT_CARDS[:2]))),
         product_id=F.when(case != 2, F.concat(F.lit("PID-"), F.col("o_orderkey").cast("string"))),
         tran_amount=F.when(case != 2, F.col("o_totalprice")))
-    return _as_topic(sales(spark, sf_dir),
+    return _as_topic(rows,
                      _json(_envelope(F.array(_user(0)), F.when(case != 3, detail))))
 
 
-def damaged_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
+@_of_sales
+def damaged_topic(rows: DataFrame) -> DataFrame:
     """One message per order, damaged in one of seven ways by ``o_orderkey % 8``; the
     sound part has a field that the schema does not know."""
     known = _json(_envelope(F.array(_user(0)), _detail()))
@@ -156,7 +172,7 @@ def damaged_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
          .when(case == 5, F.lit('{"results":[{"user":null},{}]}'))
          .when(case == 6, F.concat(F.lit("["), sound, F.lit("]")))
          .otherwise(sound))
-    return _as_topic(sales(spark, sf_dir), value)
+    return _as_topic(rows, value)
 
 
 # What stands before a message's detail in ``verbatim_topic``: numbers that no type holds,
@@ -169,18 +185,20 @@ VERBATIM_DETAILS = (
     ',"tran_detail":{"tran_amount":1E5}', ',"tran_detail":{"tran_card_type":null,"own":{"tran_amount":null},"tran_amount":null}')
 
 
-def verbatim_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
+@_of_sales
+def verbatim_topic(rows: DataFrame) -> DataFrame:
     """One message per order, written by hand; by ``o_orderkey % 8`` its detail is one of
     ``VERBATIM_DETAILS``."""
     detail = F.get(F.array(*map(F.lit, VERBATIM_DETAILS)), (F.col("o_orderkey") % 8).cast("int"))
     value = F.concat(F.lit(VERBATIM), F.col("o_orderkey").cast("string"), F.lit('"'), detail, F.lit(" } "))
-    return _as_topic(sales(spark, sf_dir), value)
+    return _as_topic(rows, value)
 
 
-def holed_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
+@_of_sales
+def holed_topic(rows: DataFrame) -> DataFrame:
     """``order_topic`` without some of its offsets, alone and in a row."""
     lost = (F.col("offset") % 50 == 7) | (F.col("offset") % 400).between(120, 180) | (F.col("offset") % 61 == F.col("partition"))
-    return order_topic(spark, sf_dir).where(~lost)
+    return order_topic.__wrapped__(rows).where(~lost)
 
 
 def event_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -194,6 +212,9 @@ _staged: dict[tuple, tuple[str, int]] = {}
 # A staged topic comes in this many deliveries, one after the other by offset; a
 # micro-batch takes one.
 DELIVERIES = 3
+# A file of a staged topic holds about so many messages: it is read, parsed and kept by
+# one task, and an enriched row is ten times as large as its message in the file.
+MESSAGES_PER_FILE = 100_000
 
 
 def _stage(spark: SparkSession, sf_dir: str, build, times: int = 1) -> tuple[str, int]:
@@ -201,18 +222,25 @@ def _stage(spark: SparkSession, sf_dir: str, build, times: int = 1) -> tuple[str
     if place not in _staged:
         path = shared_dir(spark, build.__name__)
         orders, last = table(spark, sf_dir, "orders").agg(F.count(F.lit(1)), F.max("o_orderkey")).first()
-        files = -(-orders // (DELIVERIES * 1_000_000)) or 1
+        files = -(-orders // (DELIVERIES * MESSAGES_PER_FILE)) or 1
         offsets = (last or 0) // PARTITIONS + 1
+        folder, due = Folder(spark, path), 0
         for number in [*range(DELIVERIES)] * times:
-            delivery = build(spark, sf_dir).where(F.expr(f"`offset` * {DELIVERIES} div {offsets} = {number}"))
-            delivery.repartition(files).write.mode("append").parquet(path)
+            # Dealt as orders, which are smaller than the messages made from them.
+            rows = sales(spark, sf_dir).where(F.expr(f"(o_orderkey div {PARTITIONS}) * {DELIVERIES} div {offsets} = {number}"))
+            delivery = build(spark, sf_dir, rows.repartition(files, "o_orderkey"))
+            delivery.write.mode("append").option("compression", "zstd").parquet(path)
+            due += files
+            # A part without rows has left no file, and the next delivery must not take its place.
+            for _ in range(due - sum(name.startswith("part-") for name in folder.names())):
+                spark.createDataFrame([], delivery.schema).coalesce(1).write.mode("append").parquet(path)
         _staged[place] = path, files
     return _staged[place]
 
 
 def stage(spark: SparkSession, sf_dir: str, build=order_topic) -> str:
-    """The topic as files in the shared folder, written once per application, of at
-    most about a million messages each."""
+    """The topic as files in the shared folder, written once per application, of
+    about ``MESSAGES_PER_FILE`` each."""
     return _stage(spark, sf_dir, build)[0]
 
 
