@@ -169,3 +169,15 @@ def test_runs_are_whole_subtrees(monkeypatch):
     assert sum(map(len, groups)) == len(set().union(*groups))
     assert all((n == c).all() for c, n in runs)
     assert not list(ct._subtrees(code[:0], np.zeros(0)))
+
+
+@pytest.mark.parametrize("bits", [24, 48, 56])
+def test_packed_counts_are_the_same(bits):
+    """Keys sorted together with their counts, as those of up to 63 bits are."""
+    draw = np.random.default_rng(bits)
+    for n in (0, 1, 5000):
+        keys = draw.integers(0, 1 << bits, n, np.uint64) | np.uint64((1 << bits) - 1 << 8 & (1 << bits) - 1) * draw.integers(0, 2, n, np.uint64)
+        counted = draw.integers(0, 2, n)
+        packed, plain = ct._Tally._sum_packed(keys, counted), ct._Tally._sum(keys, counted)
+        assert packed[0].dtype == np.uint64 and packed[1].dtype == np.int64
+        assert [x.tolist() for x in packed] == [x.tolist() for x in plain]

@@ -233,19 +233,30 @@ def _in_blocks(docs: DataFrame) -> DataFrame:
 
 
 class _Tally:
-    """Distinct keys of a block with their training counts."""
+    """Distinct keys of a block with their training counts. Keys of fewer than 64 ``bits``
+    leave room for the count of one occurrence, 0 or 1, and are sorted together with it."""
 
-    def __init__(self):
+    def __init__(self, bits: int = 64):
+        self.bits = bits
         self.parts: list[tuple[np.ndarray, np.ndarray]] = []
         self.held = 0
 
     def add(self, keys: np.ndarray, counted: np.ndarray) -> None:
-        self.parts.append(self._sum(keys, counted))
+        self.parts.append(self._sum(keys, counted) if self.bits == 64 else self._sum_packed(keys, counted))
         self.held += len(self.parts[-1][0])
         if self.held > 1 << 21:
             self.parts = [self.result()]
             self.held = len(self.parts[0][0]) // 2
 
+    @staticmethod
+    def _sum_packed(keys: np.ndarray, counted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        packed = np.sort(keys << np.uint64(1) | counted.astype(np.uint64))
+        keys, counted = packed >> np.uint64(1), (packed & np.uint64(1)).astype(np.int64)
+        first = np.ones(len(keys), bool)
+        first[1:] = keys[1:] != keys[:-1]
+        at = np.flatnonzero(first)
+        return keys[at], np.add.reduceat(counted, at) if len(at) else counted
+
     @staticmethod
     def _sum(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         order = np.argsort(keys)
@@ -281,7 +292,7 @@ def _entries(blocks: DataFrame, depth: int) -> DataFrame:
                 if block[x] != now:
                     if now is not None:
                         yield from flush(now, tallies, ends)
-                    now, tallies, ends = int(block[x]), [_Tally(), _Tally()], 0
+                    now, tallies, ends = int(block[x]), [_Tally(8 * (depth + 1)), _Tally()], 0
                 for a, b, texts in tx.batches(table.column(0).slice(x, y - x), SLICE_BYTES):
                     texts = texts.lowered()
                     learn = (~held[x + a:x + b]).astype(np.int64)
@@ -345,8 +356,10 @@ def scored(docs: DataFrame, held_out: Column, *, key: str = "doc_id", text: str
         kind, keys, value = (found.column(c).to_numpy() for c in ("kind", "key", "value"))
         looked = []
         for k in (GRAM, WORD):
-            own, at = np.unique(keys[kind == k].view(np.uint64), return_index=True)
-            looked.append((own, value[kind == k][at]))
+            # A block has a key once.
+            own = keys[kind == k].view(np.uint64)
+            order = np.argsort(own)
+            looked.append((own[order], value[kind == k][order]))
         del kind, keys, value
         base = np.log10(n_all + v_all + 1.0)
         end = np.log10(ends + 1.0)
