@@ -122,7 +122,7 @@ def start_hot(raw: DataFrame, layout: Layout, targets: Targets = Targets(), trig
     """The keyed table: each micro-batch upserts the last row of each key; rows without
     a key are set aside."""
     _refuse_lost_checkpoints(raw, layout, {layout.hot: "hot", layout.null_keys: "hot"})
-    sink = _hot_sink(layout, targets, sinks.epoch_files(layout.null_keys, files=1), tuning)
+    sink = _hot_sink(layout, targets, sinks.epoch_files(layout.null_keys, rows_per_file=tuning.rows_per_file), tuning)
     return start(transactions(raw, HOT, mode, defaults), sink, "hot", layout.checkpoints, trigger)
 
 

@@ -129,7 +129,7 @@ def keyed(target: Sink, rejected: Sink | None = None, keep_arrival: bool = True)
             kept = last_write(rows.where(F.col(HOT_KEY).isNotNull()), HOT_KEY)
             send(target, kept if keep_arrival else kept.select(*HOT), epoch, count)
             if rejected is not None:
-                send(rejected, null_keys(rows), epoch, unkeyed)
+                send(rejected, null_keys(rows), epoch, unkeyed, count)
     return write
 
 
