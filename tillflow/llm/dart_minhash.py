@@ -300,12 +300,12 @@ def classes(docs: DataFrame, *, key: str = "doc_id", text: str = "text", at_leas
 
     slots = signs.select("node", F.explode("bands").alias("bucket")).distinct()
     shared = slots.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
-    slots = frames.saved(slots.join(shared, "bucket"), "buckets")
+    slots = frames.saved_narrow(slots.join(shared, "bucket"), "buckets")
     central = slots.groupBy("node").agg(F.sum("size").alias("rank"))
     ranked = slots.join(central, "node")
     leaders = ranked.groupBy("bucket").agg(F.max(F.struct("rank", "node")).alias("top"))
     star = slots.join(leaders, "bucket").select("bucket", "node", F.col("top.node").alias("leader"))
-    star = frames.saved(star, "stars")
+    star = frames.saved_narrow(star, "stars")
 
     # One row stands for all copies before texts meet: rows are dealt by text and key.
     heads = ids.join(central.select("node"), "node", "left_semi").select(F.col("node").alias("__node"), F.col("first_id").alias("__id"))
@@ -313,7 +313,7 @@ def classes(docs: DataFrame, *, key: str = "doc_id", text: str = "text", at_leas
     texts = texts.select("node", "text").dropDuplicates(["node"])
     texts = frames.saved(texts, "candidate-texts")
     spokes = star.where("node <> leader").select(F.col("node").alias("a"), F.col("leader").alias("b")).distinct()
-    told = frames.saved(similarity(_with_texts(spokes, texts), weights=weights, words=words), "spokes")
+    told = frames.saved_narrow(similarity(_with_texts(spokes, texts), weights=weights, words=words), "spokes", dealt=True)
     links = told.where(F.col("similarity") >= at_least).select("a", "b")
     parts = frames.components(links)
 
@@ -340,7 +340,7 @@ def classes(docs: DataFrame, *, key: str = "doc_id", text: str = "text", at_leas
                    & (apart <= _most_apart(bands * rows, at_least)) & (first_shared == F.col("a.bucket"))
                    & (long_apart <= _most_apart(LONG, at_least)))
     cross = cross.select(F.col("a.node").alias("a"), F.col("b.node").alias("b"))
-    late = frames.saved(similarity(_with_texts(cross, texts), weights=weights, words=words), "cross-links")
+    late = frames.saved_narrow(similarity(_with_texts(cross, texts), weights=weights, words=words), "cross-links", dealt=True)
     late = late.where(F.col("similarity") >= at_least).select("a", "b")
     parts = frames.components(links.union(late))
 

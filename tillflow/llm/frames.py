@@ -28,6 +28,21 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def narrow_files(spark: SparkSession) -> int:
+    """In how many files rows of a few numbers are saved: four a core, or an eighth of the
+    shuffle partitions if those are more."""
+    return max(4 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")) // 8)
+
+
+def saved_narrow(df: DataFrame, name: str, dealt: bool = False) -> DataFrame:
+    """``saved`` for rows of a few numbers, which need not be a file for each shuffle
+    partition: every file costs a rename, and on a local disk a process or two that set its
+    mode. ``dealt`` shuffles the rows to their files, for those that are made from far wider
+    ones; else the tasks that make them are fewer."""
+    files = narrow_files(df.sparkSession)
+    return saved(df.repartition(files) if dealt else df.coalesce(files), name)
+
+
 def ship(spark: SparkSession) -> None:
     """Gives the executors' Python this package, as ``--py-files`` does, once an application,
     and the session small Arrow batches."""
@@ -91,8 +106,8 @@ def components(edges: DataFrame) -> DataFrame:
     two groupings and two joins, written to the shared folder; only two numbers a
     round come to the driver.
     """
-    pairs = saved(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(),
-                  "components")
+    pairs = saved_narrow(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(),
+                         "components")
     before = None
     while True:
         ends = pairs.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
@@ -107,6 +122,6 @@ def components(edges: DataFrame) -> DataFrame:
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         near = large.join(low.withColumnRenamed("u", "c"), F.col("u") == F.col("c"))
         small = near.select(F.col("v").alias("u"), F.col("m").alias("v")).union(low.select("u", F.col("m").alias("v")))
-        pairs = saved(small.where("u <> v").distinct(), "components")
+        pairs = saved_narrow(small.where("u <> v").distinct(), "components")
     heads = pairs.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return pairs.select(F.col("u").alias("node"), F.col("v").alias("component")).union(heads)
