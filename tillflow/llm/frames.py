@@ -36,7 +36,7 @@ def narrow_files(spark: SparkSession) -> int:
 
 def saved_narrow(df: DataFrame, name: str, dealt: bool = False) -> DataFrame:
     """``saved`` for rows of a few numbers, which need not be a file for each shuffle
-    partition: every file costs a rename, and on a local disk a process or two that set its
+    partition: every file costs a rename, and on a local disk perhaps a process that sets its
     mode. ``dealt`` shuffles the rows to their files, for those that are made from far wider
     ones; else the tasks that make them are fewer."""
     files = narrow_files(df.sparkSession)
