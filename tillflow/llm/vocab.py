@@ -17,61 +17,103 @@ def spread(values: np.ndarray, start: np.ndarray, count: np.ndarray) -> np.ndarr
     return values[np.arange(total) + np.repeat(step, count)]
 
 
+#: So many spans are encoded at once: what a tokenizer gives back of a span is far larger
+#: than its ids.
+ENCODE_SPANS = 1 << 13
+
+
+class Grown:
+    """An array that grows at its end, in place. Views of it are good until it grows."""
+
+    def __init__(self, first: np.ndarray):
+        self._held, self.size = first.copy(), len(first)
+
+    @property
+    def values(self) -> np.ndarray:
+        return self._held[:self.size]
+
+    def extend(self, values: np.ndarray) -> None:
+        size = self.size + len(values)
+        if size > len(self._held):
+            self._held.resize(max(size, len(self._held) * 5 // 4), refcheck=False)
+        self._held[self.size:size] = values
+        self.size = size
+
+
 class SpanIds:
     """Ids by span, for a tokenizer that encodes spans independently.
 
-    Keeps what it has encoded, by hash, until ``limit`` spans; then it starts anew,
-    so memory is bounded and results are the same.
+    Keeps what it has encoded, by hash, until ``limit`` spans; then those go that did not
+    come again, or all if more than half did, so memory is bounded and results are the same.
+    Spans stand in the order they came in, and only their hashes are sorted: what is kept is
+    not copied when spans are added.
     """
 
-    def __init__(self, encode: Callable[[list[str]], list[list[int]]], limit: int = 1 << 21,
+    def __init__(self, encode: Callable[[list[str]], list[list[int]]], limit: int = 1 << 20,
                  test: Callable[[list[str], list[list[int]]], list[bool]] | None = None):
         self.encode, self.limit, self.test = encode, limit, test
         self._reset()
 
     def _reset(self) -> None:
         self.known = np.zeros(0, np.uint64)
-        self.start = np.zeros(0, np.int64)
-        self.count = np.zeros(0, np.int32)
-        self.pool = np.zeros(0, np.uint32)
-        self.passed = np.zeros(0, bool)
-
-    def _learn(self, hashes: np.ndarray, spans: list[str]) -> None:
-        lists = self.encode(spans)
-        count = np.fromiter(map(len, lists), np.int32, len(lists))
-        flat = np.fromiter(chain.from_iterable(lists), np.uint32, int(count.sum()))
-        start = len(self.pool) + np.cumsum(count, dtype=np.int64) - count
-        self.pool = np.concatenate([self.pool, flat])
-        known = np.concatenate([self.known, hashes])
-        order = np.argsort(known, kind="stable")
-        self.known = known[order]
-        self.start = np.concatenate([self.start, start])[order]
-        self.count = np.concatenate([self.count, count])[order]
-        passed = self.test(spans, lists) if self.test else np.ones(len(spans), bool)
-        self.passed = np.concatenate([self.passed, passed])[order]
-
-    def _slots(self, spans: Words) -> np.ndarray:
+        self.place = np.zeros(0, np.int32)
+        self.ends = Grown(np.zeros(1, np.int64))
+        self.pool = Grown(np.zeros(0, np.uint32))
+        self.passed = Grown(np.zeros(0, bool))
+        self.again = Grown(np.zeros(0, bool))
+
+    def _shrink(self) -> None:
+        keep = self.again.values
+        left = np.flatnonzero(keep)
+        if len(left) > self.limit // 2:
+            return self._reset()
+        start = self.ends.values[left]
+        count = self.ends.values[left + 1] - start
+        self.pool = Grown(spread(self.pool.values, start, count))
+        self.ends = Grown(np.concatenate([[0], np.cumsum(count)]))
+        self.passed = Grown(self.passed.values[left])
+        stays = keep[self.place]
+        self.known = self.known[stays]
+        self.place = (np.cumsum(keep, dtype=np.int32) - 1)[self.place[stays]]
+        self.again = Grown(np.zeros(len(left), bool))
+
+    def _learn(self, at: np.ndarray, hashes: np.ndarray, spans: list[str]) -> None:
+        """``at``: where the hashes belong among those known."""
+        place = np.arange(self.again.size, self.again.size + len(spans), dtype=np.int32)
+        for first in range(0, len(spans), ENCODE_SPANS):
+            some = spans[first:first + ENCODE_SPANS]
+            lists = self.encode(some)
+            count = np.fromiter(map(len, lists), np.int64, len(lists))
+            self.ends.extend(self.pool.size + np.cumsum(count))
+            self.pool.extend(np.fromiter(chain.from_iterable(lists), np.uint32, int(count.sum())))
+            self.passed.extend(np.array(self.test(some, lists), bool) if self.test else np.ones(len(some), bool))
+        self.again.extend(np.zeros(len(spans), bool))
+        self.place = np.insert(self.place, at, place)
+        self.known = np.insert(self.known, at, hashes)
+
+    def _places(self, spans: Words) -> np.ndarray:
         if len(self.known) > self.limit:
-            self._reset()
+            self._shrink()
         distinct, first, which = np.unique(spans.hash, return_index=True, return_inverse=True)
         at = np.searchsorted(self.known, distinct)
+        old = np.zeros(len(distinct), bool)
         if len(self.known):
-            new = np.flatnonzero(self.known[np.minimum(at, len(self.known) - 1)] != distinct)
-        else:
-            new = np.arange(len(distinct))
-        if len(new):
-            self._learn(distinct[new], spans.strings(first[new]))
+            old = self.known[np.minimum(at, len(self.known) - 1)] == distinct
+            self.again.values[self.place[at[old]]] = True
+        if not old.all():
+            self._learn(at[~old], distinct[~old], spans.strings(first[~old]))
             at = np.searchsorted(self.known, distinct)
-        return at[which.reshape(-1)]
+        return self.place[at][which.reshape(-1)]
 
     def tested(self, spans: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """All ids in order, how many each span has, and whether it passed the test,
         which each distinct span is put to once."""
         if not len(spans):
             return np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, bool)
-        at = self._slots(spans)
-        count = self.count[at].astype(np.int64)
-        return spread(self.pool, self.start[at], count), count, self.passed[at]
+        place = self._places(spans)
+        start = self.ends.values[place]
+        count = self.ends.values[place + 1] - start
+        return spread(self.pool.values, start, count), count, self.passed.values[place]
 
     def __call__(self, spans: Words) -> tuple[np.ndarray, np.ndarray]:
         """All ids in order, and how many each span has."""
