@@ -5,7 +5,8 @@ from __future__ import annotations
 
 import tempfile
 import zipfile
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -43,6 +44,23 @@ def saved_narrow(df: DataFrame, name: str, dealt: bool = False) -> DataFrame:
     return saved(df.repartition(files) if dealt else df.coalesce(files), name)
 
 
+@contextmanager
+def held(spark: SparkSession, **settings: str) -> Iterator[None]:
+    """Session settings (two underscores for a dot) for the jobs started inside, and no
+    shuffle files beyond the job that made them: else they stay until the driver collects
+    garbage."""
+    wanted = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
+    wanted |= {name.replace("__", "."): value for name, value in settings.items()}
+    before = {key: spark.conf.get(key, None) for key in wanted}
+    try:
+        for key, value in wanted.items():
+            spark.conf.set(key, value)
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
 def ship(spark: SparkSession) -> None:
     """Gives the executors' Python this package, as ``--py-files`` does, once an application,
     and the session small Arrow batches."""

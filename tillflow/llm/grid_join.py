@@ -5,7 +5,9 @@ to their principal axes and sorted by the cells, e wide, of a grid over the lead
 ones; the sorted sequence is cut into blocks, and blocks into ever longer intervals.
 Starting from the whole sequence, pairs of intervals are split into pairs of their parts
 and dropped as soon as their bounding boxes lie more than e apart. What is left are
-pairs of blocks, whose cosines are computed exactly.
+pairs of blocks, whose cosines are computed exactly: a few intervals at a time go to all
+tasks, and meet the others where those are read. So what is shuffled and kept on disk grows
+with the vectors, not with their pairs.
 """
 
 from __future__ import annotations
@@ -21,10 +23,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillflow.llm import frames
+from tillflow.session import shared_dir
 
 COSINE = 0.9
 #: Vectors of a block; parts of an interval; leading axes of the grid; axes of the boxes.
 BLOCK, PARTS, GRID_AXES, BOX_AXES = 256, 8, 6, 16
+#: Bytes of the intervals that go to all tasks at once; rows of links that a task puts
+#: together before it hands them on.
+ROUND_BYTES, MERGED = 8 << 20, 1 << 19
 #: Distances are compared with this much to spare, so that rounding skips no pair.
 SLACK = 1e-9
 
@@ -121,7 +127,7 @@ def _blocks(nodes: DataFrame, axes: np.ndarray, reach: float) -> DataFrame:
     tasks = blocks.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     tasks = tasks.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
-    return blocks.join(tasks, "part").withColumn("block", F.col("base") + F.col("seq")).drop("base")
+    return blocks.join(F.broadcast(tasks), "part").withColumn("block", F.col("base") + F.col("seq")).drop("base")
 
 
 def _near_blocks(boxes: DataFrame, n_blocks: int, n_box: int, reach: float) -> DataFrame:
@@ -175,22 +181,69 @@ def spanning(found: np.ndarray, left: np.ndarray, right: np.ndarray) -> tuple[np
     return node[head < top], head[head < top]
 
 
-def _compared(pairs: DataFrame, blocks: DataFrame, width: int, cosine: float) -> DataFrame:
-    """(node, other, links): with other null, the links of a node in one pair of blocks;
-    else an edge. Blocks travel as intervals, once for each interval they meet."""
+def forest(ends: np.ndarray, heads: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The same components from one edge for each node: (node, smallest node)."""
+    nodes, at = np.unique(np.concatenate([ends, heads]), return_inverse=True)
+    a, b = at[:len(ends)], at[len(ends):]
+    low = np.arange(len(nodes))
+    while True:
+        least, next_low = np.minimum(low[a], low[b]), low.copy()
+        for side in (a, b, low[a], low[b]):
+            np.minimum.at(next_low, side, least)
+        next_low = next_low[next_low]
+        if (next_low == low).all():
+            return nodes, nodes[low]
+        low = next_low
+
+
+def summed(nodes: np.ndarray, links: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each node once, with all its links."""
+    found, at = np.unique(nodes, return_inverse=True)
+    total = np.zeros(len(found), np.int64)
+    np.add.at(total, at, links)
+    return found, total
+
+
+def _compared(pairs: DataFrame, blocks: DataFrame, n_blocks: int, width: int, cosine: float) -> DataFrame:
+    """(node, other, links): with other null, links of a node in some pairs of blocks;
+    else an edge. Blocks travel as intervals. In each round some of them, ``ROUND_BYTES``,
+    are broadcast and compared with all that they are near to, as those are read: a shuffle
+    would have to hold every interval as often as it meets another."""
+    spark, parts = blocks.sparkSession, PARTS
+    up = lambda c: F.floor(F.col(c) / parts).cast("long")
+    n_intervals = -(-n_blocks // parts)
+    a_round = max(1, ROUND_BYTES // (parts * BLOCK * (8 * width + 20)))
     pack = F.struct("block", "node", "copies", "size", "data")
-    intervals = frames.saved(blocks.groupBy(F.floor(F.col("block") / PARTS).cast("long").alias("id")).agg(
-        F.collect_list(pack).alias("blocks")), "grid-intervals")
-    up = lambda c: F.floor(F.col(c) / PARTS).cast("long")
-    wanted = pairs.groupBy(up("a").alias("i"), up("b").alias("j")).agg(F.collect_list(F.struct("a", "b")).alias("todo"))
-    rows = wanted.join(intervals.select(F.col("id").alias("i"), F.col("blocks").alias("x")), "i").join(
-        intervals.select(F.col("id").alias("j"), F.col("blocks").alias("y")), "j").select("todo", "x", "y")
+    where = shared_dir(spark, "grid-intervals")
+    dealt = blocks.withColumn("id", up("block")).repartition(min(n_intervals, frames.narrow_files(spark)), "id")
+    dealt = dealt.groupBy("id").agg(F.collect_list(pack).alias("blocks")).withColumn("round", F.floor(F.col("id") / a_round).cast("int"))
+    dealt.write.partitionBy("round").parquet(where)
+    intervals = spark.read.schema(dealt.schema).parquet(where)
+    place = ((F.col("a") % parts) * parts + F.col("b") % parts).cast("int")
+    wanted = frames.saved(pairs.groupBy(up("a").alias("i"), up("b").alias("j")).agg(F.collect_list(place).alias("todo")), "grid-todo")
     schema = "node long, other long, links long"
 
     def run(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: list[tuple[np.ndarray, np.ndarray]] = []
+        trees: list[tuple[np.ndarray, np.ndarray]] = []
+
+        def together() -> int:
+            counts[:] = [summed(*(np.concatenate(x) for x in zip(*counts)))]
+            trees[:] = [forest(*(np.concatenate(x) for x in zip(*trees)))]
+            return len(counts[0][0]) + len(trees[0][0])
+
+        def rows() -> pa.RecordBatch:
+            (node, n), (ends, heads) = counts[0], trees[0]
+            return pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate([node, ends])),
+                 pa.array(np.concatenate([node, heads]), mask=np.arange(len(node) + len(ends)) < len(node)),
+                 pa.array(np.concatenate([n, np.zeros(len(ends), np.int64)]))], names=["node", "other", "links"])
+
+        waiting = 0
         for table in tables:
             for r in range(table.num_rows):
-                todo, *sides = (table.column(c)[r] for c in range(3))
+                first_a, first_b = (table.column(c)[r].as_py() * parts for c in range(2))
+                todo, *sides = (table.column(c)[r] for c in range(2, 5))
                 held = {}
                 for side in sides:
                     for b in side:
@@ -199,7 +252,7 @@ def _compared(pairs: DataFrame, blocks: DataFrame, width: int, cosine: float) ->
                 links: dict[int, np.ndarray] = {k: np.zeros(len(v[0]), np.int64) for k, v in held.items()}
                 edges = []
                 for pair in todo.as_py():
-                    a, b = pair["a"], pair["b"]
+                    a, b = first_a + pair // parts, first_b + pair % parts
                     (u, nodes_u, copies_u, size_u), (v, nodes_v, copies_v, size_v) = held[a], held[b]
                     found = linked(u, v, cosine) & (size_u[:, None] == size_v[None, :])
                     if a == b:
@@ -209,16 +262,29 @@ def _compared(pairs: DataFrame, blocks: DataFrame, width: int, cosine: float) ->
                         if a != b:
                             links[b] += found.T @ copies_u
                         edges.append(spanning(found, nodes_u, nodes_v))
-                nodes = [(held[k][1][n > 0], n[n > 0]) for k, n in links.items() if n.any()]
-                if nodes:
-                    node, n = (np.concatenate(x) for x in zip(*nodes))
-                    ends, heads = (np.concatenate(x) for x in zip(*edges))
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.concatenate([node, ends])),
-                         pa.array(np.concatenate([node, heads]), mask=np.arange(len(node) + len(ends)) < len(node)),
-                         pa.array(np.concatenate([n, np.zeros(len(ends), np.int64)]))], names=["node", "other", "links"])
-
-    return rows.mapInArrow(run, schema)
+                if edges:
+                    found = [(held[k][1][n > 0], n[n > 0]) for k, n in links.items() if n.any()]
+                    counts += found
+                    trees.append(forest(*(np.concatenate(x) for x in zip(*edges))))
+                    waiting += sum(len(n) for n, _ in found) + len(trees[-1][0])
+                if waiting > MERGED:
+                    waiting = together()
+                    if waiting > MERGED // 2:
+                        yield rows()
+                        counts.clear(), trees.clear()
+                        waiting = 0
+        if waiting:
+            together()
+            yield rows()
+
+    out = shared_dir(spark, "vector-links")
+    for k in range(-(-n_intervals // a_round)):
+        near = wanted.where(F.col("i").between(k * a_round, (k + 1) * a_round - 1))
+        x = intervals.where(F.col("round") == k).select(F.col("id").alias("i"), F.col("blocks").alias("x"))
+        y = intervals.where(F.col("round") >= k).select(F.col("id").alias("j"), F.col("blocks").alias("y"))
+        met = y.join(F.broadcast(near), "j").join(F.broadcast(x), "i").select("i", "j", "todo", "x", "y")
+        met.mapInArrow(run, schema).write.mode("append").option("compression", "zstd").parquet(out)
+    return spark.read.schema(schema).parquet(out)
 
 
 def near_duplicates(vectors: DataFrame, *, key: str = "vec_id", vector: str = "embedding",
@@ -246,13 +312,18 @@ def near_duplicates(vectors: DataFrame, *, key: str = "vec_id", vector: str = "e
     if widths is None:
         return rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"),
                            F.lit(True).alias("kept"))
-    axes = _axes(nodes, widths)
-    blocks = frames.saved(_blocks(nodes.select("node", "copies", "vector"), axes, reach), "numbered-blocks")
-    n_box = min(BOX_AXES, widths)
-    pairs = _near_blocks(blocks.drop("node", "copies", "size", "data"), blocks.count(), n_box, reach)
-    compared = frames.saved(_compared(pairs, blocks, widths, cosine), "vector-links")
-    links = compared.where("other is null").groupBy("node").agg(F.sum("links").alias("links"))
-    parts = frames.components(compared.where("other is not null").select(F.col("node").alias("a"), F.col("other").alias("b")))
+    spark = vectors.sparkSession
+    # Intervals are few and each a lot of work, so they are read by more tasks than their bytes ask for.
+    with frames.held(spark, spark__sql__files__minPartitionNum=str(4 * spark.sparkContext.defaultParallelism)):
+        axes = _axes(nodes, widths)
+        blocks = _blocks(nodes.select("node", "copies", "vector"), axes, reach)
+        n_box = min(BOX_AXES, widths)
+        boxes = frames.saved(blocks.drop("node", "copies", "size", "data"), "numbered-boxes")
+        n_blocks = boxes.count()
+        pairs = _near_blocks(boxes, n_blocks, n_box, reach)
+        compared = _compared(pairs, blocks, n_blocks, widths, cosine)
+        links = compared.where("other is null").groupBy("node").agg(F.sum("links").alias("links"))
+        parts = frames.components(compared.where("other is not null").select(F.col("node").alias("a"), F.col("other").alias("b")))
 
     known = nodes.select("node", "copies", "first_id").join(links, "node", "left").join(parts, "node", "left")
     known = known.withColumn("component", F.coalesce("component", "node"))
