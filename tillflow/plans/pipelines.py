@@ -58,6 +58,11 @@ class Layout:
         """All collections of one aggregate, written together."""
         return f"{self.root}/{SHARED}"
 
+    @property
+    def batch(self) -> str:
+        """The rows of the micro-batch that is being written."""
+        return f"{self.root}/_batch"
+
     @property
     def checkpoints(self) -> str:
         return self.checkpoint_root or f"{self.root}/checkpoints"
@@ -76,7 +81,7 @@ class Targets:
 def _hot_sink(layout: Layout, targets: Targets, rejected: Sink | None, tuning: Tuning) -> Callable[..., None]:
     if targets.hot is not None:
         return sinks.keyed(targets.hot, rejected, keep_arrival=False)
-    return sinks.keyed(sinks.epoch_files(layout.hot, rows_per_file=tuning.rows_per_file), rejected)
+    return sinks.keyed(sinks.epoch_files(layout.hot, rows_per_file=tuning.rows_per_file, compression="zstd"), rejected)
 
 
 def _refuse_lost_checkpoints(raw: DataFrame, layout: Layout, outputs: dict[str, str]) -> None:
@@ -157,7 +162,8 @@ def main_pipeline(raw: DataFrame, layout: Layout, targets: Targets = Targets(),
     """Archive, keyed table, quarantine and all five collections.
 
     Two queries, so the topic is read and parsed twice however many outputs there
-    are: rows fan out inside one micro-batch, totals share one aggregate.
+    are: rows fan out inside one micro-batch, totals share one aggregate. The archive is
+    gzipped, since its JSON repeats every field's name in every row.
     """
     _refuse_lost_checkpoints(raw, layout, {
         layout.archive: "rows", layout.hot: "rows", layout.quarantine: "rows", layout.collections: "totals",
@@ -165,9 +171,10 @@ def main_pipeline(raw: DataFrame, layout: Layout, targets: Targets = Targets(),
     rows = audited_transactions(raw, mode, defaults)
     totals = all_totals(transactions(raw, needed(), mode, defaults))
     row_sink = sinks.fan_out(
-        archive=sinks.epoch_files(layout.archive, "json", ("tran_year",), tuning.archive_rows_per_file),
+        archive=sinks.epoch_files(layout.archive, "json", ("tran_year",), tuning.archive_rows_per_file, compression="gzip"),
         hot=_hot_sink(layout, targets, None, tuning),
-        quarantine=sinks.epoch_files(layout.quarantine, rows_per_file=tuning.rows_per_file))
+        quarantine=sinks.epoch_files(layout.quarantine, rows_per_file=tuning.rows_per_file, compression="zstd"),
+        scratch=layout.batch)
     return [
         start(rows, row_sink, "rows", layout.checkpoints, trigger),
         start_totals(totals, _totals_sink(layout, targets, console, tuning), "totals", layout.checkpoints, trigger,

@@ -12,9 +12,11 @@ from pyspark.sql import SparkSession
 # Settings the results depend on. Dates are rendered as text in the session
 # time zone, so it is pinned; running totals live in RocksDB so that state size
 # is bounded by executor disk, not heap, and a commit uploads only its changes.
+# What a job shuffled goes when it ends; else it stays until the driver collects garbage.
 # A cached micro-batch lives for seconds and may spill; compressing its columns
 # cost about an eighth of the main pipeline's time.
 RUNTIME_CONF = {
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
     "spark.sql.inMemoryColumnarStorage.compressed": "false",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.streaming.stateStore.providerClass":

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from tillflow.operators.keyed import ARRIVAL, last_write
 from tillflow.operators.totals import named
 from tillflow.schema import ARCHIVE, HOT, HOT_KEY
-from tillflow.sources.epochs import EpochLog
+from tillflow.sources.epochs import EpochLog, Folder
 from tillflow.streaming.run import Sink
 
 
@@ -98,6 +98,19 @@ def cached(batch: DataFrame) -> Iterator[DataFrame]:
         batch.unpersist()
 
 
+@contextmanager
+def written(batch: DataFrame, path: str) -> Iterator[DataFrame]:
+    """The batch as compressed files, for as long as they are needed. A cached batch that
+    does not fit in memory takes ten times as much disk. What a run left behind that did
+    not come to its end is overwritten."""
+    spark = batch.sparkSession
+    try:
+        batch.write.mode("overwrite").option("compression", "zstd").parquet(path)
+        yield spark.read.schema(batch.schema).parquet(path)
+    finally:
+        Folder(spark, path).delete("")
+
+
 def connector(fmt: str, mode: str = "append", epoch_column: str | None = None, **options: str) -> Sink:
     """Write the batch through a connector, for example a keyed table's
     (``org.apache.spark.sql.cassandra``) or a document store's (``mongodb``).
@@ -193,14 +206,15 @@ def _cell(value: object) -> str:
     return "NULL" if value is None else str(value)
 
 
-def fan_out(archive: Sink, hot: Callable[..., None], quarantine: Sink) -> Sink:
+def fan_out(archive: Sink, hot: Callable[..., None], quarantine: Sink, scratch: str | None = None) -> Sink:
     """All row sinks off one read and one parse of the batch.
 
     Expects ``explode_users_outer`` rows that went through flattening and
     enrichment, with the quarantine columns. One count tells every sink its rows.
+    ``scratch`` is a folder that holds the rows meanwhile; without it they are cached.
     """
     def write(batch: DataFrame, epoch: int) -> None:
-        with cached(batch) as rows:
+        with written(batch, scratch) if scratch else cached(batch) as rows:
             is_user = F.col("pos").isNotNull()
             read, n, refused = rows.agg(
                 F.count(F.lit(1)), F.count_if(is_user),
