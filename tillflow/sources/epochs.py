@@ -40,6 +40,13 @@ class Folder:
             return []
         return [status.getPath().getName() for status in self._fs.listStatus(self._at(name))]
 
+    def sizes(self, name: str = "") -> dict[str, int]:
+        """What lies in the folder, with the bytes of all files at or below it."""
+        if not self.exists(name):
+            return {}
+        return {status.getPath().getName(): self._fs.getContentSummary(status.getPath()).getLength()
+                for status in self._fs.listStatus(self._at(name))}
+
     def touch(self, name: str) -> None:
         self._fs.create(self._at(name), True).close()
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -75,12 +77,18 @@ def read_hot_table(spark: SparkSession, path: str) -> DataFrame:
     return last_write(read_hot_changes(spark, path), HOT_KEY, WRITES).drop(*WRITES)
 
 
+def read_hot_buckets(spark: SparkSession, path: str, here: Callable[[Column], Column], through: int | None = None) -> DataFrame:
+    """The kept writes of the keys whose bucket is ``here``: those buckets of the base, and
+    of the epochs since, which have none, every file."""
+    schema = T.StructType([*HOT_CHANGES.fields, T.StructField("bucket", T.IntegerType())])
+    rows = read_epochs(spark, path, schema, through=through)
+    folder = F.coalesce(here(F.col("bucket")), F.lit(True))
+    return rows.where(here(bucket(F.col(HOT_KEY))) & folder).drop("bucket")
+
+
 def read_hot_key(spark: SparkSession, path: str, key: str) -> DataFrame:
     """The keyed table's row of one key: one bucket of the base, and the epochs since."""
-    schema = T.StructType([*HOT_CHANGES.fields, T.StructField("bucket", T.IntegerType())])
-    rows = read_epochs(spark, path, schema)
-    here = F.coalesce(F.col("bucket") == bucket(F.lit(key)), F.lit(True))
-    rows = rows.where((F.col(HOT_KEY) == key) & here).drop("bucket")
+    rows = read_hot_buckets(spark, path, lambda b: b == bucket(F.lit(key))).where(F.col(HOT_KEY) == key)
     return last_write(rows, HOT_KEY, WRITES).drop(*WRITES)
 
 
